@@ -1,0 +1,36 @@
+"""Separate treatment for keys that hold very many rows."""
+
+from __future__ import annotations
+
+from collections.abc import Callable, Sequence
+
+from pyspark.sql import DataFrame, functions as F
+
+from adjudica.operators.joins import same
+
+HOT_ROWS = 1_000_000
+
+
+def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame:
+    """Keys with more than ``hot_rows`` rows. There are at most rows / ``hot_rows`` of them."""
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    return counts.where(F.col("_n") > hot_rows).select(*[F.col(k).alias(f"_hot_{k}") for k in keys])
+
+
+def by_key_size(
+    df: DataFrame,
+    keys: Sequence[str],
+    usual: Callable[[DataFrame], DataFrame],
+    hot: Callable[[DataFrame], DataFrame],
+    hot_rows: int = HOT_ROWS,
+) -> DataFrame:
+    """Run ``usual`` on the rows of ordinary keys and ``hot`` on those of hot ones, then put both together.
+
+    The table of hot keys is broadcast: its size is bounded by rows / ``hot_rows``. Where it turns out
+    empty, adaptive execution drops the hot branch before it reads anything.
+    """
+    names = F.broadcast(hot_keys(df, keys, hot_rows))
+    condition = same(df, names, [(k, f"_hot_{k}") for k in keys])
+    few = usual(df.join(names, condition, "left_anti"))
+    many = hot(df.join(names, condition, "left_semi"))
+    return few.unionByName(many)
