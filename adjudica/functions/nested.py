@@ -6,6 +6,7 @@ from pyspark.sql import Column, functions as F
 
 HOLDER = "struct<typeIdentifiant:string,id:string>"
 HOLDERS = {"2019": f"array<{HOLDER}>", "2022": f"array<struct<titulaire:{HOLDER}>>"}
+OUTER_BRACKETS = r"^\s*(?:\[\s*)*(?=\[)"
 AMENDMENT_FIELDS = (
     "dateNotificationModification",
     "datePublicationDonneesModification",
@@ -15,20 +16,17 @@ AMENDMENT_FIELDS = (
 )
 
 
-def innermost_list(text: Column, depth: int = 8) -> Column:
-    """Open lists of lists down to the first innermost one, as a variant."""
-    value = F.try_parse_json(text)
-    for _ in range(depth):
-        nested = F.schema_of_variant(value).startswith("ARRAY<ARRAY")
-        value = F.when(nested, F.try_variant_get(value, "$[0]", "variant")).otherwise(value)
-    return value
+def innermost_list(text: Column) -> Column:
+    """The first innermost of nested lists, as JSON text: all opening brackets but the last go.
+
+    The brackets that are left over at the end do no harm, since ``from_json`` stops after one value.
+    """
+    return F.regexp_replace(text, OUTER_BRACKETS, "")
 
 
 def parse_holders(text: Column, layout: str) -> Column:
     """Holder list of one layout from its JSON text; the older layout may nest it."""
-    if layout == "2019":
-        return F.try_variant_get(innermost_list(text), "$", HOLDERS["2019"])
-    return F.from_json(text, HOLDERS["2022"])
+    return F.from_json(innermost_list(text) if layout == "2019" else text, HOLDERS[layout])
 
 
 def tidy_holders(holders: Column, layout: str) -> Column:

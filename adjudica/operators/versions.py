@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from adjudica.operators.columns import any_filled, starting_with
-from adjudica.operators.dedup import keep_first
+from adjudica.operators.dedup import keep_first, row_order
 from adjudica.operators.hotkeys import HOT_ROWS, by_key_size
 from adjudica.operators.joins import null_safe_left
 
@@ -16,6 +16,33 @@ def _ascending(names: Sequence[str]) -> list[Column]:
     return [F.col(n).asc_nulls_first() for n in names]
 
 
+def _fill_in_one_window(df: DataFrame, keys: list[str], order: list[str], carry: list[str]) -> DataFrame:
+    window = Window.partitionBy(*keys).orderBy(*_ascending(order + carry)).rowsBetween(Window.unboundedPreceding, 0)
+    return df.withColumns({c: F.last(c, ignorenulls=True).over(window) for c in carry})
+
+
+def _fill_step_by_step(df: DataFrame, keys: list[str], order: list[str], carry: list[str]) -> DataFrame:
+    """The same values with windows no larger than one key and step, a step being one value of ``order[0]``."""
+    step, ties = order[0], order[1:] + carry
+    # Copies of a row get the same values, so one of each is enough to work them out.
+    seen = df.select(*keys, *order, *carry).distinct()
+    within = Window.partitionBy(*keys, step).orderBy(*_ascending(ties)).rowsBetween(Window.unboundedPreceding, 0)
+    inside = seen.withColumns({f"_in_{c}": F.last(c, ignorenulls=True).over(within) for c in carry})
+    # Last value of every step, then the last one before it: one row per key and step.
+    ends = seen.groupBy(*keys, step).agg(
+        *[F.max_by(c, F.when(F.col(c).isNotNull(), F.struct(*ties))).alias(f"_end_{c}") for c in carry]
+    )
+    earlier = Window.partitionBy(*keys).orderBy(*_ascending([step])).rowsBetween(Window.unboundedPreceding, -1)
+    before = ends.select(
+        *keys, step, *[F.last(f"_end_{c}", ignorenulls=True).over(earlier).alias(f"_before_{c}") for c in carry]
+    )
+    known = null_safe_left(inside, before, [*keys, step]).select(
+        *keys, *order, *carry, *[F.coalesce(f"_in_{c}", f"_before_{c}").alias(f"_fill_{c}") for c in carry]
+    )
+    filled = null_safe_left(df, known, [*keys, *order, *carry])
+    return filled.select(*[F.col(f"_fill_{c}").alias(c) if c in carry else F.col(c) for c in df.columns])
+
+
 def forward_fill(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], carry: Sequence[str], hot_rows: int = HOT_ROWS
 ) -> DataFrame:
@@ -24,33 +51,14 @@ def forward_fill(
     Rows are taken in ``order``, ties in order of the carried columns, so equal rows get equal values.
     A key with more than ``hot_rows`` rows is filled step by step of the first order column.
     """
-    keys, order, carry = list(keys), list(order), list(carry)
-
-    def in_one_window(part: DataFrame) -> DataFrame:
-        window = Window.partitionBy(*keys).orderBy(*_ascending(order + carry)).rowsBetween(Window.unboundedPreceding, 0)
-        return part.withColumns({c: F.last(c, ignorenulls=True).over(window) for c in carry})
-
-    def step_by_step(part: DataFrame) -> DataFrame:
-        step, ties = order[0], order[1:] + carry
-        # Copies of a row get the same values, so one of each is enough to work them out.
-        seen = part.select(*keys, *order, *carry).distinct()
-        within = Window.partitionBy(*keys, step).orderBy(*_ascending(ties)).rowsBetween(Window.unboundedPreceding, 0)
-        inside = seen.withColumns({f"_in_{c}": F.last(c, ignorenulls=True).over(within) for c in carry})
-        # Last value of every step, then the last one before it: one row per key and step.
-        ends = seen.groupBy(*keys, step).agg(
-            *[F.max_by(c, F.when(F.col(c).isNotNull(), F.struct(*ties))).alias(f"_end_{c}") for c in carry]
-        )
-        earlier = Window.partitionBy(*keys).orderBy(*_ascending([step])).rowsBetween(Window.unboundedPreceding, -1)
-        before = ends.select(
-            *keys, step, *[F.last(f"_end_{c}", ignorenulls=True).over(earlier).alias(f"_before_{c}") for c in carry]
-        )
-        known = null_safe_left(inside, before, [*keys, step]).select(
-            *keys, *order, *carry, *[F.coalesce(f"_in_{c}", f"_before_{c}").alias(f"_fill_{c}") for c in carry]
-        )
-        filled = null_safe_left(part, known, [*keys, *order, *carry])
-        return filled.select(*[F.col(f"_fill_{c}").alias(c) if c in carry else F.col(c) for c in part.columns])
-
-    return by_key_size(df, keys, in_one_window, step_by_step, hot_rows)
+    how = (list(keys), list(order), list(carry))
+    return by_key_size(
+        df,
+        keys,
+        lambda part: _fill_in_one_window(part, *how),
+        lambda part: _fill_step_by_step(part, *how),
+        hot_rows,
+    )
 
 
 def apply_versions(
@@ -68,20 +76,48 @@ def apply_versions(
     the base values beside them. ``changing`` names what an amendment may change, its first entry being
     the date; what is in ``carry`` keeps its last value where an amendment leaves it out. All other
     columns come from the base row of the key.
+
+    Ordinary keys take one shuffle: base row, versions and carried values are all worked out where the rows
+    of a key meet. Hot keys go through joins that spread them.
     """
-    amended = {
-        c: c.removeprefix(prefix).removesuffix(suffix) for c in starting_with(df, prefix) if c != f"{prefix}id"
+    source_of = {
+        c.removeprefix(prefix).removesuffix(suffix): c for c in starting_with(df, prefix) if c != f"{prefix}id"
     }
-    fixed = [c for c in df.columns if not c.startswith(prefix) and c not in changing and c != key]
-
-    base = keep_first(df.drop(*starting_with(df, prefix)), [key])
-    later = df.select(key, *amended).where(any_filled(amended)).withColumnsRenamed(amended)
-    rows = base.select(key, *changing, F.lit(0).alias("_amended")).unionByName(
-        later.withColumn("_amended", F.lit(1)), allowMissingColumns=True
+    versioned = [*changing, *[c for c in source_of if c not in changing]]
+    plain = [c for c in df.columns if not c.startswith(prefix)]
+    fixed = [c for c in plain if c not in versioned and c != key]
+    types = {f.name: f.dataType for f in df.schema}
+    kind = {c: types[c] if c in types else types[source_of[c]] for c in versioned}
+    order = [changing[0], "_amended", *[c for c in versioned[1:] if c not in carry]]
+    carry = list(carry)
+
+    original = F.struct(
+        *[(F.col(c) if c in plain else F.lit(None)).cast(kind[c]).alias(c) for c in versioned], F.lit(0).alias("_amended")
+    )
+    amendment = F.struct(
+        *[(F.col(source_of[c]) if c in source_of else F.lit(None)).cast(kind[c]).alias(c) for c in versioned],
+        F.lit(1).alias("_amended"),
     )
-    order = [changing[0], "_amended", *[c for c in changing[1:] if c not in carry]]
-    filled = forward_fill(rows, [key], order, carry, hot_rows).drop("_amended")
-    return filled.join(base.select(key, *fixed), key, "left") if fixed else filled
+    has_amendment = any_filled(source_of.values())
+
+    def where_rows_meet(part: DataFrame) -> DataFrame:
+        by_content = Window.partitionBy(key).orderBy(*row_order(part.select(*plain), leave_out=[key]))
+        marked = part.withColumns(
+            {"_row": F.row_number().over(by_content), "_fixed": F.first(F.struct(F.lit(0).alias("_"), *fixed)).over(by_content)}
+        )
+        both = F.array_compact(F.array(F.when(F.col("_row") == 1, original), F.when(has_amendment, amendment)))
+        rows = marked.select(key, "_fixed", F.inline(both))
+        filled = _fill_in_one_window(rows, [key], order, carry)
+        return filled.select(key, *versioned, *[F.col("_fixed")[c].alias(c) for c in fixed])
+
+    def by_joins(part: DataFrame) -> DataFrame:
+        base = keep_first(part.select(*plain), [key])
+        first = base.select(key, F.inline(F.array(original)))
+        later = part.where(has_amendment).select(key, F.inline(F.array(amendment)))
+        filled = _fill_step_by_step(first.unionByName(later), [key], order, carry)
+        return null_safe_left(filled.drop("_amended"), base.select(key, *fixed), [key])
+
+    return by_key_size(df, [key], where_rows_meet, by_joins, hot_rows)
 
 
 def number_versions(

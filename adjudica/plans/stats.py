@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import date
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -103,17 +104,22 @@ def contract_stats(df: DataFrame, as_of: date, first_year: int = FIRST_YEAR) ->
     )
 
 
-def latest_known(registry: DataFrame, key: str, column: str, value: Column) -> Column:
-    """Entry of a small reference table with the greatest key not above ``value`` whose column is filled.
+def fill_from_entry_before(df: DataFrame, entries: DataFrame, key: str, columns: Sequence[str]) -> DataFrame:
+    """Fill nulls from the entry of a small reference table with the greatest key not above the row's own.
 
     A forward fill in key order in which only the reference table, never the data, is held together.
     """
-    entries = registry.where(F.col(column).isNotNull()).select(
-        F.col(key).alias("at"), F.col(column).cast("string").alias("what")
-    )
-    ordered = entries.agg(F.sort_array(F.collect_list(F.struct("at", "what")))).scalar()
-    known = F.filter(ordered, lambda e: e["at"] <= value)
-    return F.get(known, F.size(known) - 1)["what"]
+    for column in columns:
+        filled = entries.where(F.col(column).isNotNull())
+        pairs = F.struct(F.col(key).alias("at"), F.col(column).alias("what"))
+        ordered = filled.agg(F.sort_array(F.collect_list(pairs))).scalar()
+        earlier = F.filter("_entries", lambda e: e["at"] <= F.col(key))
+        df = (
+            df.withColumn("_entries", ordered)
+            .withColumn(column, F.coalesce(column, F.try_element_at(earlier, F.lit(-1))["what"]))
+            .drop("_entries")
+        )
+    return df
 
 
 def source_stats(
@@ -139,9 +145,7 @@ def source_stats(
     )
     # Only entries whose source appears in the data are in the ordered list.
     present = entries.join(overlap.select(F.col("sourceDataset").alias("code")), "code", "left_semi")
-    filled = counted.withColumns(
-        {c: F.coalesce(c, latest_known(present, "code", c, F.col("code"))) for c in ("nom", "organisation", "url")}
-    )
+    filled = fill_from_entry_before(counted, present, "code", ["nom", "organisation", "url"])
     return (
         filled.where(F.col("code") != merged)
         .select("nom", "organisation", "url", "nb_marchés", "nb_acheteurs", "code", "unique")
