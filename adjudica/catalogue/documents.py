@@ -182,7 +182,7 @@ def payload_repair(spark, sf):
     body = F.regexp_replace("text", r'[\\"\x00-\x1f]', "_")
     title = F.when(F.col("lang") == "fr", F.concat(F.lit('a "b" '), body)).otherwise(body)
     payload = F.concat(
-        F.lit('﻿{"objet":"'), title, F.lit('","x":NaN,"doc_id":'), F.col("doc_id").cast("string"),
+        F.lit('\ufeff{"objet":"'), title, F.lit('","x":NaN,"doc_id":'), F.col("doc_id").cast("string"),
         F.when(F.col("lang") == "de", "").otherwise("}"),
     )
     rows = table(spark, sf, "documents").select("doc_id", payload.alias("raw"))

@@ -193,8 +193,8 @@ def haversine(spark, sf):
     )
 
 
-CACHE = """cache AS (SELECT lpad(CAST(p_partkey AS VARCHAR), 14, '0') AS siret, CASE WHEN p_type = 'SMALL' THEN p_size * 1.5 END AS latitude,
-    CASE WHEN p_type = 'SMALL' THEN p_size * 0.5 END AS longitude, p_brand AS source, CAST(NULL AS DOUBLE) AS score, DATE '2026-05-15' - p_size * 2 AS geocoded_at,
+CACHE = """cache AS (SELECT lpad(CAST(p_partkey AS VARCHAR), 14, '0') AS siret, CASE WHEN p_type = 'SMALL' THEN p_size * 1.5::DOUBLE END AS latitude,
+    CASE WHEN p_type = 'SMALL' THEN p_size * 0.5::DOUBLE END AS longitude, p_brand AS source, CAST(NULL AS DOUBLE) AS score, DATE '2026-05-15' - p_size * 2 AS geocoded_at,
     CASE p_type WHEN 'SMALL' THEN 'success' WHEN 'PROMO' THEN 'not_in_sirene' ELSE 'failed' END AS status FROM part WHERE p_type <> 'LARGE')"""
 PENDING = """ids AS (SELECT DISTINCT siret FROM (SELECT lpad(CAST(l_partkey AS VARCHAR), 14, '0') AS siret FROM lineitem
     UNION ALL SELECT lpad(CAST(l_suppkey + 1900 AS VARCHAR), CASE WHEN l_returnflag = 'N' THEN 13 ELSE 14 END, '0') FROM lineitem) WHERE length(siret) = 14),
@@ -236,7 +236,7 @@ fresh AS (SELECT siret, NULL AS latitude, NULL AS longitude, 'geoplateforme' AS
     FROM pending WHERE siret NOT IN (SELECT siret FROM known)
   UNION ALL SELECT siret, CASE WHEN score >= 0.5 THEN latitude END, CASE WHEN score >= 0.5 THEN longitude END, 'geoplateforme', score, DATE '2026-05-15',
     CASE WHEN score >= 0.5 THEN 'success' ELSE 'failed' END, 2 FROM (
-      SELECT lpad(CAST(c_custkey AS VARCHAR), 14, '0') AS siret, CASE WHEN c_acctbal > 0 THEN c_acctbal / 10000 END AS score, c_nationkey * 2.5 AS latitude, c_nationkey * 1.5 AS longitude FROM customer)
+      SELECT lpad(CAST(c_custkey AS VARCHAR), 14, '0') AS siret, CASE WHEN c_acctbal > 0 THEN c_acctbal / 10000 END AS score, c_nationkey * 2.5::DOUBLE AS latitude, c_nationkey * 1.5::DOUBLE AS longitude FROM customer)
     WHERE siret IN (SELECT siret FROM pending))
 SELECT siret, latitude, longitude, source, score, geocoded_at, status FROM (
   SELECT *, row_number() OVER (PARTITION BY siret ORDER BY layer DESC) AS rn FROM (SELECT *, 0 AS layer FROM cache UNION ALL SELECT * FROM fresh)) WHERE rn = 1
@@ -300,7 +300,7 @@ def retry_selection(spark, sf):
 
 
 @query("""
-WITH l AS (SELECT lpad(CAST(o_custkey AS VARCHAR), 14, '0') AS a, o_custkey * 0.5 AS ala, CASE WHEN l_tax <> 0 THEN l_tax END AS alo,
+WITH l AS (SELECT lpad(CAST(o_custkey AS VARCHAR), 14, '0') AS a, o_custkey * 0.5::DOUBLE AS ala, CASE WHEN l_tax <> 0 THEN l_tax END AS alo,
     lpad(CAST(l_suppkey AS VARCHAR), CASE WHEN l_returnflag = 'R' THEN 9 ELSE 14 END, '0') AS t, nullif(l_discount, 0) AS tla, l_quantity AS tlo
   FROM lineitem JOIN orders ON l_orderkey = o_orderkey),
 u AS (SELECT a AS siret, ala AS latitude, alo AS longitude, 0 AS role FROM l UNION ALL SELECT t, tla, tlo, 1 FROM l)

@@ -60,7 +60,7 @@ def apply_versions_ffill(spark, sf):
     )
     rows = orders.join(lines, F.col("o_orderkey") == F.col("l_orderkey"), "left").drop("o_orderkey", "l_orderkey")
     return versions.apply_versions(
-        rows, "uid", changing=["awarded", "published", "amount", "months"], carry=["amount", "months"]
+        rows, ["uid"], changing=["awarded", "published", "amount", "months"], carry=["amount", "months"]
     )
 
 

@@ -63,7 +63,7 @@ def forward_fill(
 
 def apply_versions(
     df: DataFrame,
-    key: str = "uid",
+    keys: Sequence[str] = ("uid",),
     changing: Sequence[str] = ("dateNotification", "datePublicationDonnees", "montant", "dureeMois", "titulaires"),
     carry: Sequence[str] = ("montant", "dureeMois", "titulaires"),
     prefix: str = "modification_",
@@ -84,8 +84,9 @@ def apply_versions(
         c.removeprefix(prefix).removesuffix(suffix): c for c in starting_with(df, prefix) if c != f"{prefix}id"
     }
     versioned = [*changing, *[c for c in source_of if c not in changing]]
+    keys = list(keys)
     plain = [c for c in df.columns if not c.startswith(prefix)]
-    fixed = [c for c in plain if c not in versioned and c != key]
+    fixed = [c for c in plain if c not in versioned and c not in keys]
     types = {f.name: f.dataType for f in df.schema}
     kind = {c: types[c] if c in types else types[source_of[c]] for c in versioned}
     order = [changing[0], "_amended", *[c for c in versioned[1:] if c not in carry]]
@@ -101,23 +102,23 @@ def apply_versions(
     has_amendment = any_filled(source_of.values())
 
     def where_rows_meet(part: DataFrame) -> DataFrame:
-        by_content = Window.partitionBy(key).orderBy(*row_order(part.select(*plain), leave_out=[key]))
+        by_content = Window.partitionBy(*keys).orderBy(*row_order(part.select(*plain), leave_out=keys))
         marked = part.withColumns(
             {"_row": F.row_number().over(by_content), "_fixed": F.first(F.struct(F.lit(0).alias("_"), *fixed)).over(by_content)}
         )
         both = F.array_compact(F.array(F.when(F.col("_row") == 1, original), F.when(has_amendment, amendment)))
-        rows = marked.select(key, "_fixed", F.inline(both))
-        filled = _fill_in_one_window(rows, [key], order, carry)
-        return filled.select(key, *versioned, *[F.col("_fixed")[c].alias(c) for c in fixed])
+        rows = marked.select(*keys, "_fixed", F.inline(both))
+        filled = _fill_in_one_window(rows, keys, order, carry)
+        return filled.select(*keys, *versioned, *[F.col("_fixed")[c].alias(c) for c in fixed])
 
     def by_joins(part: DataFrame) -> DataFrame:
-        base = keep_first(part.select(*plain), [key])
-        first = base.select(key, F.inline(F.array(original)))
-        later = part.where(has_amendment).select(key, F.inline(F.array(amendment)))
-        filled = _fill_step_by_step(first.unionByName(later), [key], order, carry)
-        return null_safe_left(filled.drop("_amended"), base.select(key, *fixed), [key])
+        base = keep_first(part.select(*plain), keys)
+        first = base.select(*keys, F.inline(F.array(original)))
+        later = part.where(has_amendment).select(*keys, F.inline(F.array(amendment)))
+        filled = _fill_step_by_step(first.unionByName(later), keys, order, carry)
+        return null_safe_left(filled.drop("_amended"), base.select(*keys, *fixed), keys)
 
-    return by_key_size(df, [key], where_rows_meet, by_joins, hot_rows)
+    return by_key_size(df, keys, where_rows_meet, by_joins, hot_rows)
 
 
 def number_versions(

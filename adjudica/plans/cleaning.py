@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import date
 
 from pyspark.sql import DataFrame, functions as F
@@ -130,9 +131,12 @@ def clean_values(df: DataFrame, as_of: date) -> DataFrame:
     return typed(df, as_of)
 
 
-def clean(df: DataFrame, layout: str, as_of: date) -> DataFrame:
-    """Raw flattened records of one layout to typed rows, one per version and holder."""
+def clean(df: DataFrame, layout: str, as_of: date, within: Sequence[str] = ()) -> DataFrame:
+    """Raw flattened records of one layout to typed rows, one per version and holder.
+
+    Amendments belong to the records of the same resource, which ``within`` names.
+    """
     if layout == "2019":
         df = merge_buyer_id(df)
-    versions = apply_versions(clean_holders(identify(df), layout))
+    versions = apply_versions(clean_holders(identify(df), layout), [*within, "uid"])
     return clean_values(spread_holders(versions), as_of)

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from adjudica.operators.counts import distinct_per_group, exact_median, members
 from adjudica.operators.dedup import keep_first
 from adjudica.operators.joins import null_safe_left
+from adjudica.session import materialise
 
 # First reported year and the address of a data set's page.
 FIRST_YEAR = 2018
@@ -83,17 +84,21 @@ def overall_stats(df: DataFrame, current: DataFrame) -> DataFrame:
 
 def contract_stats(df: DataFrame, as_of: date, first_year: int = FIRST_YEAR) -> DataFrame:
     """The statistics document: totals and one object per year, in one row."""
-    current = current_records(
-        df.select(
-            "uid",
-            "acheteur_id",
-            "dateNotification",
-            "datePublicationDonnees",
-            "montant",
-            "donneesActuelles",
-            "sourceDataset",
-            "sourceFile",
-        )
+    # Written once: totals, publications, awards and medians each read it.
+    current = materialise(
+        current_records(
+            df.select(
+                "uid",
+                "acheteur_id",
+                "dateNotification",
+                "datePublicationDonnees",
+                "montant",
+                "donneesActuelles",
+                "sourceDataset",
+                "sourceFile",
+            )
+        ),
+        "current",
     )
     by_year = yearly_stats(df, current, as_of, first_year)
     figures = [c for c in by_year.columns if c != "annee"]

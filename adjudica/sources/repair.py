@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from adjudica.functions.text import without_control_characters
 
 # What the senders are known to get wrong.
-BYTE_ORDER_MARK = "﻿"
+BYTE_ORDER_MARK = "\ufeff"
 NOT_A_NUMBER = r"NaN([,\n])"
 QUOTED_TITLE = r'"objet":"(.*?)","'
 
