@@ -11,8 +11,10 @@ def source_sets(df: DataFrame, key: str = "uid", source: str = "sourceDataset")
     """Which set of sources holds a key, and how many keys each such set has.
 
     A key's set is no larger than the list of sources, and the result has one row per set that occurs.
+    Rows without a source count under the name ``null``.
     """
-    per_key = df.groupBy(key).agg(F.array_sort(F.collect_set(source)).alias("sources"))
+    named = F.coalesce(F.col(source).cast("string"), F.lit("null"))
+    per_key = df.groupBy(key).agg(F.array_sort(F.collect_set(named)).alias("sources"))
     return per_key.groupBy("sources").agg(F.count(F.lit(1)).alias("n_keys"))
 
 
