@@ -8,6 +8,7 @@ from adjudica.catalogue.registry import AS_OF, query, table
 from adjudica.functions import nested, rules, text, typing
 from adjudica.operators.columns import on_columns, text_columns
 from adjudica.plans import cleaning
+from adjudica.session import spread
 
 
 @query(r"""
@@ -44,7 +45,7 @@ SELECT doc_id, lang,
 FROM documents
 """)
 def clean_text(spark, sf):
-    documents = table(spark, sf, "documents")
+    documents = spread(table(spark, sf, "documents"))
     body = F.col("text")
     return documents.select(
         "doc_id",
@@ -327,7 +328,8 @@ def clean_chain(spark, sf):
     )
     no_text = F.lit(None).cast("string")
     raw = (
-        lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+        spread(lines)
+        .join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
         .join(part, F.col("l_partkey") == F.col("p_partkey"))
         .select(
             F.concat_ws("/", txt("l_orderkey"), txt("l_linenumber"), txt("l_partkey"), txt("l_suppkey")).alias("id"),

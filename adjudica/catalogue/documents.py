@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from adjudica.catalogue.registry import query, table
 from adjudica.functions import nested, text
-from adjudica.session import work_path
+from adjudica.session import spread, work_path
 from adjudica.sources import documents, pages, repair
 
 KEYS_PER_DOCUMENT = 20_000
@@ -218,7 +218,8 @@ def amendment_shapes(spark, sf):
         .otherwise('"none"')
     )
     keys = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
-    rows = table(spark, sf, "lineitem").select(*keys, F.explode(nested.amendments(raw)).alias("a"))
+    lines = spread(table(spark, sf, "lineitem").select(*keys, "l_quantity", "l_returnflag", "l_linestatus"))
+    rows = lines.select(*keys, F.explode(nested.amendments(raw)).alias("a"))
     return rows.select(*keys, F.col("a.montant").try_cast("double").alias("amount"))
 
 
@@ -239,7 +240,9 @@ def nested_holders(spark, sf):
     shown = F.array_join(
         F.transform(tidy, lambda h: F.concat(h["titulaire_typeIdentifiant"], F.lit(":"), h["titulaire_id"])), ","
     )
-    return table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", shown.alias("holders"))
+    keys = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
+    lines = spread(table(spark, sf, "lineitem").select(*keys, "l_quantity", "l_returnflag", "l_linestatus"))
+    return lines.select(*keys, shown.alias("holders"))
 
 
 @query("""

@@ -10,6 +10,7 @@ from adjudica.catalogue.registry import NUMBERED, PUBLISHED, published, query, t
 from adjudica.operators import counts, overlap
 from adjudica.operators.versions import number_versions
 from adjudica.plans import stats
+from adjudica.session import materialise
 
 CURRENT = """current_rows AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY uid ORDER BY acheteur_id NULLS LAST, "dateNotification" NULLS LAST,
     "datePublicationDonnees" NULLS LAST, "donneesActuelles", montant NULLS LAST, "sourceDataset" NULLS LAST, "sourceFile" NULLS LAST) AS rn
@@ -129,8 +130,8 @@ SELECT y.annee, coalesce(p.n, 0) AS nb_publications_marches, coalesce(a.n, 0) AS
 FROM y LEFT JOIN p USING (annee) LEFT JOIN a USING (annee) LEFT JOIN h USING (annee)
 """)
 def yearly_stats(spark, sf):
-    rows = number_versions(published(spark, sf))
-    current = stats.current_records(rows.select(*CURRENT_COLUMNS))
+    rows = materialise(number_versions(published(spark, sf)), "numbered")
+    current = materialise(stats.current_records(rows.select(*CURRENT_COLUMNS)), "current")
     return stats.yearly_stats(rows, current, date(2003, 6, 30), first_year=1994)
 
 
@@ -141,8 +142,8 @@ SELECT count(DISTINCT "sourceFile") AS nb_resources, string_agg(DISTINCT "source
   (SELECT count(*) - 1 FROM (SELECT DISTINCT titulaire_id, "titulaire_typeIdentifiant" FROM numbered)) AS nb_titulaires_uniques, CAST(12 AS INTEGER) AS nb_colonnes FROM current_rows
 """)
 def global_counts(spark, sf):
-    rows = number_versions(published(spark, sf))
-    current = stats.current_records(rows.select(*CURRENT_COLUMNS))
+    rows = materialise(number_versions(published(spark, sf)), "numbered")
+    current = materialise(stats.current_records(rows.select(*CURRENT_COLUMNS)), "current")
     return stats.overall_stats(rows, current).withColumn("sources", F.array_join("sources", ",")).drop("colonnes_triees")
 
 

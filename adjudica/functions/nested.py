@@ -29,6 +29,11 @@ def parse_holders(text: Column, layout: str) -> Column:
     return F.from_json(innermost_list(text) if layout == "2019" else text, HOLDERS[layout])
 
 
+def non_empty(items: Column) -> Column:
+    """An array, or null where it is empty; the array is worked out once."""
+    return F.get(F.filter(F.array(items), lambda a: F.size(a) > 0), F.lit(0))
+
+
 def tidy_holders(holders: Column, layout: str) -> Column:
     """Holders as ``titulaire_id`` and ``titulaire_typeIdentifiant``; void ones and void lists go."""
     inner = (lambda h: h["titulaire"]) if layout == "2022" else (lambda h: h)
@@ -41,7 +46,7 @@ def tidy_holders(holders: Column, layout: str) -> Column:
     kept = F.filter(
         renamed, lambda h: h["titulaire_id"].isNotNull() | h["titulaire_typeIdentifiant"].isNotNull()
     )
-    return F.when(F.size(kept) > 0, kept)
+    return non_empty(kept)
 
 
 def list_text(c: Column) -> Column:

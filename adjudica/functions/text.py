@@ -7,8 +7,9 @@ from functools import reduce
 from pyspark.sql import Column, functions as F
 
 # Patterns and words that decide the published results.
-ID_CHARACTERS = r"[ ,\\./]"
+ID_CHARACTERS = " ,\\./"
 APOSTROPHE_IN_WORD = r"(?U)(\w)'(\w)"
+WHITE_SPACE = " \t\n\x0b\x0c\r\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 CONTROL_CHARACTERS = r"[\x00-\x08\x0B\x0C\x0E-\x1F\x7F]"
 NOT_COMMUNICATED = "NC"
 NATURE_SPELLING = {"Marche": "Marché", "subsequent": "subséquent"}
@@ -17,7 +18,7 @@ PRODUCT_CODE_LENGTH = 8
 
 def tidy_id(c: Column) -> Column:
     """Spaces, commas, dots and slashes of an identifier become underscores."""
-    return F.regexp_replace(c, ID_CHARACTERS, "_")
+    return F.translate(c, ID_CHARACTERS, "_" * len(ID_CHARACTERS))
 
 
 def blank_to_null(c: Column) -> Column:
@@ -46,7 +47,7 @@ def pad_left(c: Column, width: int, fill: str = "0") -> Column:
 
 
 def strip(c: Column) -> Column:
-    return F.regexp_replace(c, r"(?U)^\s+|\s+$", "")
+    return F.btrim(c, F.lit(WHITE_SPACE))
 
 
 def one_line(c: Column) -> Column:
@@ -55,7 +56,7 @@ def one_line(c: Column) -> Column:
 
 
 def typographic_apostrophes(c: Column) -> Column:
-    return F.regexp_replace(c, APOSTROPHE_IN_WORD, "$1’$2")
+    return F.when(F.contains(c, F.lit("'")), F.regexp_replace(c, APOSTROPHE_IN_WORD, "$1’$2")).otherwise(c)
 
 
 def without_control_characters(c: Column) -> Column:

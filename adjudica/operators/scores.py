@@ -15,18 +15,21 @@ TOP_RANKS = 10
 def ranked_shares(df: DataFrame, group: str, item: str, top: int = TOP_RANKS) -> DataFrame:
     """Share of each item in its group, ranked densely, ties and all; ranks above ``top`` go.
 
-    Works on the counts, of which a group has no more than there are items.
+    Rows are counted once. Ranks are given to the distinct counts of a group, of which there are few even
+    where very many items tie, and then meet the items by count.
     """
     counts = counted(df, [group, item], "nb_marches")
-    totals = counted(df, [group], "_total")
-    score = F.col("nb_marches") / F.col("_total")
-    best_first = Window.partitionBy(group).orderBy(F.col("score").desc())
-    return (
-        counts.join(totals, group)
-        .withColumn("score", score)
-        .drop("_total")
-        .withColumn("rank", F.dense_rank().over(best_first))
+    totals = counts.groupBy(group).agg(F.sum("nb_marches").alias("_total"))
+    largest_first = Window.partitionBy(group).orderBy(F.col("nb_marches").desc())
+    ranks = (
+        counts.select(group, "nb_marches")
+        .distinct()
+        .withColumn("rank", F.dense_rank().over(largest_first))
         .where(F.col("rank") <= top)
+        .join(totals, group)
+    )
+    return counts.join(ranks, [group, "nb_marches"]).select(
+        group, item, "nb_marches", (F.col("nb_marches") / F.col("_total")).alias("score"), "rank"
     )
 
 
