@@ -8,7 +8,6 @@ from datetime import date
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from adjudica.functions.text import without_control_characters
 from adjudica.operators.columns import in_contract_order, published_order, starting_with
 from adjudica.operators.dedup import keep_first
 from adjudica.operators.overlap import overlap_pairs
@@ -26,9 +25,10 @@ from adjudica.sinks.contract import base_contract, contract_document
 from adjudica.sources import documents, manifest, repair
 from adjudica.sources.layouts import CONTRACT_COLUMNS, LAYOUTS
 
-# Fixed value: address of a resource's page.
+# Address of a resource's page, and the data set that doubles its backslashes.
 RESOURCE_PAGE = "https://www.data.gouv.fr/datasets/{}/#/resources/{}"
-PER_RESOURCE = ["sourceFile"]
+CARELESS_WITH_BACKSLASHES = ["68caf6b135f19236a4f37a32"]
+PER_RESOURCE = ["checksum", "sourceFile"]
 
 
 def resource_link(dataset: str = "dataset_id", resource: str = "id") -> Column:
@@ -41,19 +41,23 @@ def _plain_path(c: Column) -> Column:
     return F.regexp_replace(F.coalesce(F.try_url_decode(c), c), "^file:/+", "/")
 
 
-def _origins(resources: DataFrame) -> DataFrame:
-    return resources.select(
-        _plain_path(F.col("url")).alias("path"), F.col("dataset_code").alias("_dataset"), resource_link().alias("_link")
+def _with_origin(files_or_records: DataFrame, resources: DataFrame) -> DataFrame:
+    """Add the data set, page and checksum of the resource a path belongs to."""
+    origins = resources.select(
+        _plain_path(F.col("url")).alias("path"),
+        F.col("dataset_id").alias("_dataset_id"),
+        F.col("dataset_code").alias("_dataset"),
+        resource_link().alias("_link"),
+        "checksum",
     )
+    return files_or_records.withColumn("path", _plain_path(F.col("path"))).join(origins, "path").drop("path")
 
 
-def _placed(records: DataFrame, origins: DataFrame) -> DataFrame:
-    """Records with the data set and the resource their file belongs to."""
-    known = records.withColumn("path", _plain_path(F.col("path"))).join(origins, "path").drop("path")
-    merged = F.when(
-        F.col("_dataset") == MERGED_SOURCE, F.concat(F.col("_dataset"), F.lit("_"), F.col("source"))
-    ).otherwise(F.col("_dataset"))
-    return documents.with_source(known, merged, F.col("_link")).drop("_dataset", "_link")
+def _placed(records: DataFrame) -> DataFrame:
+    """Name the data set and the resource on every record; a merged data set is told apart by sender."""
+    sender = F.concat(F.col("_dataset"), F.lit("_"), F.col("source"))
+    code = F.when(F.col("_dataset") == MERGED_SOURCE, sender).otherwise(F.col("_dataset"))
+    return documents.with_source(records, code, F.col("_link")).drop("_dataset", "_link", "_dataset_id")
 
 
 def _paths(resources: DataFrame, kind: str) -> list[str]:
@@ -61,30 +65,49 @@ def _paths(resources: DataFrame, kind: str) -> list[str]:
     return [r[0] for r in resources.where(F.col("format") == kind).select("url").collect()]
 
 
+def _read_json(
+    spark: SparkSession, resources: DataFrame, paths: list[str], replacements: dict[str, str] | None
+) -> tuple[dict[str, DataFrame], DataFrame]:
+    # Origins join the documents, of which there are far fewer than records.
+    payloads = _with_origin(documents.read_payloads(spark, *paths), resources)
+    payload, careless = F.col("payload"), F.col("_dataset_id").isin(*CARELESS_WITH_BACKSLASHES)
+    payloads = payloads.withColumn("payload", F.when(careless, repair.stray_backslashes(payload)).otherwise(payload))
+    good, bad = repair.split_rejects(payloads, replacements=replacements)
+    flat = {n: _placed(documents.flatten(documents.records(good, n), n)) for n in LAYOUTS}
+    return flat, bad.unionByName(documents.rejected(good)).select("_link", "payload")
+
+
+def _read_xml(spark: SparkSession, resources: DataFrame, paths: list[str]) -> list[DataFrame]:
+    """XML by declared encoding; files with control characters are cleaned as text first."""
+    found_kinds = documents.xml_files(documents.read_payloads(spark, *paths)).withColumn("path", _plain_path(F.col("path")))
+    listed = resources.select(_plain_path(F.col("url")).alias("path"), "url").distinct()
+    by_kind = found_kinds.join(listed, "path").groupBy("encoding", "damaged").agg(F.collect_list("url").alias("paths"))
+    kinds = by_kind.collect()  # no longer than the list of resources
+    tables = []
+    for kind in kinds:
+        if kind.damaged:
+            tidy = documents.read_payloads(spark, *kind.paths).withColumn("payload", repair.xml_text(F.col("payload")))
+            found = documents.records_from_xml_text(tidy)
+        else:
+            found = documents.read_xml_records(spark, *kind.paths, encoding=kind.encoding)
+        tables.append(_placed(_with_origin(documents.flatten_xml(found), resources)))
+    return tables
+
+
 def read_resources(
     spark: SparkSession, resources: DataFrame, replacements: dict[str, str] | None = None
 ) -> tuple[dict[str, DataFrame], DataFrame]:
     """Flat records per layout from all listed files, and the payloads that could not be read."""
-    origins = _origins(resources)
     flat: dict[str, list[DataFrame]] = {name: [] for name in LAYOUTS}
-    rejects: list[DataFrame] = []
-    json_files, xml_files = _paths(resources, "json"), _paths(resources, "xml")
+    rejects = spark.createDataFrame([], "_link string, payload string")
+    json_files, xml = _paths(resources, "json"), _paths(resources, "xml")
     if json_files:
-        good, bad = repair.split_rejects(documents.read_payloads(spark, *json_files), replacements=replacements)
-        for name in LAYOUTS:
-            flat[name].append(_placed(documents.flatten(documents.records(good, name), name), origins))
-        rejects += [bad, documents.rejected(good)]
-    if xml_files:
-        flat["2022"].append(_placed(documents.flatten_xml(documents.read_xml_records(spark, *xml_files)), origins))
-    nothing = spark.createDataFrame([], "path string, payload string")
-    return {n: stack_diagonal(t) for n, t in flat.items() if t}, stack_diagonal([nothing, *rejects])
-
-
-def read_damaged_xml(spark: SparkSession, resources: DataFrame) -> DataFrame:
-    """XML files whose control characters make them unreadable, cleaned as text first."""
-    payloads = documents.read_payloads(spark, *_paths(resources, "xml"))
-    tidy = payloads.withColumn("payload", without_control_characters(F.col("payload")))
-    return _placed(documents.flatten_xml(documents.records_from_xml_text(tidy)), _origins(resources))
+        found, rejects = _read_json(spark, resources, json_files, replacements)
+        for name, df in found.items():
+            flat[name].append(df)
+    if xml:
+        flat["2022"] += _read_xml(spark, resources, xml)
+    return {n: stack_diagonal(t) for n, t in flat.items() if t}, rejects.withColumnRenamed("_link", "sourceFile")
 
 
 def clean_resources(flat: dict[str, DataFrame], as_of: date) -> DataFrame:
@@ -95,13 +118,19 @@ def clean_resources(flat: dict[str, DataFrame], as_of: date) -> DataFrame:
 
 
 def ingest(spark: SparkSession, resources: DataFrame, done: DataFrame | None, out: str, as_of: date) -> DataFrame:
-    """Clean the resources that are new and append them; returns the resources taken."""
+    """Clean the resources that are new; returns the resources taken, to be added to ``done``.
+
+    Every checksum has its own folder, which a repeated run replaces, so that a run that fails half-way leaves
+    no second copy. Rebalancing gives a large resource several tasks and small ones a common one.
+    """
     fresh = manifest.large_enough(resources)
     if done is not None:
         fresh = manifest.not_yet_ingested(fresh, done)
     flat, _ = read_resources(spark, fresh)
     if flat:
-        clean_resources(flat, as_of).write.mode("append").parquet(out, compression="zstd")
+        cleaned = clean_resources(flat, as_of).hint("rebalance", "checksum")
+        writer = cleaned.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("checksum")
+        writer.parquet(out, compression="zstd")
     return fresh
 
 
@@ -127,7 +156,7 @@ def publish(
     replies: DataFrame | None = None,
 ) -> Published:
     """From cleaned rows of all sources to the published tables."""
-    rows = stack_diagonal(list(cleaned))
+    rows = stack_diagonal(list(cleaned)).drop("checksum")
     overlap = materialise(overlap_pairs(rows), "overlap")
     numbered = number_versions(keep_first(rows, list(ROW_KEY)))
     enriched = materialise(enrich(numbered, companies, sites).drop(*CACHE_DETAILS), "enriched")

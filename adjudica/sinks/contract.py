@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from adjudica.sources.layouts import CONTRACT
+from adjudica.sources.layouts import CONTRACT, DECLARED_TYPES
 
 # Type names of the published description.
 TYPE_NAMES = {
@@ -28,11 +28,21 @@ def contract_rows(df: DataFrame) -> DataFrame:
 def base_contract(df: DataFrame) -> DataFrame:
     """The titled columns, in published order."""
     rows = [
-        (i, name, title, TYPE_NAMES[kind.simpleString()]) for i, (name, title, kind) in enumerate(CONTRACT)
+        (i, name, title, DECLARED_TYPES.get(name, TYPE_NAMES[kind.simpleString()])) for i, (name, title, kind) in enumerate(CONTRACT)
     ]
     return df.sparkSession.createDataFrame(rows, "position int, name string, title string, type string")
 
 
+def read_contract(spark: SparkSession, path: str) -> DataFrame:
+    """A description kept as a JSON document: its ordered fields with their metadata."""
+    fields = (
+        "fields array<struct<name:string,title:string,short_title:string,type:string,format:string,"
+        "description:string,enum:array<string>>>"
+    )
+    document = spark.read.schema(fields).json(path, multiLine=True)
+    return document.select(F.posexplode("fields").alias("position", "field")).select("position", "field.*")
+
+
 def described(df: DataFrame, base: DataFrame, metadata: Sequence[str] = ("title",)) -> DataFrame:
     """Titled columns with their declared type; the type found stands beside it.
 
@@ -48,5 +58,6 @@ def described(df: DataFrame, base: DataFrame, metadata: Sequence[str] = ("title"
 
 def contract_document(df: DataFrame, base: DataFrame) -> DataFrame:
     """All described columns in one row, by name, ready to be written as one JSON document."""
-    fields = F.struct("name", "title", "type", "actual_type")
-    return described(df, base).agg(F.array_sort(F.collect_list(fields)).alias("fields"))
+    metadata = [c for c in base.columns if c not in ("position", "name", "type")]
+    fields = F.struct("name", *metadata, "type", "actual_type")
+    return described(df, base, metadata).agg(F.array_sort(F.collect_list(fields)).alias("fields"))

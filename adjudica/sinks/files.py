@@ -32,5 +32,8 @@ def write_document(df: DataFrame, path: str) -> None:
 
 def write_by_month(df: DataFrame, path: str, date: str, source: str, mode: str = "overwrite") -> None:
     """Collected records as JSON lines, one folder per month, marked with the collector's name."""
-    marked = df.withColumns({"month": F.substring(F.col(date).cast("string"), 1, 7), "source": F.lit(source)})
-    marked.write.mode(mode).partitionBy("month").json(path)
+    marked = df.drop("$schema").withColumns(
+        {"month": F.substring(F.col(date).cast("string"), 1, 7), "source": F.lit(source)}
+    )
+    # A large month is spread over several files, small months do not leave one per task.
+    marked.hint("rebalance", "month").write.mode(mode).partitionBy("month").json(path)

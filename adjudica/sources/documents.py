@@ -6,7 +6,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import ArrayType, StructField, StructType
 
 from adjudica.functions import nested
-from adjudica.sources.layouts import LAYOUTS, LIST_FIELDS, PLAIN_FIELDS, RECORD
+from adjudica.functions.text import CONTROL_CHARACTERS
+from adjudica.sources.layouts import BLOCKS, LAYOUTS, LIST_FIELDS, PLAIN_FIELDS, RECORD
 
 PAYLOAD = "payload"
 TEXT_LIST = "array<string>"
@@ -33,13 +34,13 @@ def _nest(path: tuple[str, ...]) -> StructType:
 
 
 def records(payloads: DataFrame, layout: str) -> DataFrame:
-    """Records of all documents of one layout; null records go."""
-    path = LAYOUTS[layout].path
+    """Records of all documents of one layout, with the other columns of their document; null records go."""
+    path, origin = LAYOUTS[layout].path, [c for c in payloads.columns if c != PAYLOAD]
     document = payloads.where(layout_of(F.col(PAYLOAD)) == layout).select(
-        "path", F.from_json(PAYLOAD, _nest(path)).alias("document")
+        *origin, F.from_json(PAYLOAD, _nest(path)).alias("document")
     )
-    listed = document.select("path", F.explode(F.col("document." + ".".join(path))).alias("record"))
-    return listed.where("record is not null").select("path", "record.*")
+    listed = document.select(*origin, F.explode(F.col("document." + ".".join(path))).alias("record"))
+    return listed.where("record is not null").select(*origin, "record.*")
 
 
 def rejected(payloads: DataFrame) -> DataFrame:
@@ -54,7 +55,10 @@ def read_record_lines(spark: SparkSession, *paths: str) -> DataFrame:
 
 
 def flatten(df: DataFrame, layout: str) -> DataFrame:
-    """One row per amendment and one for the base, with ``modification_`` columns, all values as text."""
+    """One row per amendment and one for the base, with ``modification_`` columns, all values as text.
+
+    Columns that are not part of a record, such as its path, are kept.
+    """
     if layout == "2019":
         lists = [F.from_json(name, TEXT_LIST).alias(name) for name in LIST_FIELDS]
     else:
@@ -64,7 +68,7 @@ def flatten(df: DataFrame, layout: str) -> DataFrame:
         ]
     changes = nested.amendments(F.col("modifications"))
     base = df.select(
-        *[c for c in df.columns if c in ("path", "_dataset")],
+        *[c for c in df.columns if c not in RECORD.names],
         *PLAIN_FIELDS,
         *([F.col("`acheteur.id`")] if layout == "2019" else []),
         F.col("acheteur.id").alias("acheteur_id"),
@@ -97,6 +101,19 @@ XML_RECORD = (
 )
 
 
+XML_NAMES = [*PLAIN_FIELDS, "acheteur", "lieuExecution", *LIST_FIELDS, *BLOCKS]
+
+
+def xml_files(payloads: DataFrame) -> DataFrame:
+    """Declared encoding of XML documents, and whether control characters keep them from being read."""
+    declared = F.regexp_extract(PAYLOAD, r"""<\?xml[^>]*\bencoding=["']([^"']+)""", 1)
+    return payloads.select(
+        "path",
+        F.coalesce(F.nullif(F.upper(declared), F.lit("")), F.lit("UTF-8")).alias("encoding"),
+        F.col(PAYLOAD).rlike(CONTROL_CHARACTERS).alias("damaged"),
+    )
+
+
 def read_xml_records(spark: SparkSession, *paths: str, encoding: str = "ISO-8859-15") -> DataFrame:
     """Records of XML documents: one row per ``marche`` element."""
     reader = spark.read.format("xml").option("rowTag", "marche").option("encoding", encoding)
@@ -106,9 +123,10 @@ def read_xml_records(spark: SparkSession, *paths: str, encoding: str = "ISO-8859
 
 def records_from_xml_text(payloads: DataFrame) -> DataFrame:
     """Records of XML documents held as text, such as those with control characters taken out."""
+    origin = [c for c in payloads.columns if c != PAYLOAD]
     pieces = F.explode(F.regexp_extract_all(PAYLOAD, F.lit(r"(?s)<marche>.*?</marche>"), F.lit(0)))
-    found = payloads.select("path", pieces.alias("element"))
-    return found.select("path", F.from_xml("element", XML_RECORD).alias("record")).select("path", "record.*")
+    found = payloads.select(*origin, pieces.alias("element"))
+    return found.select(*origin, F.from_xml("element", XML_RECORD).alias("record")).select(*origin, "record.*")
 
 
 def _as_wrapped(holders: Column) -> Column:
@@ -118,7 +136,7 @@ def _as_wrapped(holders: Column) -> Column:
 def flatten_xml(df: DataFrame) -> DataFrame:
     """XML records in the same flat form as JSON records of the newer layout."""
     rows = df.select(
-        "path",
+        *[c for c in df.columns if c not in XML_NAMES],
         *PLAIN_FIELDS,
         F.col("acheteur.id").alias("acheteur_id"),
         F.col("lieuExecution.code").alias("lieuExecution_code"),

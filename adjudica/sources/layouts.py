@@ -139,6 +139,8 @@ CONTRACT: list[tuple[str, str, DataType]] = [
     ("sourceDataset", "Source dataset", _S),
     ("sourceFile", "Source fichier", _S),
 ]
+# Columns that the published description declares otherwise than they are stored.
+DECLARED_TYPES = {"acheteur_id": "integer", "titulaire_id": "integer", "lieuExecution_code": "integer"}
 CONTRACT_COLUMNS = [name for name, _, _ in CONTRACT]
 
 

@@ -59,8 +59,12 @@ def test_documents_to_published_tables(spark, resources, registers, tmp_path):
     assert "https://www.data.gouv.fr/datasets/d1/#/resources/r1" in values(cleaned, "sourceFile")
     assert {"decp_minef_sender", "other", "third"} <= set(values(cleaned, "sourceDataset"))
 
+    before = rows(cleaned)
+    repeated = nightly.ingest(spark, resources, None, out, AS_OF)
+    assert repeated.count() == 4 and rows(spark.read.parquet(out)) == before
+
     again = nightly.ingest(spark, resources, taken, out, AS_OF)
-    assert again.count() == 0 and spark.read.parquet(out).count() == cleaned.count()
+    assert again.count() == 0 and spark.read.parquet(out).count() == len(before)
 
     companies, sites, cache, registry = registers
     result = nightly.publish([spark.read.parquet(out)], companies, sites, cache, registry, AS_OF)
@@ -88,6 +92,22 @@ def test_documents_to_published_tables(spark, resources, registers, tmp_path):
     assert stats["nb_marches"] == contracts.where("donneesActuelles").select("uid").distinct().count()
 
 
+def test_xml_of_any_encoding_and_with_control_characters(spark, frame, tmp_path):
+    texts = {
+        "latin": XML.encode("ISO-8859-15"),
+        "utf": XML.replace("ISO-8859-15", "utf-8").encode(),
+        "bare": XML.split("\n", 1)[1].encode(),
+        "damaged": XML.replace("ISO-8859-15", "utf-8").replace("Marché", "Mar\x01ché").encode(),
+    }
+    listed = []
+    for name, data in texts.items():
+        (tmp_path / f"{name}.xml").write_bytes(data)
+        listed.append(("d", "code", name, str(tmp_path / f"{name}.xml"), "xml", f"sum-{name}", 900))
+    flat, rejects = nightly.read_resources(spark, frame(MANIFEST, *listed))
+    assert set(flat) == {"2022"} and rejects.count() == 0
+    assert rows(flat["2022"].select("checksum", "nature").distinct()) == sorted((f"sum-{n}", "Marché") for n in texts)
+
+
 def test_new_files_of_a_folder_are_taken_once(spark, tmp_path):
     folder = tmp_path / "landing"
     folder.mkdir()

@@ -63,6 +63,11 @@ def test_contract(spark, published, tmp_path):
         ("modification_id", "integer", "integer"),
         ("uid", "string", "string"),
     ]
+    (tmp_path / "base.json").write_text(json.dumps({"fields": [{"name": "uid", "title": "U", "type": "string", "description": "d", "x": 1}, {"name": "untitled"}]}))
+    given = contract.described(df, contract.read_contract(spark, str(tmp_path / "base.json")), ["title", "description"])
+    assert rows(given, "name", "title", "description", "actual_type") == [("uid", "U", "d", "string")]
+    declared = {r.name: r.type for r in found.collect()}
+    assert (declared["acheteur_id"], declared["montant"], declared["dureeMois"]) == ("integer", "number", "integer")
     files.write_document(contract.contract_document(df, contract.base_contract(df)), str(tmp_path / "schema"))
     (file,) = (tmp_path / "schema").glob("*.json")
     assert len(json.loads(file.read_text())["fields"]) == 58
