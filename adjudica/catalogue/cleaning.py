@@ -301,7 +301,7 @@ def filled_nulls(spark, sf):
 WITH r AS (SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, p_type, p_name, o_orderpriority AS pr, strftime(l_shipdate, '%Y-%m-%d') AS d,
     CAST(l_extendedprice AS VARCHAR) AS price, CAST(CAST(l_quantity AS INTEGER) AS VARCHAR) AS qty, l_returnflag AS rf, l_linestatus AS ls, o_custkey
   FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN part ON l_partkey = p_partkey WHERE o_orderpriority <> '2-HIGH')
-SELECT 'b' || CAST(o_custkey AS VARCHAR) || CAST(l_orderkey AS VARCHAR) || '_' || CAST(l_linenumber AS VARCHAR) || '_' || CAST(l_partkey AS VARCHAR) || '_' || CAST(l_suppkey AS VARCHAR) AS uid,
+SELECT 'b' || CAST(o_custkey AS VARCHAR) || CAST(l_orderkey AS VARCHAR) || '_' || CAST(l_linenumber AS VARCHAR) || '_' || CAST(l_partkey AS VARCHAR) || '_' || CAST(l_suppkey AS VARCHAR) || '_' || d AS uid,
   CASE WHEN pr = '1-URGENT' THEN 12311111111 ELSE CAST(price AS DOUBLE) END AS montant,
   CASE WHEN ls = 'F' THEN CAST(qty AS SMALLINT) END AS "dureeMois",
   CASE WHEN CAST(d AS DATE) <= DATE '1999-06-30' THEN CAST(d AS DATE) END AS "dateNotification",
@@ -332,7 +332,7 @@ def clean_chain(spark, sf):
         .join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
         .join(part, F.col("l_partkey") == F.col("p_partkey"))
         .select(
-            F.concat_ws("/", txt("l_orderkey"), txt("l_linenumber"), txt("l_partkey"), txt("l_suppkey")).alias("id"),
+            F.concat_ws("/", txt("l_orderkey"), txt("l_linenumber"), txt("l_partkey"), txt("l_suppkey"), day).alias("id"),
             F.when(priority == "2-HIGH", "").otherwise(F.concat(F.lit("b"), txt("o_custkey"))).alias("acheteur_id"),
             F.lit("").alias("acheteur.id"),
             F.when(priority == "1-URGENT", "1000000000000.00").otherwise(txt("l_extendedprice")).alias("montant"),
