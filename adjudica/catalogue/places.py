@@ -104,15 +104,14 @@ def prepare_companies(spark, sf):
 SELECT lpad(CAST(s_suppkey AS VARCHAR), 14, '0') AS siret, lpad(CAST(s_nationkey AS VARCHAR), 5, '0') AS commune_code,
   coalesce(CASE WHEN s_acctbal > 5000 THEN s_name END, 'usual ' || s_name) AS etablissement_nom, n_name AS commune_nom, r_name AS region_nom,
   '01.1A' AS activite_code, 'NAFRev2' AS activite_nomenclature
-FROM supplier LEFT JOIN nation ON n_nationkey = s_nationkey AND n_nationkey <> 7 LEFT JOIN region ON n_regionkey = r_regionkey
+FROM supplier LEFT JOIN nation ON n_nationkey = s_nationkey - 3 LEFT JOIN region ON n_regionkey = r_regionkey
 """)
 def prepare_sites(spark, sf):
     geo_rows = (
         table(spark, sf, "nation")
-        .where("n_nationkey <> 7")
         .join(table(spark, sf, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
         .select(
-            F.lpad(F.col("n_nationkey").cast("string"), 5, "0").alias("commune_code"),
+            F.lpad((F.col("n_nationkey") + 3).cast("string"), 5, "0").alias("commune_code"),
             F.col("n_name").alias("commune_nom"),
             F.col("r_name").alias("region_nom"),
         )
@@ -162,17 +161,17 @@ def enrich_contracts(spark, sf):
 @query("""
 WITH c AS (SELECT DISTINCT o_custkey FROM orders)
 SELECT o_orderkey, c_name, c_mktsegment, n_name, r_name FROM orders LEFT JOIN (
-  SELECT o_custkey AS k, c_name, c_mktsegment, n_name, r_name FROM c JOIN customer ON o_custkey = c_custkey
-  JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey WHERE c_acctbal > 0) ON o_custkey = k
+  SELECT o_custkey AS k, c_name, c_mktsegment, n_name, r_name FROM c JOIN customer ON o_custkey + 100 = c_custkey
+  JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey) ON o_custkey = k
 """)
 def enrich_customer(spark, sf):
     orders = table(spark, sf, "orders").select("o_orderkey", "o_custkey")
-    customers = table(spark, sf, "customer").where("c_acctbal > 0")
+    customers = table(spark, sf, "customer")
     nations = table(spark, sf, "nation").join(table(spark, sf, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
     known = (
         orders.select("o_custkey")
         .distinct()
-        .join(customers, F.col("o_custkey") == F.col("c_custkey"))
+        .join(customers, F.col("o_custkey") + 100 == F.col("c_custkey"))
         .join(nations, F.col("c_nationkey") == F.col("n_nationkey"))
         .select("o_custkey", "c_name", "c_mktsegment", "n_name", "r_name")
     )
@@ -193,9 +192,9 @@ def haversine(spark, sf):
     )
 
 
-CACHE = """cache AS (SELECT lpad(CAST(p_partkey AS VARCHAR), 14, '0') AS siret, CASE WHEN p_type = 'SMALL' THEN p_size * 1.5::DOUBLE END AS latitude,
+CACHE = """cache AS (SELECT lpad(CAST(p_partkey + 300 AS VARCHAR), 14, '0') AS siret, CASE WHEN p_type = 'SMALL' THEN p_size * 1.5::DOUBLE END AS latitude,
     CASE WHEN p_type = 'SMALL' THEN p_size * 0.5::DOUBLE END AS longitude, p_brand AS source, CAST(NULL AS DOUBLE) AS score, DATE '2026-05-15' - p_size * 2 AS geocoded_at,
-    CASE p_type WHEN 'SMALL' THEN 'success' WHEN 'PROMO' THEN 'not_in_sirene' ELSE 'failed' END AS status FROM part WHERE p_type <> 'LARGE')"""
+    CASE p_type WHEN 'SMALL' THEN 'success' WHEN 'PROMO' THEN 'not_in_sirene' ELSE 'failed' END AS status FROM part)"""
 PENDING = """ids AS (SELECT DISTINCT siret FROM (SELECT lpad(CAST(l_partkey AS VARCHAR), 14, '0') AS siret FROM lineitem
     UNION ALL SELECT lpad(CAST(l_suppkey + 1900 AS VARCHAR), CASE WHEN l_returnflag = 'N' THEN 13 ELSE 14 END, '0') FROM lineitem) WHERE length(siret) = 14),
 pending AS (SELECT siret FROM ids WHERE siret NOT IN (SELECT siret FROM cache WHERE status IN ('success', 'not_in_sirene')
@@ -205,8 +204,8 @@ TODAY = date(2026, 5, 15)
 
 def cache(spark, sf):
     kind, size = F.col("p_type"), F.col("p_size")
-    return table(spark, sf, "part").where("p_type <> 'LARGE'").select(
-        as_id("p_partkey").alias("siret"),
+    return table(spark, sf, "part").select(
+        F.lpad((F.col("p_partkey") + 300).cast("string"), 14, "0").alias("siret"),
         F.when(kind == "SMALL", size * 1.5).alias("latitude"),
         F.when(kind == "SMALL", size * 0.5).alias("longitude"),
         F.col("p_brand").alias("source"),

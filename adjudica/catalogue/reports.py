@@ -15,6 +15,7 @@ from adjudica.session import materialise
 CURRENT = """current_rows AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY uid ORDER BY acheteur_id NULLS LAST, "dateNotification" NULLS LAST,
     "datePublicationDonnees" NULLS LAST, "donneesActuelles", montant NULLS LAST, "sourceDataset" NULLS LAST, "sourceFile" NULLS LAST) AS rn
   FROM numbered WHERE "donneesActuelles") WHERE rn = 1)"""
+LINE_ID = "concat_ws('-', l_orderkey, l_linenumber) AS uid"
 CURRENT_COLUMNS = [
     "uid",
     "acheteur_id",
@@ -44,7 +45,7 @@ def yearly_amounts(spark, sf):
         stats.whole(F.sum(F.col("o_totalprice").cast("decimal(18,2)"))).alias("total"),
         F.countDistinct("o_custkey").alias("n_buyers"),
     )
-    middles = counts.exact_median(orders, ["year"], "o_totalprice", "middle")
+    middles = counts.exact_median(orders, ["year"], "o_totalprice", "middle", few_groups=True)
     return sums.join(middles.withColumn("middle", F.round("middle", 4)), "year")
 
 
@@ -74,34 +75,34 @@ def shares_of_total(spark, sf):
 
 
 @query("""
-WITH s AS (SELECT DISTINCT l_partkey AS uid, l_returnflag AS src FROM lineitem WHERE l_quantity < 20),
+WITH s AS (SELECT DISTINCT CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) AS uid, l_returnflag AS src FROM lineitem),
 c AS (SELECT uid, count(*) AS k FROM s GROUP BY 1),
 t AS (SELECT src, count(*) AS n_total, count(*) FILTER (k = 1) AS alone FROM s JOIN c USING (uid) GROUP BY 1)
 SELECT a.src AS source, b.src AS other, count(*) AS n_both, any_value(n_total) AS n_total, round(count(*) / any_value(n_total), 9) AS share,
   round(any_value(alone) / any_value(n_total), 9) AS "unique" FROM s a JOIN s b ON a.uid = b.uid JOIN t ON t.src = a.src GROUP BY 1, 2
 """)
 def source_overlap(spark, sf):
-    lines = table(spark, sf, "lineitem").where("l_quantity < 20").select(
-        F.col("l_partkey").alias("uid"), F.col("l_returnflag").alias("source")
-    )
+    lines = table(spark, sf, "lineitem").select(F.expr(LINE_ID), F.col("l_returnflag").alias("source"))
     return overlap.overlap_pairs(lines, "uid", "source").withColumns(
         {c: F.round(c, 9) for c in ("share", "unique")}
     )
 
 
 @query("""
-WITH s AS (SELECT DISTINCT l_suppkey AS uid, l_returnflag || l_linestatus AS src FROM lineitem WHERE l_partkey < 900 AND l_quantity < 3),
-m AS (SELECT uid, max((src = 'AF')::INT) AS af, max((src = 'AO')::INT) AS ao, max((src = 'NF')::INT) AS nf, count(*) AS k FROM s GROUP BY 1)
+WITH s AS (SELECT DISTINCT CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) AS uid, l_returnflag || l_linestatus AS src FROM lineitem),
+m AS (SELECT uid, max((src = 'AF')::INT) AS af, max((src = 'AO')::INT) AS ao, max((src = 'NF')::INT) AS nf, max((src = 'NO')::INT) AS no, max((src = 'RF')::INT) AS rf,
+  max((src = 'RO')::INT) AS ro, count(*) AS k FROM s GROUP BY 1)
 SELECT s.src AS source, round(count(*) FILTER (k = 1) / count(*), 9) AS "unique",
   CASE WHEN s.src <> 'AF' THEN round(sum(af) / count(*), 9) END AS "AF", CASE WHEN s.src <> 'AO' THEN round(sum(ao) / count(*), 9) END AS "AO",
-  CASE WHEN s.src <> 'NF' THEN round(sum(nf) / count(*), 9) END AS "NF" FROM s JOIN m USING (uid) GROUP BY 1
+  CASE WHEN s.src <> 'NF' THEN round(sum(nf) / count(*), 9) END AS "NF", CASE WHEN s.src <> 'NO' THEN round(sum(no) / count(*), 9) END AS "NO",
+  CASE WHEN s.src <> 'RF' THEN round(sum(rf) / count(*), 9) END AS "RF", CASE WHEN s.src <> 'RO' THEN round(sum(ro) / count(*), 9) END AS "RO"
+FROM s JOIN m USING (uid) GROUP BY 1
 """)
 def source_overlap_matrix(spark, sf):
-    lines = table(spark, sf, "lineitem").where("l_partkey < 900 AND l_quantity < 3").select(
-        F.col("l_suppkey").alias("uid"), F.concat("l_returnflag", "l_linestatus").alias("source")
-    )
-    wide = overlap.overlap_matrix(lines, ["AF", "AO", "NF"], "uid", "source")
-    return wide.withColumns({c: F.round(c, 9) for c in ("unique", "AF", "AO", "NF")})
+    lines = table(spark, sf, "lineitem").select(F.expr(LINE_ID), F.concat("l_returnflag", "l_linestatus").alias("source"))
+    sources = ["AF", "AO", "NF", "NO", "RF", "RO"]
+    wide = overlap.overlap_matrix(lines, sources, "uid", "source")
+    return wide.withColumns({c: F.round(c, 9) for c in ("unique", *sources)})
 
 
 @query("SELECT l_partkey AS uid, count(DISTINCT l_returnflag) AS n_sources FROM lineitem GROUP BY 1")

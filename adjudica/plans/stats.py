@@ -41,7 +41,7 @@ def yearly_stats(df: DataFrame, current: DataFrame, as_of: date, first_year: int
         F.sum(F.col("montant").cast("decimal(38,6)")).alias("_sum"),
         members("acheteur_id").alias("nb_acheteurs_uniques"),
     )
-    medians = exact_median(awarded, ["annee"], "montant", "_median")
+    medians = exact_median(awarded, ["annee"], "montant", "_median", few_groups=True)
     holders = df.groupBy(F.year("dateNotification").alias("annee")).agg(
         members("titulaire_id").alias("nb_titulaires_uniques")
     )

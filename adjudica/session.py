@@ -12,6 +12,8 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     # Split a hot partition even where that costs one more shuffle.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # The table of hot keys is small, but the count it comes from takes its time on a large input.
+    "spark.sql.broadcastTimeout": "7200",
     "spark.sql.parquet.compression.codec": "zstd",
 }
 
