@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from adjudica.catalogue.registry import query, table
 from adjudica.functions import nested, text
-from adjudica.session import spread, work_path
+from adjudica.session import materialise, spread, work_path
 from adjudica.sources import documents, pages, repair
 
 KEYS_PER_DOCUMENT = 20_000
@@ -110,7 +110,7 @@ def _read_documents(spark, sf, layout: str):
     members = _orders_with_lines(spark, sf).select("o_orderkey", _record(layout).alias("member"))
     path = _write_documents(spark, members, f"documents-{layout}", "\ufeff" + opening, closing)
     payloads = documents.read_payloads(spark, path)
-    good, _ = repair.split_rejects(payloads)
+    good = materialise(repair.checked(payloads), "payloads").where("readable").drop("readable")
     return _flat_view(documents.flatten(documents.records(good, layout), layout), layout)
 
 
@@ -185,15 +185,14 @@ def payload_repair(spark, sf):
         F.lit('\ufeff{"objet":"'), title, F.lit('","x":NaN,"doc_id":'), F.col("doc_id").cast("string"),
         F.when(F.col("lang") == "de", "").otherwise("}"),
     )
-    rows = table(spark, sf, "documents").select("doc_id", payload.alias("raw"))
-    first = rows.withColumn("payload", repair.json_text(F.col("raw")))
-    mended = first.withColumn("payload", repair.repaired(F.col("payload")))
-    parsed = F.from_json("payload", "objet string, doc_id long")
-    fine = repair.parses(repair.json_text(F.col("raw")))
-    return mended.select(
+    rows = spread(table(spark, sf, "documents").select("doc_id", "lang", "text")).select("doc_id", payload.alias("payload"))
+    unmended = rows.withColumn("before", repair.json_text(F.col("payload")))
+    checked = repair.checked(unmended).withColumn("changed", F.col("payload") != F.col("before"))
+    title = F.from_json("payload", "objet string")["objet"]
+    return checked.select(
         "doc_id",
-        F.when(fine, "fine").when(repair.parses(F.col("payload")), "fixed").otherwise("lost").alias("outcome"),
-        (F.length(parsed["objet"]) - F.when(fine, 0).otherwise(6)).cast("bigint").alias("n"),
+        F.when(~F.col("readable"), "lost").when(F.col("changed"), "fixed").otherwise("fine").alias("outcome"),
+        F.when(F.col("readable"), F.length(title) - F.when(F.col("changed"), 6).otherwise(0)).cast("bigint").alias("n"),
     )
 
 

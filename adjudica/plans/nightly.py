@@ -72,9 +72,12 @@ def _read_json(
     payloads = _with_origin(documents.read_payloads(spark, *paths), resources)
     payload, careless = F.col("payload"), F.col("_dataset_id").isin(*CARELESS_WITH_BACKSLASHES)
     payloads = payloads.withColumn("payload", F.when(careless, repair.stray_backslashes(payload)).otherwise(payload))
-    good, bad = repair.split_rejects(payloads, replacements=replacements)
-    flat = {n: _placed(documents.flatten(documents.records(good, n), n)) for n in LAYOUTS}
-    return flat, bad.unionByName(documents.rejected(good)).select("_link", "payload")
+    checked = repair.checked(payloads, replacements=replacements)
+    layout = F.when(F.col("readable"), documents.layout_of(payload))
+    # Written by layout, so that checking is done once and each layout reads its own documents only.
+    stored = materialise(checked.withColumn("layout", layout).drop("readable"), "payloads", ["layout"])
+    flat = {n: _placed(documents.flatten(documents.records(stored, n), n)) for n in LAYOUTS}
+    return flat, stored.where("layout is null").select("_link", "payload")
 
 
 def _read_xml(spark: SparkSession, resources: DataFrame, paths: list[str]) -> list[DataFrame]:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -47,13 +48,13 @@ def work_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/adjudica/{name}-{uuid.uuid4().hex}"
 
 
-def materialise(df: DataFrame, name: str = "table") -> DataFrame:
+def materialise(df: DataFrame, name: str = "table", partition_by: Sequence[str] = ()) -> DataFrame:
     """Write a table to the shared folder and go on from the written copy.
 
     Cuts the plan where several jobs use one expensive result, and survives the loss of executors.
     """
     path = work_path(df.sparkSession, name)
-    df.write.parquet(path, compression="zstd")
+    df.write.partitionBy(*partition_by).parquet(path, compression="zstd")
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

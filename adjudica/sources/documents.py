@@ -34,9 +34,13 @@ def _nest(path: tuple[str, ...]) -> StructType:
 
 
 def records(payloads: DataFrame, layout: str) -> DataFrame:
-    """Records of all documents of one layout, with the other columns of their document; null records go."""
-    path, origin = LAYOUTS[layout].path, [c for c in payloads.columns if c != PAYLOAD]
-    document = payloads.where(layout_of(F.col(PAYLOAD)) == layout).select(
+    """Records of all documents of one layout, with the other columns of their document; null records go.
+
+    The layout is taken from a column of that name if there is one, else from the text.
+    """
+    path, origin = LAYOUTS[layout].path, [c for c in payloads.columns if c not in (PAYLOAD, "layout")]
+    found = F.col("layout") if "layout" in payloads.columns else layout_of(F.col(PAYLOAD))
+    document = payloads.where(found == layout).select(
         *origin, F.from_json(PAYLOAD, _nest(path)).alias("document")
     )
     listed = document.select(*origin, F.explode(F.col("document." + ".".join(path))).alias("record"))

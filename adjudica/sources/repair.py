@@ -40,20 +40,30 @@ def parses(c: Column) -> Column:
     return F.try_parse_json(c).isNotNull()
 
 
-def repaired(c: Column, replacements: dict[str, str] | None = None) -> Column:
-    """The payload if it parses, else with its titles escaped and the given replacements made."""
-    mended = title_quotes(c)
+def checked(df: DataFrame, column: str = "payload", replacements: dict[str, str] | None = None) -> DataFrame:
+    """Payloads after repair, and in ``readable`` whether they parse now.
+
+    One that parses is only checked, once. One that does not gets its titles escaped and the given
+    replacements made, and is checked again.
+    """
+    mended = title_quotes(F.col(column))
     for wrong, right in (replacements or {}).items():
         mended = F.replace(mended, F.lit(wrong), F.lit(right))
-    return F.when(parses(c), c).otherwise(mended)
+    first = df.withColumn(column, json_text(F.col(column)))
+    return (
+        first.withColumn("_fine", parses(F.col(column)))
+        .withColumn(column, F.when(F.col("_fine"), F.col(column)).otherwise(mended))
+        .withColumn("readable", F.coalesce(F.col("_fine") | parses(F.col(column)), F.lit(False)))
+        .drop("_fine")
+    )
 
 
 def split_rejects(
-    payloads: DataFrame, column: str = "payload", replacements: dict[str, str] | None = None
+    df: DataFrame, column: str = "payload", replacements: dict[str, str] | None = None
 ) -> tuple[DataFrame, DataFrame]:
     """Payloads that parse after repair, and those that do not."""
-    mended = payloads.withColumn(column, repaired(json_text(F.col(column)), replacements))
-    return mended.where(parses(F.col(column))), mended.where(~F.coalesce(parses(F.col(column)), F.lit(False)))
+    both = checked(df, column, replacements)
+    return both.where("readable").drop("readable"), both.where("not readable").drop("readable")
 
 
 def xml_text(c: Column) -> Column:
