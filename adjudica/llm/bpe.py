@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, functions as F
 from adjudica.llm.common import by_bytes, documents, query, small_batches
 from adjudica.llm.vocabulary import DEFAULT, Coder, Vocabulary, loaded, shipped
 
-BATCH_BYTES = 24 << 20
+BATCH_BYTES = 10 << 20
 _NEVER = np.iinfo(np.int32).max
 
 
@@ -53,7 +53,7 @@ class PairIndex:
         inside[0] = False
         inside[starts + lengths] = False
         symbols[inside] = self.byte_ids[np.frombuffer(b"".join(coded), np.uint8)]
-        after, before = np.arange(1, n + 1), np.arange(-1, n - 1)
+        after, before = np.arange(1, n + 1, dtype=np.int32), np.arange(-1, n - 1, dtype=np.int32)
         rank = np.full(n, _NEVER, np.int32)
         rank[:-1] = self._ranks(symbols[:-1], symbols[1:])
 
@@ -72,7 +72,7 @@ class PairIndex:
                 index[r].append(where)
 
         active: list[int] = []
-        enter(np.flatnonzero(rank != _NEVER))
+        enter(np.flatnonzero(rank != _NEVER).astype(np.int32))
         while active:
             r = heapq.heappop(active)
             lists = index.pop(r)
@@ -114,6 +114,7 @@ def _coder(data: bytes) -> Coder:
         lambda pieces: [ids.tobytes() for ids in index.encode(pieces)],
         b"".join,
         lambda i: np.int32(i).tobytes(),
+        limit=200_000,
     )
 
 
