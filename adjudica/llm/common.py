@@ -103,10 +103,15 @@ def chunk_of(key: Column, bounds: Sequence[int]) -> Column:
         return F.lit(0)
     steps = [1 << s for s in reversed(range(len(bounds).bit_length()))]
     values = F.lit(list(bounds)).cast("array<long>")
+    # The key goes along in the accumulator: a lambda that names a column hides it from the optimizer's checks.
     found = F.aggregate(
         F.array(*[F.lit(s) for s in steps]),
-        F.lit(0),
-        lambda at, step: F.when(F.get(values, at + step - 1) <= key, at + step).otherwise(at),
+        F.struct(F.lit(0).alias("at"), key.cast("long").alias("key")),
+        lambda acc, step: F.struct(
+            F.when(F.get(values, acc["at"] + step - 1) <= acc["key"], acc["at"] + step).otherwise(acc["at"]).alias("at"),
+            acc["key"].alias("key"),
+        ),
+        lambda acc: acc["at"],
     )
     return F.coalesce(found, F.lit(0))
 
