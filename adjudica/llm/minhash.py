@@ -116,7 +116,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wo
     copies takes about n comparisons, and yet no two members of a bucket stay unlinked without having been compared
     or being connected. Two nodes at the threshold share no bucket with a probability below ``miss``.
 
-    Returns one row per row of the input: doc_id, n_shingles, component_id (the smallest id of the component) and kept
+    Returns one row per row of the input: doc_id, text_key (a hash of the text), n_shingles, component_id (the smallest id of the component) and kept
     (its own id is that one). Null texts and those without words are linked with nothing. A row with a null id
     takes part; where a component has no id at all, component_id is null and its rows are kept. Repeated rows have equal
     results. Other columns aren't returned. An empty table gives no rows.
@@ -176,6 +176,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wo
         found_ids = found_ids.join(named, "node", "left").select("node", F.coalesce("group_id", "least_id").alias("least_id"))
     return rows.join(found_ids, "node", "left").select(
         "doc_id",
+        "text_key",
         "n_shingles",
         F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("least_id")).alias("component_id"),
     ).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.col("component_id").isNull()))

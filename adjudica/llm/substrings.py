@@ -189,15 +189,18 @@ def _earlier(table: pa.Table) -> pa.Table:
     return _table(out)
 
 
-_KEPT = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("n_removed", pa.int64()), ("kept", pa.string()), ("row", pa.string())])
+_FOUND = [("n_words", pa.int64()), ("n_removed", pa.int64()), ("kept", pa.string())]
 
 
-def _cut(window: int):
+def _cut(window: int, carried: list[str], as_is: bool):
     """Repeated windows joined to maximal repeats, their words taken out."""
 
     def run(table: pa.Table, found: pa.Table) -> pa.Table:
+        rest = table.select(carried)
         if not table.num_rows:
-            return _KEPT.empty_table()
+            for name, kind in _FOUND:
+                rest = rest.append_column(name, pa.array([], kind))
+            return rest
         words = Words(table)
         n = len(words.hashes)
         repeated = np.zeros(n, bool)
@@ -219,17 +222,21 @@ def _cut(window: int):
         taken = np.concatenate(([0], np.cumsum(removed)))[words.rows]
         kept = []
         for i in range(len(words.ids)):
-            parts = data[ends[i] : ends[i + 1]].split()
+            text = data[ends[i] : ends[i + 1]]
             if taken[i + 1] > taken[i]:
-                parts = compress(parts, keep[bounds[i] : bounds[i + 1]])
-            kept.append(b" ".join(parts).decode())
-        rest = table.column("row").take(pa.array(words.order, pa.int64()))
-        return pa.table([pa.array(words.ids, pa.int64()), pa.array(np.diff(words.rows)), pa.array(np.diff(taken)), pa.array(kept, pa.string()), rest], schema=_KEPT)
+                text = b" ".join(compress(text.split(), keep[bounds[i] : bounds[i + 1]]))
+            elif not as_is:
+                text = b" ".join(text.split())
+            kept.append(text.decode())
+        rest = rest.take(pa.array(words.order, pa.int64()))
+        for (name, kind), values in zip(_FOUND, (np.diff(words.rows), np.diff(taken), kept)):
+            rest = rest.append_column(name, pa.array(values, kind))
+        return rest
 
     return run
 
 
-def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", window: int = 20, row: str | None = None) -> DataFrame:
+def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", window: int = 20, as_is: bool = False) -> DataFrame:
     """Take words out of documents that are covered by a repeat of ``window`` or more words, all but its first place.
 
     Words are runs of bytes that are no blanks. The first place of a run is that of the smallest id, then the
@@ -243,33 +250,36 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", win
     for each chunk, and nothing is compared in pairs. Probes have 32 bits and the number of their range; one that
     meets another by chance only adds an anchor. Windows are compared by 64-bit hashes.
 
-    Returns doc_id, n_words, n_removed, kept (the words left, joined by one space) and, if ``row`` names a
-    column of texts, that column as ``row``. A null text has no words. Rows with null ids come before all
-    others; rows with equal ids are ordered by text. Other columns are left out. An empty table gives no rows.
+    Returns the columns of the input but for the text, and n_words, n_removed and kept, the words left, joined by
+    one space; with ``as_is`` a text that loses nothing stays as it was. A null text has no words. Rows with null ids
+    come before all others; rows with equal ids are ordered by text. Columns of the input that have the name of a
+    result are replaced. An empty table gives no rows.
     """
     spark = docs.sparkSession
     small_batches(spark)
     partitions = shuffle_partitions(spark)
     block = window // 2
     bounds = chunk_bounds(docs, key, CHUNKS_PER_PARTITION * partitions)
+    others = {f"c{i}": c for i, c in enumerate(docs.columns) if c != text and c not in dict(_FOUND)}
     parted = docs.select(
         F.col(key).cast("long").alias("doc_id"),
         F.col(text).alias("text"),
         chunk_of(F.col(key).cast("long"), bounds).cast("int").alias("chunk"),
-        (F.col(row) if row else F.lit(None)).cast("string").alias("row"),
+        *[F.col(f"`{c}`").alias(name) for name, c in others.items()],
     ).repartition(partitions, "chunk")
     chunks = parted.groupBy("chunk")
     probes = chunks.applyInArrow(_probe(block, partitions), _ROWS)
     anchors = probes.groupBy("range").applyInArrow(_anchors, _ROWS)
     windows = chunks.cogroup(anchors.groupBy("chunk")).applyInArrow(_extend(window, block, partitions), _ROWS)
     repeats = windows.groupBy("range").applyInArrow(_earlier, _ROWS)
-    done = chunks.cogroup(repeats.groupBy("chunk")).applyInArrow(_cut(window), "doc_id long, n_words long, n_removed long, kept string, row string")
-    return done if row else done.drop("row")
+    schema = ", ".join(f"{n} {t}" for n, t in parted.select(*others).dtypes) + ", n_words long, n_removed long, kept string"
+    done = chunks.cogroup(repeats.groupBy("chunk")).applyInArrow(_cut(window, list(others), as_is), schema)
+    return done.select(*[F.col(name).alias(c) for name, c in others.items()], *dict(_FOUND))
 
 
 @query
 def op4_block_anchor_repeats(spark, sf):
     """Words left in all documents after repeats of 20 or more words are taken out."""
-    return remove_repeats(documents(spark, sf)).select(
+    return remove_repeats(documents(spark, sf).select("doc_id", "text")).select(
         "doc_id", "n_words", "n_removed", F.sha2(F.encode("kept", "UTF-8"), 256).alias("kept_sha256")
     )
