@@ -18,6 +18,7 @@ from adjudica.session import materialise
 
 BATCH_BYTES = 4 << 20
 ROWS_PER_BAND = 5
+MOST_LEADERS = 64  # nodes of a bucket that its members are compared with in one round
 
 
 def permuted(x: np.ndarray, seed: int) -> np.ndarray:
@@ -166,7 +167,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wo
         rest = rest.join(labels, "node", "left").select("bucket", "node", F.coalesce("label", "node").alias("label"))
         open_buckets = rest.groupBy("bucket").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x <> y").select("bucket")
         members = materialise(rest.join(open_buckets, "bucket").select("bucket", "node"), "members")
-        leaders = 8
+        leaders = min(2 * leaders, MOST_LEADERS)
 
     found_ids = nodes.select("node", "least_id")
     if labels is not None:

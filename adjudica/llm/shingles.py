@@ -30,9 +30,9 @@ def shingle_sets(flat: np.ndarray, ends: np.ndarray, words: int) -> Iterator[np.
             np.not_equal(row[1:], row[:-1], out=distinct[1:])
             yield row[distinct]
         elif b > a:
-            short = int(b - a)
-            for h in hashes[a:b]:
-                short = short * _STEP + h
+            short = b - a
+            for h in hashes[a:b].tolist():
+                short = (short * int(_STEP) + h) & M64
             yield mix(np.array([short], np.uint64) ^ np.uint64(0x5851F42D4C957F2D))
         else:
             yield runs[:0]
