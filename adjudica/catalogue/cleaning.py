@@ -8,7 +8,6 @@ from adjudica.catalogue.registry import AS_OF, query, table
 from adjudica.functions import nested, rules, text, typing
 from adjudica.operators.columns import on_columns, text_columns
 from adjudica.plans import cleaning
-from adjudica.session import spread
 
 
 @query(r"""
@@ -45,7 +44,7 @@ SELECT doc_id, lang,
 FROM documents
 """)
 def clean_text(spark, sf):
-    documents = spread(table(spark, sf, "documents"))
+    documents = table(spark, sf, "documents")
     body = F.col("text")
     return documents.select(
         "doc_id",
@@ -328,7 +327,7 @@ def clean_chain(spark, sf):
     )
     no_text = F.lit(None).cast("string")
     raw = (
-        spread(lines)
+        lines
         .join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
         .join(part, F.col("l_partkey") == F.col("p_partkey"))
         .select(

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from adjudica.catalogue.registry import query, table
 from adjudica.functions import nested, text
-from adjudica.session import materialise, spread, work_path
+from adjudica.session import materialise, work_path
 from adjudica.sources import documents, pages, repair
 
 KEYS_PER_DOCUMENT = 20_000
@@ -185,7 +185,7 @@ def payload_repair(spark, sf):
         F.lit('\ufeff{"objet":"'), title, F.lit('","x":NaN,"doc_id":'), F.col("doc_id").cast("string"),
         F.when(F.col("lang") == "de", "").otherwise("}"),
     )
-    rows = spread(table(spark, sf, "documents").select("doc_id", "lang", "text")).select("doc_id", payload.alias("payload"))
+    rows = table(spark, sf, "documents").select("doc_id", "lang", "text").select("doc_id", payload.alias("payload"))
     unmended = rows.withColumn("before", repair.json_text(F.col("payload")))
     checked = repair.checked(unmended).withColumn("changed", F.col("payload") != F.col("before"))
     title = F.from_json("payload", "objet string")["objet"]
@@ -217,7 +217,7 @@ def amendment_shapes(spark, sf):
         .otherwise('"none"')
     )
     keys = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
-    lines = spread(table(spark, sf, "lineitem").select(*keys, "l_quantity", "l_returnflag", "l_linestatus"))
+    lines = table(spark, sf, "lineitem").select(*keys, "l_quantity", "l_returnflag", "l_linestatus")
     rows = lines.select(*keys, F.explode(nested.amendments(raw)).alias("a"))
     return rows.select(*keys, F.col("a.montant").try_cast("double").alias("amount"))
 
@@ -240,7 +240,7 @@ def nested_holders(spark, sf):
         F.transform(tidy, lambda h: F.concat(h["titulaire_typeIdentifiant"], F.lit(":"), h["titulaire_id"])), ","
     )
     keys = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
-    lines = spread(table(spark, sf, "lineitem").select(*keys, "l_quantity", "l_returnflag", "l_linestatus"))
+    lines = table(spark, sf, "lineitem").select(*keys, "l_quantity", "l_returnflag", "l_linestatus")
     return lines.select(*keys, shown.alias("holders"))
 
 

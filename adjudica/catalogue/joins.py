@@ -127,13 +127,10 @@ def null_key_filters(spark, sf):
 
 @query("""
 SELECT o_orderpriority AS priority, o_orderkey AS "order_key", o_orderstatus AS "order_status", o_totalprice AS extra_totalprice,
-  'orders' AS origin, o_custkey AS "order_custkey" FROM orders WHERE o_orderpriority IN ('1-URGENT', '2-HIGH')
-  AND o_totalprice BETWEEN 1000 AND 200000
+  'orders' AS origin, o_custkey AS "order_custkey" FROM orders
 """)
 def contract_order(spark, sf):
-    orders = table(spark, sf, "orders").where(
-        F.col("o_orderpriority").isin("1-URGENT", "2-HIGH") & F.col("o_totalprice").between(1000, 200000)
-    )
+    orders = table(spark, sf, "orders")
     named = columns.add_prefix(columns.strip_prefix(orders.drop("o_orderdate", "absent"), "o_"), ["totalprice"], "extra_")
     named = named.withColumnsRenamed({"orderpriority": "priority", "orderkey": "order_key", "orderstatus": "order_status", "custkey": "order_custkey"})
     ordered = columns.in_contract_order(named.withColumn("origin", F.lit("orders")), ["order_key", "priority"])

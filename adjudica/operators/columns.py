@@ -21,7 +21,8 @@ def text_columns(df: DataFrame) -> list[str]:
 
 
 def text_list_columns(df: DataFrame) -> list[str]:
-    return [f.name for f in df.schema if f.dataType == ArrayType(StringType())]
+    """Lists of texts, whether or not their type allows null elements."""
+    return [f.name for f in df.schema if isinstance(f.dataType, ArrayType) and isinstance(f.dataType.elementType, StringType)]
 
 
 def on_columns(df: DataFrame, names: Iterable[str], change) -> DataFrame:

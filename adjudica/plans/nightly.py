@@ -22,13 +22,17 @@ from adjudica.plans.stats import MERGED_SOURCE, contract_stats, current_records,
 from adjudica.session import materialise
 from adjudica.sinks import files
 from adjudica.sinks.contract import base_contract, contract_document
-from adjudica.sources import documents, manifest, repair
+from adjudica.sources import documents, manifest, repair, tables
 from adjudica.sources.layouts import CONTRACT_COLUMNS, LAYOUTS
 
 # Address of a resource's page, and the data set that doubles its backslashes.
 RESOURCE_PAGE = "https://www.data.gouv.fr/datasets/{}/#/resources/{}"
 CARELESS_WITH_BACKSLASHES = ["68caf6b135f19236a4f37a32"]
+CARELESS_ADDRESS = "/aws/"
 PER_RESOURCE = ["checksum", "sourceFile"]
+# Why a resource wasn't taken.
+MISSING, TOO_LARGE, UNREADABLE, WITHOUT_RECORDS = "missing", "too large", "unreadable", "no records"
+LARGEST_TEXT = 2**31 - 1 - 2**20  # bytes that one text can hold
 
 
 def resource_link(dataset: str = "dataset_id", resource: str = "id") -> Column:
@@ -44,13 +48,13 @@ def _plain_path(c: Column) -> Column:
 def _with_origin(files_or_records: DataFrame, resources: DataFrame) -> DataFrame:
     """Add the data set, page and checksum of the resource a path belongs to."""
     origins = resources.select(
-        _plain_path(F.col("url")).alias("path"),
+        _plain_path(F.col("url")).alias("_path"),
         F.col("dataset_id").alias("_dataset_id"),
         F.col("dataset_code").alias("_dataset"),
         resource_link().alias("_link"),
         "checksum",
     )
-    return files_or_records.withColumn("path", _plain_path(F.col("path"))).join(origins, "path").drop("path")
+    return files_or_records.withColumn("_path", _plain_path(F.col("path"))).drop("path").join(origins, "_path")
 
 
 def _placed(records: DataFrame) -> DataFrame:
@@ -70,58 +74,84 @@ def _read_json(
 ) -> tuple[dict[str, DataFrame], DataFrame]:
     # Origins join the documents, of which there are far fewer than records.
     payloads = _with_origin(documents.read_payloads(spark, *paths), resources)
-    payload, careless = F.col("payload"), F.col("_dataset_id").isin(*CARELESS_WITH_BACKSLASHES)
+    payload = F.col("payload")
+    careless = F.col("_dataset_id").isin(*CARELESS_WITH_BACKSLASHES) | F.contains("_path", F.lit(CARELESS_ADDRESS))
     payloads = payloads.withColumn("payload", F.when(careless, repair.stray_backslashes(payload)).otherwise(payload))
     checked = repair.checked(payloads, replacements=replacements)
     layout = F.when(F.col("readable"), documents.layout_of(payload))
     # Written by layout, so that checking is done once and each layout reads its own documents only.
-    stored = materialise(checked.withColumn("layout", layout).drop("readable"), "payloads", ["layout"])
-    flat = {n: _placed(documents.flatten(documents.records(stored, n), n)) for n in LAYOUTS}
-    return flat, stored.where("layout is null").select("_link", "payload")
+    stored = materialise(checked.withColumn("layout", layout), "payloads", ["layout"])
+    flat = {n: _placed(documents.flatten(documents.records(stored.drop("readable"), n), n)) for n in LAYOUTS}
+    reason = F.when(~F.col("readable"), UNREADABLE).when(F.col("layout").isNull(), WITHOUT_RECORDS)
+    return flat, stored.select("_path", reason.alias("reason"))
 
 
 def _read_xml(spark: SparkSession, resources: DataFrame, paths: list[str]) -> list[DataFrame]:
-    """XML by declared encoding; files with control characters are cleaned as text first."""
-    found_kinds = documents.xml_files(documents.read_payloads(spark, *paths)).withColumn("path", _plain_path(F.col("path")))
+    """XML by declared encoding; files with control characters are decoded and cleaned as text first."""
+    found_kinds = documents.xml_files(documents.read_bytes(spark, *paths)).withColumn("path", _plain_path(F.col("path")))
     listed = resources.select(_plain_path(F.col("url")).alias("path"), "url").distinct()
     by_kind = found_kinds.join(listed, "path").groupBy("encoding", "damaged").agg(F.collect_list("url").alias("paths"))
     kinds = by_kind.collect()  # no longer than the list of resources
-    tables = []
+    found_tables = []
     for kind in kinds:
         if kind.damaged:
-            tidy = documents.read_payloads(spark, *kind.paths).withColumn("payload", repair.xml_text(F.col("payload")))
+            text = documents.decoded(F.col("content"), F.lit(kind.encoding))
+            tidy = documents.read_bytes(spark, *kind.paths).select("path", repair.xml_text(text).alias("payload"))
             found = documents.records_from_xml_text(tidy)
         else:
             found = documents.read_xml_records(spark, *kind.paths, encoding=kind.encoding)
-        tables.append(_placed(_with_origin(documents.flatten_xml(found), resources)))
-    return tables
+        found_tables.append(_placed(_with_origin(documents.flatten_xml(found), resources)))
+    return found_tables
 
 
 def read_resources(
     spark: SparkSession, resources: DataFrame, replacements: dict[str, str] | None = None
 ) -> tuple[dict[str, DataFrame], DataFrame]:
-    """Flat records per layout from all listed files, and the payloads that could not be read."""
+    """Flat records per layout from all listed files, written once, and what came of each file.
+
+    The second table has the columns ``_path`` and ``reason``; the reason is null where the file was taken. A file that is
+    missing, too large for one text, unreadable or without records is reported there and stops no other.
+    """
     flat: dict[str, list[DataFrame]] = {name: [] for name in LAYOUTS}
-    rejects = spark.createDataFrame([], "_link string, payload string")
-    json_files, xml = _paths(resources, "json"), _paths(resources, "xml")
+    listed = {kind: _paths(resources, kind) for kind in ("json", "xml")}
+    # One look at each listed file, as Spark takes before any read of many files.
+    sizes = tables.file_sizes(spark, [p for paths in listed.values() for p in paths])
+    refused = [(p, MISSING) for p, n in sizes.items() if n is None]
+    refused += [(p, TOO_LARGE) for p, n in sizes.items() if n is not None and n > LARGEST_TEXT]
+    gone = {p for p, _ in refused}
+    json_files, xml = ([p for p in listed[kind] if p not in gone] for kind in ("json", "xml"))
+    outcomes = spark.createDataFrame(refused, "_path string, reason string").withColumn("_path", _plain_path(F.col("_path")))
     if json_files:
-        found, rejects = _read_json(spark, resources, json_files, replacements)
+        found, seen = _read_json(spark, resources, json_files, replacements)
+        outcomes = outcomes.unionByName(seen)
         for name, df in found.items():
             flat[name].append(df)
     if xml:
         flat["2022"] += _read_xml(spark, resources, xml)
-    return {n: stack_diagonal(t) for n, t in flat.items() if t}, rejects.withColumnRenamed("_link", "sourceFile")
+    written = {n: materialise(stack_diagonal(t), f"flat-{n}") for n, t in flat.items() if t}
+    if xml and "2022" in written:
+        with_rows = written["2022"].select("_path").distinct().withColumn("_found", F.lit(True))
+        names = spark.createDataFrame([(p,) for p in xml], "_path string").select(_plain_path(F.col("_path")).alias("_path"))
+        reason = F.when(F.col("_found").isNull(), WITHOUT_RECORDS)
+        outcomes = outcomes.unionByName(names.join(with_rows, "_path", "left").select("_path", reason.alias("reason")))
+    return {n: df.drop("_path") for n, df in written.items()}, outcomes
 
 
 def clean_resources(flat: dict[str, DataFrame], as_of: date) -> DataFrame:
-    """Typed rows of all layouts in one table. The flat records are written first: cleaning reads them twice."""
-    return stack_diagonal(
-        [clean(materialise(df, f"flat-{name}"), name, as_of, PER_RESOURCE) for name, df in flat.items()]
-    )
+    """Typed rows of all layouts in one table."""
+    return stack_diagonal([clean(df, name, as_of, PER_RESOURCE) for name, df in flat.items()])
+
+
+@dataclass(frozen=True)
+class Ingested:
+    """Resources of one run: those taken, to be added to ``done``, and those refused, with the reason, to be tried again."""
+
+    taken: DataFrame
+    refused: DataFrame
 
 
-def ingest(spark: SparkSession, resources: DataFrame, done: DataFrame | None, out: str, as_of: date) -> DataFrame:
-    """Clean the resources that are new; returns the resources taken, to be added to ``done``.
+def ingest(spark: SparkSession, resources: DataFrame, done: DataFrame | None, out: str, as_of: date) -> Ingested:
+    """Clean the resources that are new, and tell what was taken and what was not.
 
     Every checksum has its own folder, which a repeated run replaces, so that a run that fails half-way leaves
     no second copy. Rebalancing gives a large resource several tasks and small ones a common one.
@@ -129,12 +159,16 @@ def ingest(spark: SparkSession, resources: DataFrame, done: DataFrame | None, ou
     fresh = manifest.large_enough(resources)
     if done is not None:
         fresh = manifest.not_yet_ingested(fresh, done)
-    flat, _ = read_resources(spark, fresh)
+    flat, outcomes = read_resources(spark, fresh)
     if flat:
         cleaned = clean_resources(flat, as_of).hint("rebalance", "checksum")
         writer = cleaned.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("checksum")
         writer.parquet(out, compression="zstd")
-    return fresh
+    # A file of a format that isn't read, or that vanished while it was, has no outcome at all.
+    kept = materialise(outcomes.groupBy("_path").agg(F.max("reason").alias("reason"), F.lit(True).alias("_seen")), "outcomes")
+    judged = fresh.withColumn("_path", _plain_path(F.col("url"))).join(kept, "_path", "left").drop("_path")
+    judged = judged.withColumn("reason", F.when(F.col("_seen").isNull(), UNREADABLE).otherwise(F.col("reason"))).drop("_seen")
+    return Ingested(judged.where("reason is null").drop("reason"), judged.where("reason is not null"))
 
 
 @dataclass(frozen=True)
@@ -161,7 +195,8 @@ def publish(
     """From cleaned rows of all sources to the published tables."""
     rows = stack_diagonal(list(cleaned)).drop("checksum")
     overlap = materialise(overlap_pairs(rows), "overlap")
-    numbered = number_versions(keep_first(rows, list(ROW_KEY)))
+    # Written, since enrichment reads it for the buyers, the holders and the rows themselves.
+    numbered = materialise(number_versions(keep_first(rows, list(ROW_KEY))), "numbered")
     enriched = materialise(enrich(numbered, companies, sites).drop(*CACHE_DETAILS), "enriched")
 
     pending = geocache.select_pending(enriched, cache, as_of)

@@ -56,13 +56,3 @@ def materialise(df: DataFrame, name: str = "table", partition_by: Sequence[str]
     path = work_path(df.sparkSession, name)
     df.write.partitionBy(*partition_by).parquet(path, compression="zstd")
     return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def spread(scan: DataFrame) -> DataFrame:
-    """Rows of a scan over all cores, ahead of heavy work per row, where the scan has fewer tasks than cores.
-
-    A table of few large row groups is read by as few tasks. A large table is left as it is, without a
-    shuffle. For plain scans only: asking a plan with shuffles for its partitions would run it.
-    """
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan

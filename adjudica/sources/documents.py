@@ -20,9 +20,13 @@ def read_payloads(spark: SparkSession, *paths: str) -> DataFrame:
 
 
 def layout_of(payload: Column) -> Column:
-    """The layout whose record path is present in a document; null where neither is."""
-    listed = payload.rlike(r'"marches"\s*:\s*\[')
-    wrapped = payload.rlike(r'"marches"\s*:\s*\{\s*"marche"\s*:')
+    """The layout whose record path is present in a document; null where neither is.
+
+    Only the field at the top counts, by the kind of its value: a list of records, or an object with the list in it.
+    """
+    body = F.ltrim(F.from_json(payload, "marches string")["marches"])
+    listed = body.startswith("[")
+    wrapped = body.startswith("{") & F.from_json(body, "marche string")["marche"].isNotNull()
     return F.when(listed, F.lit("2019")).when(wrapped, F.lit("2022"))
 
 
@@ -108,13 +112,41 @@ XML_RECORD = (
 XML_NAMES = [*PLAIN_FIELDS, "acheteur", "lieuExecution", *LIST_FIELDS, *BLOCKS]
 
 
-def xml_files(payloads: DataFrame) -> DataFrame:
-    """Declared encoding of XML documents, and whether control characters keep them from being read."""
-    declared = F.regexp_extract(PAYLOAD, r"""<\?xml[^>]*\bencoding=["']([^"']+)""", 1)
-    return payloads.select(
+# Where ISO-8859-15 and Windows-1252 differ from ISO-8859-1.
+LATIN_9 = ("\u00a4\u00a6\u00a8\u00b4\u00b8\u00bc\u00bd\u00be", "\u20ac\u0160\u0161\u017d\u017e\u0152\u0153\u0178")
+WINDOWS = (
+    "\x80\x82\x83\x84\x85\x86\x87\x88\x89\x8a\x8b\x8c\x8e\x91\x92\x93\x94\x95\x96\x97\x98\x99\x9a\x9b\x9c\x9e\x9f",
+    "\u20ac\u201a\u0192\u201e\u2026\u2020\u2021\u02c6\u2030\u0160\u2039\u0152\u017d\u2018\u2019\u201c\u201d\u2022\u2013\u2014\u02dc\u2122\u0161\u203a\u0153\u017e\u0178",
+)
+
+
+def read_bytes(spark: SparkSession, *paths: str) -> DataFrame:
+    """Whole documents as bytes, one row per file."""
+    found = spark.read.format("binaryFile").option("ignoreCorruptFiles", True).option("ignoreMissingFiles", True).load(list(paths))
+    return found.select(F.col("path"), F.col("content"))
+
+
+def decoded(content: Column, encoding: Column) -> Column:
+    """Bytes as text by the name of their encoding; one that isn't known is taken as UTF-8."""
+    latin = F.decode(content, "ISO-8859-1")
+    return (
+        F.when(encoding == "ISO-8859-1", latin)
+        .when(encoding == "ISO-8859-15", F.translate(latin, *LATIN_9))
+        .when(encoding == "WINDOWS-1252", F.translate(latin, *WINDOWS))
+        .otherwise(content.cast("string"))
+    )
+
+
+def xml_files(contents: DataFrame) -> DataFrame:
+    """Declared encoding of XML documents, found in their first bytes, and whether control characters keep them
+    from being read."""
+    head = F.decode(F.substring("content", 1, 200), "ISO-8859-1")
+    declared = F.regexp_extract(head, r"""<\?xml[^>]*\bencoding\s*=\s*["']([^"']+)""", 1)
+    return contents.select(
         "path",
         F.coalesce(F.nullif(F.upper(declared), F.lit("")), F.lit("UTF-8")).alias("encoding"),
-        F.col(PAYLOAD).rlike(CONTROL_CHARACTERS).alias("damaged"),
+        # The control characters are single bytes in every encoding at hand.
+        F.decode("content", "ISO-8859-1").rlike(CONTROL_CHARACTERS).alias("damaged"),
     )
 
 
@@ -128,7 +160,7 @@ def read_xml_records(spark: SparkSession, *paths: str, encoding: str = "ISO-8859
 def records_from_xml_text(payloads: DataFrame) -> DataFrame:
     """Records of XML documents held as text, such as those with control characters taken out."""
     origin = [c for c in payloads.columns if c != PAYLOAD]
-    pieces = F.explode(F.regexp_extract_all(PAYLOAD, F.lit(r"(?s)<marche>.*?</marche>"), F.lit(0)))
+    pieces = F.explode(F.regexp_extract_all(PAYLOAD, F.lit(r"(?s)<marche(?:\s[^>]*)?>.*?</marche>"), F.lit(0)))
     found = payloads.select(*origin, pieces.alias("element"))
     return found.select(*origin, F.from_xml("element", XML_RECORD).alias("record")).select(*origin, "record.*")
 

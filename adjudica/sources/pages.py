@@ -10,30 +10,50 @@ JSON_PATH = "/json/"
 INTERFACE_SOURCE = "scrap_aife_dume"
 
 
+# The entities that occur in addresses.
+ENTITIES = {"&quot;": '"', "&#34;": '"', "&#39;": "'", "&apos;": "'", "&lt;": "<", "&gt;": ">", "&#38;": "&", "&amp;": "&"}
+
+
+def unescaped(c: Column) -> Column:
+    """Text with its entities decoded, the ampersand last."""
+    for entity, character in ENTITIES.items():
+        c = F.replace(c, F.lit(entity), F.lit(character))
+    return c
+
+
+def _attribute(name: str) -> str:
+    return rf"""(?is)\b{name}\s*=\s*(?:"([^"]*)"|'([^']*)')"""
+
+
+def _value(tag: Column, name: str) -> Column:
+    """An attribute of a tag, in either kind of quotation marks; null where it isn't there or is empty."""
+    found = F.concat(F.regexp_extract(tag, _attribute(name), 1), F.regexp_extract(tag, _attribute(name), 2))
+    return F.nullif(unescaped(found), F.lit(""))
+
+
 def all_links(df: DataFrame, html: str = "html") -> DataFrame:
-    """One row per link of a page."""
-    found = F.regexp_extract_all(html, F.lit(r'href="([^"]+)"'), F.lit(1))
-    return df.withColumn("link", F.explode(found)).drop(html)
+    """One row per link of a page, entities decoded."""
+    found = F.regexp_extract_all(html, F.lit(_attribute("href")), F.lit(0))
+    links = F.filter(F.transform(found, lambda a: _value(a, "href")), lambda x: x.isNotNull())
+    return df.withColumn("link", F.explode(links)).drop(html)
 
 
 def titled_links(df: DataFrame, html: str = "html", title: str = JSON_LINK_TITLE, site: str = "") -> DataFrame:
     """Links of the anchors with a given title, whatever the order of their attributes."""
     anchors = F.regexp_extract_all(html, F.lit(r"(?s)<a\b[^>]*>"), F.lit(0))
-    wanted = F.filter(anchors, lambda a: F.contains(a, F.lit(f'title="{title}"')))
-    links = F.transform(wanted, lambda a: F.concat(F.lit(site), F.regexp_extract(a, r'\bhref="([^"]*)"', 1)))
-    return df.withColumn("link", F.explode(F.filter(links, lambda x: x != F.lit(site)))).drop(html)
+    wanted = F.filter(anchors, lambda a: _value(a, "title") == title)
+    links = F.transform(wanted, lambda a: F.concat(F.lit(site), _value(a, "href")))
+    return df.withColumn("link", F.explode(F.filter(links, lambda x: x.isNotNull()))).drop(html)
 
 
-CATALOGUE_ENTRY = (
-    "`dct:issued` string, `rdfs:ressource` array<string>, "
-    "`dcat:distribution` array<struct<`rdfs:ressource`:array<string>>>"
-)
+# Links below other elements count at any depth.
+LINK_ELEMENT = r"(?s)<rdfs:ressource\b[^>]*>(.*?)</rdfs:ressource>"
 
 
-def read_catalogue(spark: SparkSession, *paths: str, tag: str = "dcat:dataset", schema: str = CATALOGUE_ENTRY) -> DataFrame:
-    """Entries of catalogue documents."""
-    reader = spark.read.format("xml").option("rowTag", tag).option("ignoreSurroundingSpaces", True)
-    return reader.schema(schema).load(list(paths))
+def read_catalogue(spark: SparkSession, *paths: str, tag: str = "dcat:dataset") -> DataFrame:
+    """Entries of catalogue documents, read one by one: date, links of their own, and all else in them as text."""
+    reader = spark.read.format("xml").option("rowTag", tag).option("wildcardColName", "rest").option("ignoreSurroundingSpaces", True)
+    return reader.schema("`dct:issued` string, `rdfs:ressource` array<string>, rest array<string>").load(list(paths))
 
 
 def catalogue_urls(entries: DataFrame) -> DataFrame:
@@ -41,14 +61,9 @@ def catalogue_urls(entries: DataFrame) -> DataFrame:
 
     Without a JSON link the last link counts; without any link the entry is left out.
     """
-    nested = F.flatten(F.transform(F.col("`dcat:distribution`"), lambda d: d["rdfs:ressource"]))
-    links = F.transform(
-        F.concat(
-            F.coalesce(F.col("`rdfs:ressource`"), F.array().cast("array<string>")),
-            F.coalesce(nested, F.array().cast("array<string>")),
-        ),
-        lambda u: F.trim(u),
-    )
+    nested = F.regexp_extract_all(F.coalesce(F.array_join("rest", ""), F.lit("")), F.lit(LINK_ELEMENT), F.lit(1))
+    own = F.coalesce(F.col("`rdfs:ressource`"), F.array().cast("array<string>"))
+    links = F.transform(F.concat(own, nested), lambda u: F.trim(u))
     first_json = F.get(F.filter(links, lambda u: F.contains(u, F.lit(JSON_PATH))), F.lit(0))
     last = F.when(F.size(links) > 0, F.element_at(links, -1))
     return entries.select(

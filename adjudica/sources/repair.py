@@ -37,25 +37,28 @@ def title_quotes(c: Column) -> Column:
 
 
 def parses(c: Column) -> Column:
-    return F.try_parse_json(c).isNotNull()
+    """Whether a text is a JSON object or list. Fields are skipped over, so the size doesn't matter."""
+    read = F.from_json(c, "_none string, _corrupt_record string")
+    fine = read.isNotNull() & read["_corrupt_record"].isNull() & (F.trim(c) != "")
+    return F.when(F.ltrim(c).startswith("["), F.from_json(c, "array<string>").isNotNull()).otherwise(fine)
 
 
 def checked(df: DataFrame, column: str = "payload", replacements: dict[str, str] | None = None) -> DataFrame:
     """Payloads after repair, and in ``readable`` whether they parse now.
 
     One that parses is only checked, once. One that does not gets its titles escaped and the given
-    replacements made, and is checked again.
+    replacements made, and is checked again. One that can't be mended is left as it came.
     """
     mended = title_quotes(F.col(column))
     for wrong, right in (replacements or {}).items():
         mended = F.replace(mended, F.lit(wrong), F.lit(right))
-    first = df.withColumn(column, json_text(F.col(column)))
-    return (
-        first.withColumn("_fine", parses(F.col(column)))
+    first = df.withColumn("_came", F.col(column)).withColumn(column, json_text(F.col(column)))
+    tried = (
+        first.withColumn("_fine", F.coalesce(parses(F.col(column)), F.lit(False)))
         .withColumn(column, F.when(F.col("_fine"), F.col(column)).otherwise(mended))
-        .withColumn("readable", F.coalesce(F.col("_fine") | parses(F.col(column)), F.lit(False)))
-        .drop("_fine")
+        .withColumn("readable", F.col("_fine") | F.coalesce(parses(F.col(column)), F.lit(False)))
     )
+    return tried.withColumn(column, F.when(F.col("readable"), F.col(column)).otherwise(F.col("_came"))).drop("_fine", "_came")
 
 
 def split_rejects(

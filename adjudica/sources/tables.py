@@ -43,3 +43,14 @@ def read_csv_texts(spark: SparkSession, *paths: str, columns: Sequence[str], sep
 
 def text_schema(*names: str) -> StructType:
     return StructType([StructField(n, StringType()) for n in names])
+
+
+def file_sizes(spark: SparkSession, paths: Sequence[str]) -> dict[str, int | None]:
+    """Bytes of each file, none where it doesn't exist: one look per path, by the file system Spark would use."""
+    hadoop, jvm = spark._jsc.hadoopConfiguration(), spark._jvm
+    sizes: dict[str, int | None] = {}
+    for path in paths:
+        place = jvm.org.apache.hadoop.fs.Path(path)
+        system = place.getFileSystem(hadoop)
+        sizes[path] = system.getContentSummary(place).getLength() if system.exists(place) else None
+    return sizes

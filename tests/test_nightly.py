@@ -51,7 +51,7 @@ def registers(frame):
 
 def test_documents_to_published_tables(spark, resources, registers, tmp_path):
     out = str(tmp_path / "clean")
-    taken = nightly.ingest(spark, resources, None, out, AS_OF)
+    taken = nightly.ingest(spark, resources, None, out, AS_OF).taken
     assert sorted(values(taken, "id")) == ["r1", "r2", "r3", "r4"]
     cleaned = spark.read.parquet(out)
     # Three documents: two records of the older layout twice, one of the newer, one in XML.
@@ -60,10 +60,10 @@ def test_documents_to_published_tables(spark, resources, registers, tmp_path):
     assert {"decp_minef_sender", "other", "third"} <= set(values(cleaned, "sourceDataset"))
 
     before = rows(cleaned)
-    repeated = nightly.ingest(spark, resources, None, out, AS_OF)
+    repeated = nightly.ingest(spark, resources, None, out, AS_OF).taken
     assert repeated.count() == 4 and rows(spark.read.parquet(out)) == before
 
-    again = nightly.ingest(spark, resources, taken, out, AS_OF)
+    again = nightly.ingest(spark, resources, taken, out, AS_OF).taken
     assert again.count() == 0 and spark.read.parquet(out).count() == len(before)
 
     companies, sites, cache, registry = registers
@@ -98,13 +98,15 @@ def test_xml_of_any_encoding_and_with_control_characters(spark, frame, tmp_path)
         "utf": XML.replace("ISO-8859-15", "utf-8").encode(),
         "bare": XML.split("\n", 1)[1].encode(),
         "damaged": XML.replace("ISO-8859-15", "utf-8").replace("Marché", "Mar\x01ché").encode(),
+        "damaged_latin": XML.replace("Marché", "Mar\x01ché").encode("ISO-8859-15"),
+        "attributed": XML.replace("ISO-8859-15", "utf-8").replace("Marché", "Mar\x01ché").replace("<marche>", '<marche type="m">').encode(),
     }
     listed = []
     for name, data in texts.items():
         (tmp_path / f"{name}.xml").write_bytes(data)
         listed.append(("d", "code", name, str(tmp_path / f"{name}.xml"), "xml", f"sum-{name}", 900))
-    flat, rejects = nightly.read_resources(spark, frame(MANIFEST, *listed))
-    assert set(flat) == {"2022"} and rejects.count() == 0
+    flat, outcomes = nightly.read_resources(spark, frame(MANIFEST, *listed))
+    assert set(flat) == {"2022"} and values(outcomes, "reason") == [None] * len(texts)
     assert rows(flat["2022"].select("checksum", "nature").distinct()) == sorted((f"sum-{n}", "Marché") for n in texts)
 
 
@@ -122,3 +124,24 @@ def test_new_files_of_a_folder_are_taken_once(spark, tmp_path):
     (folder / "b.json").write_text(json.dumps({**record, "id": "N2"}))
     take_in_lines(spark, *where)
     assert set(values(spark.read.parquet(where[1]), "id")) == {"N1", "N2"}
+
+
+def test_one_bad_resource_neither_stops_nor_silences_a_run(spark, frame, tmp_path):
+    files = {
+        "good.json": json.dumps(NEW),
+        "late.json": json.dumps({"meta": {"marches": ["x"]}, "marches": {"version": "2", **NEW["marches"]}}),
+        "empty.json": json.dumps({"marches": []}),
+        "broken.json": json.dumps(NEW)[:-5],
+        "odd.json": json.dumps({"contracts": []}),
+    }
+    for name, text in files.items():
+        (tmp_path / name).write_text(text)
+    names = [*files, "absent.json", "absent.xml"]
+    listed = [("d", "code", n, str(tmp_path / n), n.split(".")[1], f"sum-{n}", 900) for n in names]
+    result = nightly.ingest(spark, frame(MANIFEST, *listed), None, str(tmp_path / "out"), AS_OF)
+    assert sorted(values(result.taken, "id")) == ["empty.json", "good.json", "late.json"]
+    assert rows(result.refused, "id", "reason") == [
+        ("absent.json", "missing"), ("absent.xml", "missing"), ("broken.json", "unreadable"), ("odd.json", "no records"),
+    ]
+    later = nightly.ingest(spark, frame(MANIFEST, *listed), result.taken, str(tmp_path / "out"), AS_OF)
+    assert later.taken.count() == 0 and later.refused.count() == 4
