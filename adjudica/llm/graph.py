@@ -22,7 +22,7 @@ def components(links: DataFrame) -> DataFrame:
     labels = materialise(
         edges.groupBy(F.col("x").alias("node")).agg(F.least(F.min("y"), F.first("x")).alias("label")), "labels"
     )
-    while True:
+    while not labels.isEmpty():
         offered = edges.join(labels, F.col("x") == F.col("node")).groupBy(F.col("y").alias("at")).agg(F.min("label").alias("offer"))
         nearer = labels.join(offered, F.col("node") == F.col("at"), "left").select(
             "node", F.col("label").alias("was"), F.least("label", "offer").alias("label")
@@ -37,4 +37,5 @@ def components(links: DataFrame) -> DataFrame:
         )
         labels = moved.select("node", "label")
         if moved.where("was <> label").isEmpty():
-            return labels
+            break
+    return labels

@@ -18,7 +18,7 @@ from adjudica.session import materialise
 
 BATCH_BYTES = 4 << 20
 ROWS_PER_BAND = 5
-MOST_LEADERS = 64  # nodes of a bucket that its members are compared with in one round
+MOST_LEADERS = 512  # nodes of a bucket that its members are compared with in one round
 
 
 def permuted(x: np.ndarray, seed: int) -> np.ndarray:
@@ -107,6 +107,17 @@ def _confirm(similarity: Fraction) -> Callable[[Iterator[pa.RecordBatch]], Itera
     return run
 
 
+def _joined(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """Labels after more links: the links are drawn between the labels their ends have by now, which are few."""
+    ends = labels.select(F.col("node").alias("at"), "label")
+    between = links.join(ends, F.col("a") == F.col("at")).select("b", F.col("label").alias("x"))
+    between = between.join(ends, F.col("b") == F.col("at")).select("x", F.col("label").alias("y")).where("x <> y")
+    merged = components(between).select(F.col("node").alias("was"), F.col("label").alias("now"))
+    return materialise(
+        labels.join(merged, F.col("label") == F.col("was"), "left").select("node", F.coalesce("now", "label").alias("label")), "labels"
+    )
+
+
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = 5, similarity: float = 0.8, miss: float = 1e-6) -> DataFrame:
     """Groups of documents whose sets of word shingles are linked by a Jaccard similarity of ``similarity`` or more.
 
@@ -145,10 +156,10 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wo
     picked = texts.join(wanted, F.col("doc_id").eqNullSafe(F.col("at")) & (F.col("text_key") == F.col("text_at")))
     sets = materialise(picked.select("node", "text").mapInArrow(_sets(words), "node binary, members binary"), "sets")
 
-    links, labels, leaders = None, None, 1
+    labels = materialise(members.select("node").distinct().select("node", F.col("node").alias("label")), "labels")
+    leaders = 1
     while not members.isEmpty():
-        known = members if labels is None else members.join(labels, "node", "left")
-        known = known.select("bucket", "node", (F.coalesce("label", "node") if labels is not None else F.col("node")).alias("label"))
+        known = members.join(labels, "node").select("bucket", "node", "label")
         first = F.row_number().over(Window.partitionBy("bucket").orderBy("node"))
         heads = materialise(known.withColumn("_n", first).where(F.col("_n") <= leaders).drop("_n"), "heads")
         other = heads.select("bucket", F.col("node").alias("head"), F.col("label").alias("head_label"))
@@ -161,20 +172,16 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wo
         with_a = pairs.join(sets.select(F.col("node").alias("a"), F.col("members").alias("set_a")), "a")
         with_both = with_a.join(sets.select(F.col("node").alias("b"), F.col("members").alias("set_b")), "b")
         found = materialise(with_both.select("a", "b", "set_a", "set_b").mapInArrow(_confirm(exact), "a binary, b binary"), "links")
-        links = found if links is None else links.union(found)
-        labels = components(links)
-        rest = known.select("bucket", "node").join(heads.select("bucket", "node"), ["bucket", "node"], "left_anti")
-        rest = rest.join(labels, "node", "left").select("bucket", "node", F.coalesce("label", "node").alias("label"))
+        labels = _joined(labels, found)
+        rest = members.join(heads.select("bucket", "node"), ["bucket", "node"], "left_anti").join(labels, "node")
         open_buckets = rest.groupBy("bucket").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x <> y").select("bucket")
         members = materialise(rest.join(open_buckets, "bucket").select("bucket", "node"), "members")
         leaders = min(2 * leaders, MOST_LEADERS)
 
-    found_ids = nodes.select("node", "least_id")
-    if labels is not None:
-        tied = materialise(labels.join(found_ids, "node"), "tied")
-        least = tied.groupBy("label").agg(F.min("least_id").alias("group_id"))
-        named = tied.join(least, "label").select("node", "group_id")
-        found_ids = found_ids.join(named, "node", "left").select("node", F.coalesce("group_id", "least_id").alias("least_id"))
+    tied = labels.join(nodes.select("node", "least_id"), "node")
+    least = tied.groupBy("label").agg(F.min("least_id").alias("group_id"))
+    named = labels.join(least, "label").select("node", "group_id")
+    found_ids = nodes.join(named, "node", "left").select("node", F.coalesce("group_id", "least_id").alias("least_id"))
     return rows.join(found_ids, "node", "left").select(
         "doc_id",
         "text_key",
