@@ -7,8 +7,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from adjudica.catalogue.registry import query, table
+from adjudica.catalogue.registry import AS_OF, query, table
 from adjudica.functions import nested, text
+from adjudica.plans import nightly
 from adjudica.session import materialise, work_path
 from adjudica.sources import documents, pages, repair
 
@@ -124,6 +125,40 @@ def json_layout_2022(spark, sf):
     return _read_documents(spark, sf, "2022")
 
 
+DOCUMENTS_PER_RESOURCE = 20
+
+
+@query(f"""
+SELECT 'r' || CAST(n AS VARCHAR) AS id, CASE n % 5 WHEN 1 THEN 'unreadable' WHEN 2 THEN 'no records' WHEN 3 THEN 'missing' ELSE 'taken' END AS outcome
+FROM (SELECT DISTINCT doc_id // {DOCUMENTS_PER_RESOURCE} AS n FROM documents)
+""")
+def ingest_outcomes(spark, sf):
+    """Resources that are sound, cut off, without records or not there: each is taken or refused for its own reason."""
+    number = F.floor(F.col("doc_id") / DOCUMENTS_PER_RESOURCE)
+    record = F.to_json(F.struct(F.col("doc_id").cast("string").alias("id"), F.col("lang").alias("nature"), F.substring("text", 1, 100).alias("objet")))
+    lists = table(spark, sf, "documents").groupBy(number.alias("n")).agg(F.array_join(F.collect_list(record), ",").alias("records"))
+    kind = F.col("n") % 5
+    layout_2022 = F.concat(F.lit('{"meta":{"marches":["x"]},"marches":{"version":"2","marche":['), "records", F.lit("]}}"))
+    whole = (
+        F.when(kind == 1, F.concat(F.lit('{"marches":['), "records"))
+        .when(kind == 2, F.concat(F.lit('{"contracts":['), "records", F.lit("]}")))
+        .when(kind == 4, F.concat(F.lit('{"marches":['), "records", F.lit("]}")))
+        .otherwise(layout_2022)
+    )
+    lists = materialise(lists.select("n", whole.alias("value")), "lists")
+    path = work_path(spark, "resources")
+    lists.where(kind != 3).repartition("n").write.partitionBy("n").text(path)
+    there = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).select("path")
+    there = there.select(F.regexp_extract("path", r"/n=(\d+)/", 1).alias("n"), F.col("path").alias("url"))
+    gone = lists.where(kind == 3).select(F.col("n").cast("string").alias("n"), F.concat(F.lit(f"{path}/absent-"), F.col("n").cast("string")).alias("url"))
+    listed = there.unionByName(gone).select(
+        F.lit("d").alias("dataset_id"), F.lit("code").alias("dataset_code"), F.concat(F.lit("r"), "n").alias("id"), "url",
+        F.lit("json").alias("format"), F.concat(F.lit("sum-"), "n").alias("checksum"), F.lit(900).cast("bigint").alias("filesize"),
+    )
+    result = nightly.ingest(spark, materialise(listed, "listed"), None, work_path(spark, "clean"), AS_OF)
+    return result.taken.select("id", F.lit("taken").alias("outcome")).unionByName(result.refused.select("id", F.col("reason").alias("outcome")))
+
+
 @query(FLAT_SQL)
 def json_lines(spark, sf):
     path = work_path(spark, "lines")

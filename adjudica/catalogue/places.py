@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from adjudica.catalogue.registry import PUBLISHED, as_id, published, query, table
 from adjudica.functions import geo
+from adjudica.operators import joins
 from adjudica.operators.versions import number_versions
 from adjudica.plans import enrich as enriching
 from adjudica.plans import geocache, registers
@@ -173,9 +174,9 @@ def enrich_customer(spark, sf):
         .distinct()
         .join(customers, F.col("o_custkey") + 100 == F.col("c_custkey"))
         .join(nations, F.col("c_nationkey") == F.col("n_nationkey"))
-        .select("o_custkey", "c_name", "c_mktsegment", "n_name", "r_name")
+        .select(F.col("o_custkey").alias("known_key"), "c_name", "c_mktsegment", "n_name", "r_name")
     )
-    return orders.join(known, "o_custkey", "left").drop("o_custkey")
+    return joins.left_on(orders, known, [("o_custkey", "known_key")]).drop("o_custkey")
 
 
 @query("""

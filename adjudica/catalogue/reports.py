@@ -10,7 +10,8 @@ from adjudica.catalogue.registry import NUMBERED, PUBLISHED, published, query, t
 from adjudica.operators import counts, overlap
 from adjudica.operators.versions import number_versions
 from adjudica.plans import stats
-from adjudica.session import materialise
+from adjudica.session import materialise, work_path
+from adjudica.sinks import files
 
 CURRENT = """current_rows AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY uid ORDER BY acheteur_id NULLS LAST, "dateNotification" NULLS LAST,
     "datePublicationDonnees" NULLS LAST, "donneesActuelles", montant NULLS LAST, "sourceDataset" NULLS LAST, "sourceFile" NULLS LAST) AS rn
@@ -45,7 +46,7 @@ def yearly_amounts(spark, sf):
         stats.whole(F.sum(F.col("o_totalprice").cast("decimal(18,2)"))).alias("total"),
         F.countDistinct("o_custkey").alias("n_buyers"),
     )
-    middles = counts.exact_median(orders, ["year"], "o_totalprice", "middle", few_groups=True)
+    middles = counts.exact_median(orders, ["year"], "o_totalprice", "middle")
     return sums.join(middles.withColumn("middle", F.round("middle", 4)), "year")
 
 
@@ -120,7 +121,7 @@ def pivot_counts(spark, sf):
     return orders.groupBy("priority").pivot("o_orderstatus", ["F", "O", "P"]).count().fillna(0)
 
 
-@query(f"""
+YEARLY = f"""
 WITH {NUMBERED}, {CURRENT},
 y AS (SELECT CAST(range AS INTEGER) AS annee FROM range(1994, 2004)),
 p AS (SELECT year("datePublicationDonnees") AS annee, count(*) AS n FROM current_rows GROUP BY 1),
@@ -129,11 +130,30 @@ h AS (SELECT year("dateNotification") AS annee, count(DISTINCT titulaire_id) AS
 SELECT y.annee, coalesce(p.n, 0) AS nb_publications_marches, coalesce(a.n, 0) AS nb_notifications_marches, CAST(trunc(s) AS BIGINT) AS somme_montant_marches_notifies,
   CAST(trunc(m) AS BIGINT) AS mediane_montant_marches_notifies, b AS nb_acheteurs_uniques, CASE WHEN a.n IS NOT NULL THEN t END AS nb_titulaires_uniques
 FROM y LEFT JOIN p USING (annee) LEFT JOIN a USING (annee) LEFT JOIN h USING (annee)
-""")
+"""
+LAST_DAY, FIRST_YEAR = date(2003, 6, 30), 1994
+
+
+@query(YEARLY)
 def yearly_stats(spark, sf):
     rows = materialise(number_versions(published(spark, sf)), "numbered")
     current = materialise(stats.current_records(rows.select(*CURRENT_COLUMNS)), "current")
-    return stats.yearly_stats(rows, current, date(2003, 6, 30), first_year=1994)
+    return stats.yearly_stats(rows, current, LAST_DAY, FIRST_YEAR)
+
+
+@query(YEARLY.replace("SELECT y.annee,", "SELECT (SELECT count(*) FROM current_rows) AS nb_marches, (SELECT count(*) FROM numbered) AS nb_lignes, y.annee,"))
+def stats_json(spark, sf):
+    """The statistics document, written and read back: its totals beside each year."""
+    rows = materialise(number_versions(published(spark, sf)), "numbered")
+    path = work_path(spark, "statistics")
+    files.write_document(stats.contract_stats(rows, LAST_DAY, FIRST_YEAR), path)
+    names = ["nb_publications_marches", "nb_notifications_marches", "somme_montant_marches_notifies", "mediane_montant_marches_notifies",
+             "nb_acheteurs_uniques", "nb_titulaires_uniques"]
+    figures = ",".join(f"{n}:bigint" for n in names)
+    years = range(FIRST_YEAR, LAST_DAY.year + 1)
+    document = spark.read.schema("nb_marches bigint, nb_lignes bigint, " + ", ".join(f"`{y}` struct<{figures}>" for y in years)).json(path)
+    each = F.explode(F.array(*[F.struct(F.lit(y).alias("annee"), F.col(f"`{y}`").alias("year")) for y in years]))
+    return document.select("nb_marches", "nb_lignes", each.alias("y")).select("nb_marches", "nb_lignes", "y.annee", "y.year.*")
 
 
 @query(f"""
@@ -164,17 +184,18 @@ def records_per_source(spark, sf):
 
 
 @query("""
-WITH d AS (SELECT doc_id, lang || '_' || source AS src FROM documents), reg AS (SELECT DISTINCT lang AS code FROM documents WHERE lang <> 'es' UNION ALL SELECT DISTINCT lang || '_src12' FROM documents),
-k AS (SELECT src, count(DISTINCT doc_id) AS n, count(DISTINCT quality) + max(CASE WHEN quality IS NULL THEN 1 ELSE 0 END) AS b FROM d LEFT JOIN labels USING (doc_id) GROUP BY 1)
-SELECT 'Name ' || r AS nom, 'Owner ' || r AS organisation, 'https://www.data.gouv.fr/datasets/' || r AS url, n AS "nb_marchés", b AS nb_acheteurs, src AS code, 1.0::DOUBLE AS "unique"
-FROM (SELECT *, (SELECT max(code) FROM reg WHERE code <= src AND code IN (SELECT src FROM k)) AS r FROM k)
+WITH d AS (SELECT doc_id, md5(text) AS uid, lang || '_' || source AS src FROM documents), reg AS (SELECT DISTINCT lang AS code FROM documents WHERE lang <> 'es' UNION ALL SELECT DISTINCT lang || '_src12' FROM documents),
+k AS (SELECT src, count(DISTINCT uid) AS n, count(DISTINCT quality) + max(CASE WHEN quality IS NULL THEN 1 ELSE 0 END) AS b FROM d LEFT JOIN labels USING (doc_id) GROUP BY 1),
+u AS (SELECT src, round(count(*) FILTER (times = 1) / count(*), 9) AS alone FROM (SELECT DISTINCT src, uid FROM d) JOIN (SELECT uid, count(DISTINCT src) AS times FROM d GROUP BY 1) USING (uid) GROUP BY 1)
+SELECT 'Name ' || r AS nom, 'Owner ' || r AS organisation, 'https://www.data.gouv.fr/datasets/' || r AS url, n AS "nb_marchés", b AS nb_acheteurs, src AS code, alone AS "unique"
+FROM (SELECT *, (SELECT max(code) FROM reg WHERE code <= src AND code IN (SELECT src FROM k)) AS r FROM k) JOIN u USING (src)
 """)
 def source_stats(spark, sf):
     documents = table(spark, sf, "documents")
     rows = (
         documents.join(table(spark, sf, "labels"), "doc_id", "left")
         .select(
-            F.col("doc_id").alias("uid"),
+            F.md5("text").alias("uid"),  # copies are one record that several sources have
             F.col("quality").alias("acheteur_id"),
             F.concat_ws("_", "lang", "source").alias("sourceDataset"),
         )
@@ -185,7 +206,7 @@ def source_stats(spark, sf):
         F.col("code").alias("id"), F.concat(F.lit("Name "), "code").alias("name"), F.concat(F.lit("Owner "), "code").alias("owner_org_name"), "code"
     )
     alone = overlap.overlap_pairs(rows).where("sourceDataset = other").select("sourceDataset", "unique")
-    return stats.source_stats(rows, register, alone)
+    return stats.source_stats(rows, register, alone).withColumn("unique", F.round("unique", 9))
 
 
 @query("""

@@ -77,19 +77,6 @@ def months_json(spark, sf):
     return spark.read.schema(schema).json(path)
 
 
-@query("""
-SELECT o_orderstatus AS status, count(*) AS n FROM orders GROUP BY 1
-""")
-def stats_json(spark, sf):
-    path = work_path(spark, "statistics")
-    counts = table(spark, sf, "orders").agg(
-        *[F.count(F.when(F.col("o_orderstatus") == s, 1)).alias(s) for s in ("F", "O", "P")]
-    )
-    files.write_document(counts, path)
-    document = spark.read.schema("F bigint, O bigint, P bigint").json(path)
-    return document.unpivot([], ["F", "O", "P"], "status", "n")
-
-
 LISTED = """listed AS (SELECT lang || '_' || source AS dataset_id, CAST(doc_id AS VARCHAR) AS id, 'Doc.' || CAST(doc_id AS VARCHAR) || CASE WHEN lang = 'fr' THEN '.JSON' ELSE '.xml' END AS title,
     CASE lang WHEN 'fr' THEN 'json' WHEN 'es' THEN 'csv' ELSE 'xml' END AS format, CASE WHEN lang <> 'de' THEN md5(text) END AS checksum,
     CASE WHEN source <> 'src1' THEN 'a' || md5(text) END AS analysis, CASE WHEN lang = 'fr' THEN 0 WHEN source = 'src2' THEN NULL ELSE n_chars END AS filesize,
@@ -149,8 +136,8 @@ def tracked_datasets(spark, sf):
 
 
 def related(spark, sf):
-    rows = number_versions(published(spark, sf)).withColumn(
-        "titulaire_nom", F.concat(F.lit("Supplier "), "titulaire_id")
+    rows = number_versions(published(spark, sf)).withColumns(
+        {"titulaire_nom": F.concat(F.lit("Supplier "), "titulaire_id"), "titulaire_distance": F.col("dureeMois")}
     )
     return relational.related_tables(rows)
 
@@ -180,7 +167,7 @@ def normalised_companies(spark, sf):
 
 
 @query(f"""
-WITH {NUMBERED} SELECT uid, modification_id, titulaire_id, "titulaire_typeIdentifiant" FROM numbered
+WITH {NUMBERED} SELECT uid, modification_id, titulaire_id, "titulaire_typeIdentifiant", "dureeMois" AS titulaire_distance FROM numbered
 """)
 def normalised_contract_holders(spark, sf):
     return related(spark, sf)["marches_titulaires"].df

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from adjudica.catalogue.registry import NUMBERED, published, query, table
 from adjudica.operators import dedup, scores, versions
-from adjudica.operators.sets import stack
+from adjudica.operators.sets import stack, stack_diagonal
 from adjudica.plans.consolidate import consolidate_tables
 from adjudica.plans.stats import current_records
 
@@ -126,7 +126,7 @@ def union_diagonal(spark, sf):
     orders = table(spark, sf, "orders").select(
         F.col("o_orderkey").alias("order_key"), F.col("o_orderpriority").alias("priority"), F.lit("order").alias("origin")
     )
-    return lines.unionByName(orders, allowMissingColumns=True)
+    return stack_diagonal([lines, orders])
 
 
 @query("""

@@ -31,16 +31,14 @@ def shares(df: DataFrame, key: str) -> DataFrame:
 
 
 def exact_median(
-    df: DataFrame, keys: Sequence[str], value: str, name: str, accuracy: int = 10_000, few_groups: bool = False
+    df: DataFrame, keys: Sequence[str], value: str, name: str, accuracy: int = 10_000
 ) -> DataFrame:
     """Exact interpolating median per group, without holding a group's values in one place.
 
     A quantile sketch brackets the middle of each group. Counting the rows below, inside and above the
     bracket is exact, so it tells for certain which part holds the middle ranks; only the values of that
-    part are sorted, each distinct one once. A bad bracket costs time, never the result.
-
-    With ``few_groups``, for groups as few as years, brackets and counts are broadcast to the values, which
-    then need no shuffle of their own.
+    part are sorted, each distinct one once. A bad bracket costs time, never the result. Brackets and counts of few
+    groups are small, which Spark finds out by their size and then broadcasts them.
     """
     keys = list(keys)
     rows = df.select(*keys, F.col(value).cast("double").alias("_v")).where("_v is not null")
@@ -48,8 +46,7 @@ def exact_median(
     cuts = rows.groupBy(*keys).agg(
         F.percentile_approx("_v", [0.5 - margin, 0.5 + margin], accuracy).alias("_cuts")
     )
-    per_group = F.broadcast if few_groups else (lambda table: table)
-    parted = null_safe_left(rows, per_group(cuts), keys).select(
+    parted = null_safe_left(rows, cuts, keys).select(
         *keys,
         "_v",
         F.when(F.col("_v") < F.col("_cuts")[0], 0).when(F.col("_v") <= F.col("_cuts")[1], 1).otherwise(2).alias("_part"),
@@ -64,7 +61,7 @@ def exact_median(
     before = F.when(F.col("_part") == 0, F.lit(0)).when(F.col("_part") == 1, F.col("_n0")).otherwise(F.col("_n1"))
     after = F.when(F.col("_part") == 0, F.col("_n0")).when(F.col("_part") == 1, F.col("_n1")).otherwise(F.col("_n"))
     near = (
-        null_safe_left(parted, per_group(sizes.withColumns({"_low": low, "_high": high})), keys)
+        null_safe_left(parted, sizes.withColumns({"_low": low, "_high": high}), keys)
         .where((before < F.col("_high")) & (after >= F.col("_low")))
         .groupBy(*keys, "_part", "_v")
         .agg(

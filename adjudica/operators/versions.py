@@ -127,34 +127,22 @@ def number_versions(
     date: str = "dateNotification",
     number: str = "modification_id",
     current: str = "donneesActuelles",
-    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Number the versions of a key by date from 0 and flag the last; a null date has neither.
 
-    A hot key is numbered over its distinct dates only, of which there are no more than days.
+    Numbers are given to the distinct dates of a key, which are no more than days however many rows it has, and then
+    meet the rows. One plan serves keys of all sizes; Spark splits the rows of a hot one in the join.
     """
-    dated = F.col(date).isNotNull()
-
-    def in_one_window(part: DataFrame) -> DataFrame:
-        by_date = Window.partitionBy(key).orderBy(F.col(date).asc_nulls_last())
-        last = F.max(number).over(Window.partitionBy(key))
-        return part.withColumn(
-            number, F.when(dated, F.dense_rank().over(by_date) - 1).cast("smallint")
-        ).withColumn(current, F.col(number) == last)
-
-    def over_dates(part: DataFrame) -> DataFrame:
-        by_date = Window.partitionBy(key).orderBy(date)
-        last = F.max(date).over(Window.partitionBy(key))
-        dates = part.select(key, date).where(dated).distinct()
-        numbered = dates.select(
-            key,
-            date,
-            (F.row_number().over(by_date) - 1).cast("smallint").alias(number),
-            (F.col(date) == last).alias(current),
-        )
-        return null_safe_left(part, numbered, [key, date])
-
-    return by_key_size(df, [key], in_one_window, over_dates, hot_rows)
+    by_date = Window.partitionBy(key).orderBy(date)
+    last = F.max(date).over(Window.partitionBy(key))
+    dates = df.select(key, date).where(F.col(date).isNotNull()).distinct()
+    numbered = dates.select(
+        key,
+        date,
+        (F.row_number().over(by_date) - 1).cast("smallint").alias(number),
+        (F.col(date) == last).alias(current),
+    )
+    return null_safe_left(df, numbered, [key, date])
 
 
 def version_order(df: DataFrame, key: str = "uid", date: str = "dateNotification") -> DataFrame:

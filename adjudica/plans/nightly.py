@@ -217,13 +217,17 @@ def publish(
     )
 
 
-def write_published(result: Published, folder: str) -> DataFrame:
-    """Write all tables and reports; returns the written contracts."""
+def write_published(result: Published, folder: str, described: DataFrame | None = None) -> DataFrame:
+    """Write all tables and reports; returns the written contracts.
+
+    ``described`` is a column description read with ``read_contract``; all it says of the columns (description, short
+    title, format, allowed values) is published. Without it the titles and types at hand are.
+    """
     contracts = files.write_table(result.contracts, f"{folder}/contracts")
     files.write_parquet(result.cache, f"{folder}/geocode_cache.parquet")
     files.write_csv(result.scores, f"{folder}/activity_product_scores.csv")
     files.write_document(result.stats, f"{folder}/statistics.json")
     files.write_csv(result.sources, f"{folder}/source_statistics.csv")
     files.write_parquet(result.overlap, f"{folder}/source_overlap.parquet")
-    files.write_document(contract_document(contracts, base_contract(contracts)), f"{folder}/schema.json")
+    files.write_document(contract_document(contracts, base_contract(contracts) if described is None else described), f"{folder}/schema.json")
     return contracts

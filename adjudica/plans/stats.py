@@ -41,7 +41,7 @@ def yearly_stats(df: DataFrame, current: DataFrame, as_of: date, first_year: int
         F.sum(F.col("montant").cast("decimal(38,6)")).alias("_sum"),
         members("acheteur_id").alias("nb_acheteurs_uniques"),
     )
-    medians = exact_median(awarded, ["annee"], "montant", "_median", few_groups=True)
+    medians = exact_median(awarded, ["annee"], "montant", "_median")
     holders = df.groupBy(F.year("dateNotification").alias("annee")).agg(
         members("titulaire_id").alias("nb_titulaires_uniques")
     )
@@ -103,9 +103,11 @@ def contract_stats(df: DataFrame, as_of: date, first_year: int = FIRST_YEAR) ->
     by_year = yearly_stats(df, current, as_of, first_year)
     figures = [c for c in by_year.columns if c != "annee"]
     years = range(first_year, as_of.year + 1)
-    per_year = by_year.agg(*[F.max(F.when(F.col("annee") == y, F.struct(*figures))).alias(str(y)) for y in years])
-    return overall_stats(df, current).withColumns(
-        {"date": F.lit(as_of.isoformat()), **{str(y): per_year.select(str(y)).scalar() for y in years}}
+    per_year = [F.max(F.when(F.col("annee") == y, F.struct(*figures))).alias(str(y)) for y in years]
+    # All years in one struct, so that the yearly figures are worked out once.
+    whole_table = overall_stats(df, current).withColumn("_years", by_year.agg(F.struct(*per_year).alias("years")).scalar())
+    return whole_table.select(
+        *[c for c in whole_table.columns if c != "_years"], F.lit(as_of.isoformat()).alias("date"), "_years.*"
     )
 
 

@@ -79,3 +79,16 @@ def test_work_goes_to_the_shared_folder(spark, published):
     assert rows(copy) == rows(published)
     assert "LocalTableScan" not in copy._jdf.queryExecution().executedPlan().toString()
     assert copy.inputFiles()[0].startswith("file://" + shared_dir(spark))
+
+
+def test_related_tables_with_distances_are_written_once_all_keys_are_sound(spark, frame, tmp_path):
+    columns = "uid string, modification_id short, acheteur_id string, titulaire_id string, titulaire_typeIdentifiant string, titulaire_nom string, titulaire_distance short"
+    sound = frame(columns, ("u1", 0, "b1", "s", "SIRET", "S", 5), ("u2", 0, "b2", "s", "SIRET", "S", 9))
+    relational.write_related_tables(sound, str(tmp_path / "good"))
+    assert spark.read.parquet(str(tmp_path / "good" / "entreprises.parquet")).columns == ["id", "typeIdentifiant", "nom"]
+    distances = spark.read.parquet(str(tmp_path / "good" / "marches_titulaires.parquet"))
+    assert sorted(r.titulaire_distance for r in distances.collect()) == [5, 9]
+    twofold = sound.union(frame(columns, ("u3", 0, "b1", "s", "SIRET", "Other", 5)))
+    with pytest.raises(Exception):
+        relational.write_related_tables(twofold, str(tmp_path / "bad"))
+    assert not (tmp_path / "bad").exists()

@@ -43,8 +43,7 @@ def test_amendments_become_versions(frame, hot_rows):
     ]
 
 
-@pytest.mark.parametrize("hot_rows", [1_000_000, 2, 0])
-def test_version_numbers(frame, hot_rows):
+def test_version_numbers(frame):
     df = frame(
         "uid string, dateNotification date, montant double",
         ("A", date(2023, 1, 1), 100.0),
@@ -57,7 +56,7 @@ def test_version_numbers(frame, hot_rows):
         ("C", None, 1.0),
         (None, date(2023, 2, 2), 2.0),
     )
-    got = versions.number_versions(df, hot_rows=hot_rows)
+    got = versions.number_versions(df)
     assert dict(got.dtypes)["modification_id"] == "smallint"
     assert rows(got, "uid", "montant", "modification_id", "donneesActuelles") == sorted(
         [
