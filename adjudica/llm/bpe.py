@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, functions as F
 from adjudica.llm.common import by_bytes, documents, query, small_batches
 from adjudica.llm.vocabulary import DEFAULT, Coder, Vocabulary, loaded, shipped
 
-BATCH_BYTES = 10 << 20
+BATCH_BYTES = 8 << 20
 _NEVER = np.iinfo(np.int32).max
 
 
@@ -118,34 +118,50 @@ def _coder(data: bytes) -> Coder:
     )
 
 
-def _encoder(data, text: str) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+def _table(vocabulary: Vocabulary) -> list[bytes]:
+    """The bytes of every id, special tokens included; nothing for ids that aren't used."""
+    specials = {i: s.encode() for s, i in vocabulary.specials.items()}
+    size = 1 + max([*vocabulary.bytes_of, *specials])
+    return [vocabulary.bytes_of.get(i) or specials.get(i, b"") for i in range(size)]
+
+
+def _text(ids: np.ndarray, table: list[bytes]) -> str:
+    return b"".join([table[i] for i in ids.tolist() if 0 <= i < len(table)]).decode(errors="replace")
+
+
+def _encoder(data, text: str, decoded: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = _coder(data.value)
+        coder, bytes_of = _coder(data.value), _table(loaded(data.value))
         for table in by_bytes(batches, text, BATCH_BYTES):
             table = table.combine_chunks()
             blobs = [b"".join(v) for v in coder.code(table.column(text).to_pylist())]
+            table = table.drop_columns([text])
             ends = np.zeros(len(blobs) + 1, np.int32)
             np.cumsum([len(b) // 4 for b in blobs], out=ends[1:])
             ids = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(blobs), np.int32)))
-            yield from table.append_column("ids", ids).to_batches()
+            table = table.append_column("ids", ids)
+            if decoded:
+                table = table.append_column("text", pa.array([_text(np.frombuffer(b, np.int32), bytes_of) for b in blobs], pa.string()))
+            yield from table.to_batches()
 
     return run
 
 
-def encode(docs: DataFrame, text: str = "text", ids: str = "ids", path: str = DEFAULT) -> DataFrame:
-    """Add the token ids of whole texts in ``ids``, an array of ints; other columns stay as they are.
+def encode(docs: DataFrame, text: str = "text", ids: str = "ids", decoded: str | None = None, path: str = DEFAULT) -> DataFrame:
+    """Add the token ids of whole texts in ``ids``, an array of ints, and in ``decoded``, if it is named, the text
+    that these ids stand for. The text itself isn't returned, all other columns stay as they are.
 
     Special tokens that occur in a text get their ids, none are added. A null text is empty and has no ids.
-    A column that already has the name of the result is replaced. Each partition works through its texts in
+    A column that already has the name of a result is replaced. Each partition works through its texts in
     batches of ``BATCH_BYTES``, so very long texts and large partitions need no more memory than the longest text.
     """
     small_batches(docs.sparkSession)
-    kept = docs.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(docs.columns)])
-    place = f"c{docs.columns.index(text)}"
-    schema = ", ".join(f"{n} {t}" for n, t in kept.dtypes)
-    done = kept.mapInArrow(_encoder(shipped(docs.sparkSession, path), place), f"{schema}, ids array<int>")
-    named = [F.col(f"c{i}").alias(c) for i, c in enumerate(docs.columns) if c != ids]
-    return done.select(*named, F.col("ids").alias(ids))
+    others = {f"c{i}": c for i, c in enumerate(docs.columns) if c not in (text, ids, decoded)}
+    kept = docs.select(*[F.col(f"`{c}`").alias(name) for name, c in others.items()], F.col(f"`{text}`").alias("t"))
+    schema = [f"{n} {t}" for n, t in kept.dtypes if n != "t"] + ["ids array<int>"] + ["text string"] * bool(decoded)
+    done = kept.mapInArrow(_encoder(shipped(docs.sparkSession, path), "t", bool(decoded)), ", ".join(schema))
+    named = [F.col(name).alias(c) for name, c in others.items()]
+    return done.select(*named, F.col("ids").alias(ids), *([F.col("text").alias(decoded)] if decoded else []))
 
 
 def decode(coded: DataFrame, ids: str = "ids", text: str = "decoded", path: str = DEFAULT) -> DataFrame:
@@ -156,27 +172,19 @@ def decode(coded: DataFrame, ids: str = "ids", text: str = "decoded", path: str
     data = shipped(coded.sparkSession, path)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary = loaded(data.value)
-        specials = {i: s.encode() for s, i in vocabulary.specials.items()}
-        size = 1 + max([*vocabulary.bytes_of, *specials])
-        table = [vocabulary.bytes_of.get(i) or specials.get(i, b"") for i in range(size)]
+        table = _table(loaded(data.value))
         for batch in batches:
             place = batch.schema.get_field_index("ids")
-            texts = [
-                b"".join([table[i] for i in row.tolist() if i is not None and 0 <= i < size]).decode(errors="replace")
-                for row in _lists(batch.column(place))
-            ]
+            texts = [_text(row, table) for row in _lists(batch.column(place))]
             columns = [c for i, c in enumerate(batch.columns) if i != place]
             names = [n for i, n in enumerate(batch.schema.names) if i != place]
             yield pa.RecordBatch.from_arrays([*columns, pa.array(texts, pa.string())], [*names, "text"])
 
-    kept = coded.select(
-        *[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(coded.columns)], F.col(f"`{ids}`").alias("ids")
-    )
+    others = {f"c{i}": c for i, c in enumerate(coded.columns) if c != text}
+    kept = coded.select(*[F.col(f"`{c}`").alias(name) for name, c in others.items()], F.col(f"`{ids}`").alias("ids"))
     schema = ", ".join(f"{n} {t}" for n, t in kept.dtypes if n != "ids")
-    done = kept.mapInArrow(run, f"{schema}, text string")
-    named = [F.col(f"c{i}").alias(c) for i, c in enumerate(coded.columns) if c != text]
-    return done.select(*named, F.col("text").alias(text))
+    done = kept.mapInArrow(run, f"{schema}, text string" if schema else "text string")
+    return done.select(*[F.col(name).alias(c) for name, c in others.items()], F.col("text").alias(text))
 
 
 def _lists(column: pa.ListArray) -> Iterator[np.ndarray]:
@@ -191,8 +199,7 @@ def _lists(column: pa.ListArray) -> Iterator[np.ndarray]:
 @query
 def op2_pair_index_bpe(spark, sf):
     """Token ids of all documents and the texts they decode to, as digests."""
-    coded = encode(documents(spark, sf).select("doc_id", "text")).select("doc_id", "ids")
-    return decode(coded).select(
+    return encode(documents(spark, sf).select("doc_id", "text"), decoded="decoded").select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
