@@ -4,7 +4,7 @@ from datetime import date
 import pytest
 from conftest import rows, values
 from test_registers import CACHE, COMPANIES, SITES
-from test_sources import NEW, OLD, XML
+from test_sources import NEW, OLD, STRANGER, TOWN, WORKSHOP, XML
 
 from adjudica.plans import nightly
 from adjudica.sources.layouts import CONTRACT_COLUMNS
@@ -35,13 +35,13 @@ def resources(frame, tmp_path):
 @pytest.fixture
 def registers(frame):
     place = (48.0, 2.0, "12345", "Commune", "12", "Département", "01", "Région")
-    companies = frame(COMPANIES, ("123456789", "Org 1", "ETI", "5499"), ("219740222", "Ville", None, "7210"))
+    companies = frame(COMPANIES, ("700000002", "Atelier Nord", "PME", "5499"), ("800000001", "Mairie d'Essai", None, "7210"))
     sites = frame(
         SITES,
-        ("12345678900022", *place, "Site", "11.11A", "NAFRev2"),
-        ("21974022200019", *place, None, "84.11Z", "NAFRev2"),
+        (WORKSHOP, *place, "Quai", "16.23Z", "NAFRev2"),
+        (TOWN, *place, None, "84.11Z", "NAFRev2"),
     )
-    cache = frame(CACHE, ("12345678900022", 48.0, 2.0, "decp", None, None, "success"))
+    cache = frame(CACHE, (WORKSHOP, 48.0, 2.0, "decp", None, None, "success"))
     registry = frame(
         "id string, name string, owner_org_name string, code string",
         ("d1", "Merged", "Org", "decp_minef"), ("d2", "Other", "Org", "other"), ("d3", "Third", "Org", "third"),
@@ -71,20 +71,22 @@ def test_documents_to_published_tables(spark, resources, registers, tmp_path):
     contracts = nightly.write_published(result, str(tmp_path / "published"))
     assert contracts.columns[: len(CONTRACT_COLUMNS)] == CONTRACT_COLUMNS
     assert contracts.columns == CONTRACT_COLUMNS
-    one = contracts.where("uid = '215002221000122019_1'")
-    assert rows(one, "modification_id", "donneesActuelles", "montant", "dureeMois", "titulaire_nom", "titulaire_distance") == [
-        (0, False, 77899.0, 11, "Org 1 (Site)", None),
-        (1, True, 79237.0, 1, "Org 1 (Site)", None),
+    # Two holders, three versions: the amount of the first amendment lasts, the last one has one holder only.
+    one = contracts.where(f"uid = '{STRANGER}lot_7_a'")
+    assert rows(one, "modification_id", "donneesActuelles", "montant", "dureeMois", "titulaire_id", "titulaire_nom") == [
+        (0, False, 1250.5, 24, WORKSHOP, "Atelier Nord (Quai)"),
+        (0, False, 1250.5, 24, "EU-55", None),
+        (1, False, 1600.0, 24, WORKSHOP, "Atelier Nord (Quai)"),
+        (1, False, 1600.0, 24, "EU-55", None),
+        (2, True, 1600.0, 36, WORKSHOP, "Atelier Nord (Quai)"),
     ]
     # No date: neither number nor flag. The amount is one of those that cannot be.
-    assert rows(contracts.where("uid = '21974022200019N1'"), "montant", "acheteur_nom", "acheteur_categorie", "titulaire_id", "modification_id") == [
-        (12311111111.0, "Ville", "Commune", "12345678900022", None),
-        (5.5, "Ville", "Commune", "7", None),
-    ]
+    undated = rows(contracts.where(f"uid = '{TOWN}K-1'"), "montant", "acheteur_nom", "acheteur_categorie", "titulaire_id", "modification_id")
+    assert undated == [(12311111111.0, "Mairie d'Essai", "Commune", WORKSHOP, None), (8.25, "Mairie d'Essai", "Commune", "EU-55", None)]
     newest_first = [d for d in values(contracts, "dateNotification")]
     assert newest_first == sorted([d for d in newest_first if d], reverse=True) + [None] * newest_first.count(None)
     new_cache = dict(rows(spark.read.parquet(str(tmp_path / "published/geocode_cache.parquet")), "siret", "status"))
-    assert new_cache["12345678900022"] == "success" and new_cache["21500222100012"] == "not_in_sirene"
+    assert new_cache[WORKSHOP] == "success" and new_cache[STRANGER] == "not_in_sirene"
     share = {(r.sourceDataset, r.other): r.share for r in result.overlap.collect()}
     assert share[("decp_minef_sender", "other")] == 1.0 and share[("other", "decp_minef_sender")] == pytest.approx(1 / 3)
     assert ("other", "third") not in share
@@ -118,12 +120,12 @@ def test_new_files_of_a_folder_are_taken_once(spark, tmp_path):
     where = (str(folder), str(tmp_path / "out"), str(tmp_path / "progress"), "code", AS_OF)
     take_in_lines(spark, *where)
     first = spark.read.parquet(where[1])
-    assert set(values(first, "id")) == {"N1"} and set(values(first, "sourceDataset")) == {"code"}
+    assert set(values(first, "id")) == {"K-1"} and set(values(first, "sourceDataset")) == {"code"}
     take_in_lines(spark, *where)
     assert spark.read.parquet(where[1]).count() == first.count()
-    (folder / "b.json").write_text(json.dumps({**record, "id": "N2"}))
+    (folder / "b.json").write_text(json.dumps({**record, "id": "K-2"}))
     take_in_lines(spark, *where)
-    assert set(values(spark.read.parquet(where[1]), "id")) == {"N1", "N2"}
+    assert set(values(spark.read.parquet(where[1]), "id")) == {"K-1", "K-2"}
 
 
 def test_one_bad_resource_neither_stops_nor_silences_a_run(spark, frame, tmp_path):

@@ -40,24 +40,24 @@ def sites(frame):
 
 
 def test_company_names(frame):
-    df = frame(
-        RAW_COMPANIES,
-        ("111111111", "Org 1", None, None, None, "O", "ETI", "1234"),
-        ("111111111", "Org 1", None, None, None, "O", "ETI", "1234"),
-        ("222222222", None, "Ambroise", "Croizat", "Zacroit", "O", "PME", "1234"),
-        ("333333333", None, "Ambroise", "Croizat", None, "O", "PME", None),
-        ("44444444", None, "Ambroise", "Croizat", None, "P", "PME", None),
-        ("555555555", "kept out", None, "Croizat", None, "O", "PME", None),
-        (None, "no number", None, None, None, "O", None, None),
-    )
-    got = registers.prepare_companies(df)
-    assert rows(got, "siren", "denominationUniteLegale") == [
-        ("111111111", "Org 1"),
-        ("222222222", "Ambroise Zacroit"),
-        ("333333333", "Ambroise Croizat"),
-        ("44444444", "[Données personnelles non-diffusibles]"),
-        ("555555555", None),
-    ]
+    """Companies have a name of their own, persons a first name and the name in use or by birth, unless they asked to be left out."""
+    raw = {
+        "410000001": ("Scierie du Lac", None, None, None, "O"),
+        "410000002": (None, "Ada", "Nowak", None, "O"),
+        "410000003": (None, "Ada", "Nowak", "Berg", "O"),
+        "410000004": (None, "Ada", "Nowak", "Berg", "P"),
+        "410000005": (None, "Ada", None, None, "O"),
+    }
+    given = [(number, *names, "PME", "1000") for number, names in raw.items()]
+    got = registers.prepare_companies(frame(RAW_COMPANIES, *given, given[1], (None, "Sans numéro", None, None, None, "O", None, None)))
+    assert dict(rows(got, "siren", "denominationUniteLegale")) == {
+        "410000001": "Scierie du Lac",
+        "410000002": "Ada Nowak",
+        "410000003": "Ada Berg",
+        "410000004": "[Données personnelles non-diffusibles]",
+        "410000005": None,
+    }
+    assert got.count() == 5
 
 
 def test_sites_get_codes_and_places(frame):
@@ -99,20 +99,18 @@ def test_overseas_territories_are_department_and_region(frame):
     ]
 
 
-def test_company_data_of_holders_and_buyers(frame, companies):
-    holders = frame("titulaire_id string", ("12345678900022",), ("12345679000023",), ("99999999900011",))
-    got = enriching.enrich_company(holders, companies, "titulaire_id", "titulaire")
-    assert rows(got, "titulaire_id", "titulaire_nom", "titulaire_siren", "titulaire_categorie") == [
-        ("12345678900022", "Org 1", "123456789", "ETI"),
-        ("12345679000023", "Org 2", "123456790", None),
-    ]
-    buyers = frame("acheteur_id string", ("12345678900022",), ("12345679000023",), ("20007695800011",))
-    got = enriching.enrich_company(buyers, companies, "acheteur_id", "acheteur")
-    assert rows(got, "acheteur_id", "acheteur_categorie") == [
-        ("12345678900022", None),
-        ("12345679000023", "Région"),
-        ("20007695800011", "Région"),
+def test_company_data_of_holders_and_buyers(frame):
+    """Companies are found by the first nine digits; a buyer's category comes from its legal form, a holder's is its size."""
+    companies = frame(
+        COMPANIES, ("500000001", "Fonderie", "GE", "5710"), ("500000002", "Bretagne", None, "7230"), ("500000003", "Bourg", "PME", "7210")
+    )
+    parties = [f"50000000{i}000{i}7" for i in (1, 2, 3, 4)]
+    holders = enriching.enrich_company(frame("titulaire_id string", *[(p,) for p in parties]), companies, "titulaire_id", "titulaire")
+    assert rows(holders, "titulaire_id", "titulaire_nom", "titulaire_categorie") == [
+        (parties[0], "Fonderie", "GE"), (parties[1], "Bretagne", None), (parties[2], "Bourg", "PME"),
     ]
+    buyers = enriching.enrich_company(frame("acheteur_id string", *[(p,) for p in parties]), companies, "acheteur_id", "acheteur")
+    assert rows(buyers, "acheteur_nom", "acheteur_categorie") == [("Bourg", "Commune"), ("Bretagne", "Région"), ("Fonderie", None)]
 
 
 def test_site_data(frame, sites):
