@@ -18,6 +18,7 @@ from adjudica.session import materialise
 
 BATCH_BYTES = 4 << 20
 ROWS_PER_BAND = 5
+LEADER_GROWTH = 6
 MOST_LEADERS = 512  # nodes of a bucket that its members are compared with in one round
 
 
@@ -176,7 +177,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wo
         rest = members.join(heads.select("bucket", "node"), ["bucket", "node"], "left_anti").join(labels, "node")
         open_buckets = rest.groupBy("bucket").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x <> y").select("bucket")
         members = materialise(rest.join(open_buckets, "bucket").select("bucket", "node"), "members")
-        leaders = min(2 * leaders, MOST_LEADERS)
+        leaders = min(LEADER_GROWTH * leaders, MOST_LEADERS)
 
     tied = labels.join(nodes.select("node", "least_id"), "node")
     least = tied.groupBy("label").agg(F.min("least_id").alias("group_id"))
