@@ -11,7 +11,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from adjudica.llm.common import by_bytes, documents, mix, query, small_batches, text_buffer
+from adjudica.llm.common import ORACLE, by_bytes, documents, mix, query, small_batches, text_buffer
 from adjudica.llm.graph import components
 from adjudica.llm.shingles import common, shingle_sets
 from adjudica.session import materialise
@@ -194,4 +194,22 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wo
 @query
 def op3_circulant_minhash(spark, sf):
     """Groups of near copies among all documents: three-word shingles, similarity 0.85 or more."""
-    return near_duplicates(documents(spark, sf), words=3, similarity=0.85)
+    return near_duplicates(documents(spark, sf), words=3, similarity=0.85).drop("text_key")
+
+
+ORACLE["op3_circulant_minhash"] = """
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS ws FROM documents),
+s AS (
+  SELECT DISTINCT doc_id, array_to_string(ws[i : i + 2], ' ') AS shingle
+  FROM (SELECT doc_id, ws, unnest(generate_series(1, greatest(len(ws) - 2, 1))) AS i FROM w WHERE len(ws) > 0)),
+n AS (SELECT w.doc_id, count(shingle) AS n FROM w LEFT JOIN s ON s.doc_id = w.doc_id GROUP BY 1),
+links AS (
+  SELECT a.doc_id AS x, b.doc_id AS y FROM s a JOIN s b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id
+  JOIN n p ON p.doc_id = a.doc_id JOIN n q ON q.doc_id = b.doc_id
+  GROUP BY 1, 2, p.n, q.n HAVING 100 * count(*) >= 85 * (p.n + q.n - count(*))),
+reached(doc_id, other) AS (
+  SELECT doc_id, doc_id FROM documents UNION SELECT r.doc_id, l.y FROM reached r JOIN links l ON r.other = l.x)
+SELECT n.doc_id, n.n AS n_shingles, min(other) AS component_id, n.doc_id = min(other) AS kept
+FROM n JOIN reached r ON r.doc_id = n.doc_id GROUP BY 1, 2
+"""

@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from adjudica.llm.common import chunk_bounds, chunk_of, documents, mix, query, shuffle_partitions, small_batches, text_buffer, word_hashes
+from adjudica.llm.common import ORACLE, chunk_bounds, chunk_of, documents, mix, query, shuffle_partitions, small_batches, text_buffer, word_hashes
 
 CHUNKS_PER_PARTITION = 4
 _STEP = 0xC6A4A7935BD1E995
@@ -283,3 +283,17 @@ def op4_block_anchor_repeats(spark, sf):
     return remove_repeats(documents(spark, sf).select("doc_id", "text")).select(
         "doc_id", "n_words", "n_removed", F.sha2(F.encode("kept", "UTF-8"), 256).alias("kept_sha256")
     )
+
+
+ORACLE["op4_block_anchor_repeats"] = """
+WITH w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS ws FROM documents),
+runs AS (
+  SELECT doc_id, i, array_to_string(ws[i : i + 19], ' ') AS run
+  FROM (SELECT doc_id, ws, unnest(generate_series(1, len(ws) - 19)) AS i FROM w WHERE len(ws) >= 20)),
+again AS (SELECT doc_id, i FROM (SELECT doc_id, i, row_number() OVER (PARTITION BY run ORDER BY doc_id, i) AS nth FROM runs) WHERE nth > 1),
+gone AS (SELECT DISTINCT doc_id, i + k AS p FROM again, (SELECT unnest(range(20)) AS k)),
+words AS (SELECT doc_id, unnest(ws) AS word, unnest(generate_series(1, len(ws))) AS p FROM w)
+SELECT w.doc_id, CAST(len(any_value(w.ws)) AS BIGINT) AS n_words, count(gone.p) AS n_removed,
+  sha256(coalesce(string_agg(word, ' ' ORDER BY words.p) FILTER (gone.p IS NULL), '')) AS kept_sha256
+FROM w LEFT JOIN words ON words.doc_id = w.doc_id LEFT JOIN gone ON gone.doc_id = words.doc_id AND gone.p = words.p GROUP BY w.doc_id
+"""
