@@ -4,6 +4,7 @@ from pathlib import Path
 
 import pytest
 
+from adjudica.catalogue import ORACLE, QUERIES
 from __spark_entry__ import entry, oracle_sql, queries
 from tools.check import database, rows
 
@@ -16,7 +17,7 @@ def db():
     return database(SF)
 
 
-@pytest.mark.parametrize("name", sorted(oracle_sql()))
+@pytest.mark.parametrize("name", sorted(ORACLE))
 def test_query_equals_its_sql(spark, db, name):
     df = queries()[name](spark, SF)
     wanted = db.sql(oracle_sql()[name])
@@ -24,8 +25,8 @@ def test_query_equals_its_sql(spark, db, name):
     assert rows(df.columns, [tuple(r) for r in df.collect()]) == rows(wanted.columns, wanted.fetchall())
 
 
-def test_every_query_has_sql():
-    assert set(queries()) == set(oracle_sql())
+def test_every_query_of_the_catalogue_has_sql():
+    assert set(QUERIES) == set(ORACLE) and set(QUERIES) <= set(queries()) and set(ORACLE) <= set(oracle_sql())
 
 
 def test_entry(spark):

@@ -226,10 +226,20 @@ def test_csv_variants(spark, tmp_path):
     assert rows(got) == [("3", "été")]
 
 
-def test_missing_and_empty_files_add_nothing(spark, frame, tmp_path):
+def test_missing_files_are_told_from_empty_ones(spark, tmp_path):
+    (tmp_path / "empty.json").write_text("")
+    (tmp_path / "some.json").write_text("{}")
+    paths = [str(tmp_path / n) for n in ("empty.json", "some.json", "absent.json")]
+    assert list(tables.file_sizes(spark, paths).values()) == [0, 2, None]
+
+
+def test_empty_and_corrupt_tables_add_nothing(spark, frame, tmp_path):
     frame("a int", (1,)).write.parquet(str(tmp_path / "full"))
     frame("a int", (1,)).where("a > 1").write.parquet(str(tmp_path / "empty"))
+    broken = tmp_path / "broken.parquet"
+    broken.write_bytes(b"PAR1 cut off")
     assert tables.read_parquet(spark, str(tmp_path / "full"), str(tmp_path / "empty")).count() == 1
+    assert tables.read_parquet(spark, str(tmp_path / "full"), str(broken), schema="a int").count() == 1
 
 
 def test_scan_reads_only_the_columns_it_needs(spark, frame, tmp_path):

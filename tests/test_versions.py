@@ -118,10 +118,20 @@ def test_hot_and_usual_paths_agree_on_version_folding(frame):
     assert rows(usual) == rows(hot)
 
 
-def test_ordinary_keys_need_one_shuffle_of_whole_rows(spark, frame):
-    df = frame("uid string, dateNotification date", ("A", date(2023, 1, 1)))
+def test_numbering_shuffles_only_keys_and_dates_beside_the_rows_themselves(spark, frame, tmp_path):
+    frame("uid string, dateNotification date, text string", ("A", date(2023, 1, 1), "x")).write.parquet(str(tmp_path / "t"))
+    df = spark.read.parquet(str(tmp_path / "t"))
     plan = versions.number_versions(df)._jdf.queryExecution().executedPlan().toString()
-    assert "CartesianProduct" not in plan and "NestedLoop" not in plan and "ArrowEvalPython" not in plan
+    assert "CartesianProduct" not in plan and "NestedLoop" not in plan and "Python" not in plan
+    scans = [line for line in plan.splitlines() if "ReadSchema" in line]
+    assert len(scans) == 2 and sum("text:string" in line for line in scans) == 1
+
+
+def test_a_key_with_a_third_of_the_rows_on_one_date(frame):
+    data = [("hot", date(2023, 1, 1)) if i % 3 == 0 else (f"u{i % 50}", date(2023, 1, 1 + i % 7)) for i in range(3000)]
+    got = versions.number_versions(frame("uid string, dateNotification date", *data))
+    hot = got.where("uid = 'hot'").groupBy("modification_id", "donneesActuelles").count().collect()
+    assert [tuple(r) for r in hot] == [(0, True, 1000)] and got.count() == 3000
 
 
 def test_survivor_is_the_same_whatever_the_partitioning(spark, frame):
