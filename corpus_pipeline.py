@@ -50,11 +50,15 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_duplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies, that of the smallest id. A row that is repeated stays once."""
     ship(spark)
-    kept = near_duplicates(docs).where("kept").select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key")).distinct()
-    key, mark = _fresh(docs, "text_key"), F.xxhash64("text")
-    rows = docs.withColumn(key, mark)
-    stay = rows.join(kept, F.col("doc_id").cast("long").eqNullSafe(F.col("_id")) & (F.col(key) == F.col("_key")), "left_semi")
-    return stay.dropDuplicates(["doc_id", key]).select(*[F.col(f"`{c}`") for c in docs.columns])
+    kept = near_duplicates(docs).where("kept").groupBy(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"))
+    kept = materialise(kept.agg(F.count(F.lit(1)).alias("_times")), "kept")
+    key = _fresh(docs, "text_key")
+    rows = docs.withColumn(key, F.xxhash64("text"))
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col("_id")) & (F.col(key) == F.col("_key"))
+    # Texts are shuffled once for both joins; only those of repeated rows move again.
+    once = rows.join(kept.where("_times = 1"), same, "left_semi")
+    again = rows.join(kept.where("_times > 1"), same, "left_semi").dropDuplicates(["doc_id", key])
+    return once.unionByName(again).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
