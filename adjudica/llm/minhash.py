@@ -108,6 +108,33 @@ def _confirm(similarity: Fraction) -> Callable[[Iterator[pa.RecordBatch]], Itera
     return run
 
 
+def _shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One row for each shingle of a node."""
+    for batch in batches:
+        sets = [np.frombuffer(v.as_buffer(), np.int64) for v in batch.column("members")]
+        for a in range(0, len(sets), 64):
+            some = sets[a : a + 64]
+            owner = pa.array(np.repeat(np.arange(a, a + len(some)), [len(s) for s in some]))
+            yield pa.record_batch({"node": batch.column("node").take(owner), "shingle": pa.array(np.concatenate(some))})
+
+
+def _able(sets: DataFrame, members: DataFrame, similarity: Fraction) -> DataFrame:
+    """The nodes among ``members`` that may be linked with another of them, with the share of their shingles that
+    no other has.
+
+    What two sets have in common is no more than what one of them has in common with all others. So a node whose lone
+    shingles are more than the similarity leaves room for has no partner, whatever its signature says. Of the others,
+    those with few lone shingles are near the middle of their group.
+    """
+    held = sets.join(members.select("node").distinct(), "node")
+    counts = held.mapInArrow(_shingles, "node binary, shingle long").groupBy("shingle").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("node"))
+    lone = counts.where("n = 1").groupBy("node").agg(F.count(F.lit(1)).alias("_lone"))
+    sized = held.select("node", (F.octet_length("members") / 8).cast("long").alias("_size")).distinct().join(lone, "node", "left")
+    left = F.col("_size") - F.coalesce("_lone", F.lit(0))
+    fits = left * similarity.denominator >= F.col("_size") * similarity.numerator
+    return materialise(sized.where(fits).select("node", (1 - left / F.col("_size")).alias("lone")), "able")
+
+
 def _joined(labels: DataFrame, links: DataFrame) -> DataFrame:
     """Labels after more links: the links are drawn between the labels their ends have by now, which are few."""
     ends = labels.select(F.col("node").alias("at"), "label")
@@ -124,10 +151,11 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wo
 
     Documents with equal sets are one node from the start, so copies cost one row each. The other nodes meet in
     buckets, one for each band of their signature. Links are confirmed on the full sets, never estimated. A bucket
-    doesn't form all its pairs: in each round its first nodes are compared with those of its members that are in
-    another component by then, and leave the bucket; it is done when the rest is one component. So a group of n near
-    copies takes about n comparisons, and yet no two members of a bucket stay unlinked without having been compared
-    or being connected. Two nodes at the threshold share no bucket with a probability below ``miss``.
+    doesn't form all its pairs: in each round some of its nodes are compared with those of its members that are in
+    another component by then, and leave the bucket; it is done when the rest is one component. Nodes that have too many
+    shingles which none of the others has leave it too, as they can't be linked, and those with the fewest such
+    shingles are compared first. So a group of n near copies takes about n comparisons, and yet no two members of a
+    bucket stay unlinked without a proof or being connected. Two nodes at the threshold share no bucket with a probability below ``miss``.
 
     Returns one row per row of the input: doc_id, text_key (a hash of the text), n_shingles, component_id (the smallest id of the component) and kept
     (its own id is that one). Null texts and those without words are linked with nothing. A row with a null id
@@ -160,9 +188,11 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wo
     labels = materialise(members.select("node").distinct().select("node", F.col("node").alias("label")), "labels")
     leaders = 1
     while not members.isEmpty():
-        known = members.join(labels, "node").select("bucket", "node", "label")
-        first = F.row_number().over(Window.partitionBy("bucket").orderBy("node"))
-        heads = materialise(known.withColumn("_n", first).where(F.col("_n") <= leaders).drop("_n"), "heads")
+        lone = F.lit(0.0).alias("lone") if leaders == 1 else F.col("lone")
+        able = members if leaders == 1 else members.join(_able(sets, members, exact), "node")
+        known = materialise(able.join(labels, "node").select("bucket", "node", lone, "label"), "known")
+        first = F.row_number().over(Window.partitionBy("bucket").orderBy("lone", "node"))
+        heads = materialise(known.withColumn("_n", first).where(F.col("_n") <= leaders).drop("_n", "lone"), "heads")
         other = heads.select("bucket", F.col("node").alias("head"), F.col("label").alias("head_label"))
         pairs = (
             known.join(other, "bucket")
@@ -174,7 +204,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wo
         with_both = with_a.join(sets.select(F.col("node").alias("b"), F.col("members").alias("set_b")), "b")
         found = materialise(with_both.select("a", "b", "set_a", "set_b").mapInArrow(_confirm(exact), "a binary, b binary"), "links")
         labels = _joined(labels, found)
-        rest = members.join(heads.select("bucket", "node"), ["bucket", "node"], "left_anti").join(labels, "node")
+        rest = known.select("bucket", "node").join(heads.select("bucket", "node"), ["bucket", "node"], "left_anti").join(labels, "node")
         open_buckets = rest.groupBy("bucket").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x <> y").select("bucket")
         members = materialise(rest.join(open_buckets, "bucket").select("bucket", "node"), "members")
         leaders = min(LEADER_GROWTH * leaders, MOST_LEADERS)
