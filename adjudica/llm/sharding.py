@@ -7,7 +7,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from adjudica.llm.common import documents, query
 from adjudica.session import materialise
@@ -27,6 +27,15 @@ def _running(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows, size = rows + n, int(upto[-1]) if n else size
 
 
+def cut_of(before: Column, total: Column, shards: int) -> Column:
+    """The shard, from 0 to ``shards`` - 1, of a row before which ``before`` of ``total`` bytes stand.
+
+    Whole numbers are divided: a decimal quotient is rounded to a few digits before any floor, which puts the last
+    bytes of a large table past the last shard.
+    """
+    return F.call_function("div", before.cast("decimal(38,0)") * shards, total.cast("decimal(38,0)")).cast("int")
+
+
 def shard_by_bytes(docs: DataFrame, shards: int = 16, key: str = "doc_id", text: str = "text", slack: float = 0.01) -> DataFrame:
     """Put documents into shards of nearly equal bytes that are contiguous in one global order.
 
@@ -65,7 +74,7 @@ def shard_by_bytes(docs: DataFrame, shards: int = 16, key: str = "doc_id", text:
     cut = placed.join(F.broadcast(offsets), "part").select(
         "doc_id", "size", "text_crc32", "group_id",
         (F.col("rows_before") + F.col("rows_offset")).alias("place"),
-        F.floor((F.col("bytes_before") + F.col("bytes_offset")).cast("decimal(38,0)") * shards / F.col("all_bytes")).cast("int").alias("cut"),
+        cut_of(F.col("bytes_before") + F.col("bytes_offset"), F.col("all_bytes"), shards).alias("cut"),
         "all_bytes",
     )
     # At most one group for each of the shards - 1 cuts.

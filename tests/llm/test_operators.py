@@ -63,6 +63,15 @@ def test_shards_keep_small_groups_whole_and_split_large_ones(frame, odd):
     assert sharding.shard_by_bytes(odd).count() == 14 and sharding.shard_by_bytes(empty(odd)).count() == 0
 
 
+def test_cuts_of_large_tables_are_exact(frame):
+    totals = [5 * 10**8, 3 * 10**10, 10**12, 10**17]
+    sums = [(t - left, t) for t in totals for left in (*range(1, 901), 20_000)]
+    sums += [(t * i // 16 + d, t) for t in totals for i in range(1, 16) for d in (-400, -1, 0, 1)]
+    df = frame("before long, total long", *sums)
+    found = df.select("before", "total", sharding.cut_of(df.before, df.total, 16).alias("cut")).collect()
+    assert len(found) == len(sums) and all(r.cut == r.before * 16 // r.total <= 15 for r in found)
+
+
 # 2 and 5 tokens
 
 
