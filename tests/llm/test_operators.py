@@ -245,6 +245,30 @@ def test_fingerprints_are_the_rightmost_minima_and_keep_the_guarantee(frame):
     assert set(hashed[1].h) & set(hashed[2].h)
 
 
+@given_tables
+def test_every_kept_passage_is_met(spark):
+    texts = documents(spark)
+    found = QUERIES["op6_winnowing_fingerprints"](spark, SF).collect()
+    kept = {i: len("".join(t[: len(t) - len(t) // 3].split())) for i, t in texts.items()}
+    assert {r.doc_id for r in found if not r.near_edited} <= {i for i, n in kept.items() if n < 20}
+
+
+def test_short_and_shifted_passages_are_met(frame):
+    rng = random.Random(3)
+    words = [" ".join("".join(rng.choice(string.ascii_lowercase) for _ in range(5)) for _ in range(n)) for n in range(6, 29)]
+    dense = ["".join(chr(rng.randrange(0x4E00, 0x9FA0)) for _ in range(n)) for n in (30, 90, 400)]
+    found = winnowing.fingerprints(frame("doc_id long, text string", *enumerate(words + dense))).collect()
+    assert len(found) == len(words + dense) and all(r.near_edited > 0 for r in found)
+    # The same passage behind 0 to 20 characters, of text without blanks and of one with; the last is beyond the BMP.
+    passages = [dense[0][:19], words[0].replace(" ", "")[:19], "\U00020000" * 9 + "\U00020001" * 10]
+    rows = [("\u4e00\U0001f600x"[i % 3] * i + p + "z" * (20 - i), j) for j, p in enumerate(passages) for i in range(21)]
+    df = frame("t string, k long", *rows)
+    df = winnowing.winnow(df, "t", "f", winnowing.character_grams, winnowing.CHARACTER_WINDOW_DOUBLINGS)
+    for j in range(3):
+        alike = [set(r.h) for r in df.where(df.k == j).select(winnowing.hashes(df.f).alias("h")).collect()]
+        assert all(a & b for a in alike for b in alike)
+
+
 def test_fingerprints_of_odd_texts(odd):
     found = winnowing.fingerprints(odd).collect()
     rows = sorted(((r.doc_id, r.text or "") for r in odd.collect()), key=lambda r: (r[0] is None, -(r[0] or 0), r[1]))
