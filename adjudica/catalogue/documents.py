@@ -11,7 +11,7 @@ from adjudica.catalogue.registry import AS_OF, query, table
 from adjudica.functions import nested, text
 from adjudica.plans import nightly
 from adjudica.session import materialise, work_path
-from adjudica.sources import documents, pages, repair
+from adjudica.sources import documents, manifest, pages, repair
 
 KEYS_PER_DOCUMENT = 20_000
 
@@ -135,7 +135,7 @@ FROM (SELECT DISTINCT doc_id // {DOCUMENTS_PER_RESOURCE} AS n FROM documents)
 def ingest_outcomes(spark, sf):
     """Resources that are sound, cut off, without records or not there: each is taken or refused for its own reason."""
     number = F.floor(F.col("doc_id") / DOCUMENTS_PER_RESOURCE)
-    record = F.to_json(F.struct(F.col("doc_id").cast("string").alias("id"), F.col("lang").alias("nature"), F.substring("text", 1, 100).alias("objet")))
+    record = F.to_json(F.struct(F.col("doc_id").cast("string").alias("id"), F.col("lang").alias("nature"), F.col("text").alias("objet")))
     lists = table(spark, sf, "documents").groupBy(number.alias("n")).agg(F.array_join(F.collect_list(record), ",").alias("records"))
     kind = F.col("n") % 5
     layout_2022 = F.concat(F.lit('{"meta":{"marches":["x"]},"marches":{"version":"2","marche":['), "records", F.lit("]}}"))
@@ -159,6 +159,49 @@ def ingest_outcomes(spark, sf):
     return result.taken.select("id", F.lit("taken").alias("outcome")).unionByName(result.refused.select("id", F.col("reason").alias("outcome")))
 
 
+ORDERS_PER_RESOURCE = 500
+
+
+def _listing(files, run: int):
+    """The list of resources of one run; a replaced file has another checksum."""
+    state = F.when((F.col("n") % 3 == 0) & (F.lit(run) == 2), "new").otherwise("old")
+    return files.where((F.col("state") == state) & ((F.col("n") % 3 != 1) | (F.lit(run) == 1))).select(
+        F.lit("d").alias("dataset_id"), F.lit("code").alias("dataset_code"), F.concat(F.lit("r"), F.col("n").cast("string")).alias("id"), "url",
+        F.lit("json").alias("format"), F.concat("state", F.lit("-"), F.col("n").cast("string")).alias("checksum"), F.lit(900).cast("bigint").alias("filesize"),
+    )
+
+
+@query(f"""
+SELECT 'b' || CAST(o_custkey AS VARCHAR) || CAST(o_orderkey AS VARCHAR) AS uid, o_totalprice + CASE WHEN o_orderkey // {ORDERS_PER_RESOURCE} % 3 = 0 THEN 1 ELSE 0 END AS amount
+FROM orders WHERE CASE o_orderkey // {ORDERS_PER_RESOURCE} % 3 WHEN 0 THEN o_orderkey % 2 = 0 WHEN 1 THEN false ELSE true END
+""")
+def superseded_resources(spark, sf):
+    """Two nightly runs: of the resources of the first, one in three is corrected and shortened, one withdrawn, one unchanged."""
+    number = F.floor(F.col("o_orderkey") / ORDERS_PER_RESOURCE)
+    orders = table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_totalprice", number.alias("n"))
+    newer = orders.where("n % 3 = 0 and o_orderkey % 2 = 0").withColumn("o_totalprice", F.col("o_totalprice") + 1)
+    both = orders.withColumn("state", F.lit("old")).unionByName(newer.withColumn("state", F.lit("new")))
+    record = F.concat(
+        F.lit('{"id":"'), F.col("o_orderkey").cast("string"), F.lit('","acheteur":{"id":"b'), F.col("o_custkey").cast("string"),
+        F.lit('"},"dateNotification":"1995-01-01","montant":'), F.col("o_totalprice").cast("string"),
+        F.lit(',"titulaires":[{"titulaire":{"typeIdentifiant":"TVA","id":"x"}}]}'),
+    )
+    # A resource covers a fixed range of order keys, so its list of records is bounded.
+    lists = both.select("state", "n", record.alias("record")).groupBy("state", "n").agg(F.array_join(F.collect_list("record"), ",").alias("records"))
+    whole = F.concat(F.lit('{"marches":{"marche":['), "records", F.lit("]}}"))
+    path, out = work_path(spark, "states"), work_path(spark, "clean")
+    lists.select("state", "n", whole.alias("value")).repartition("state", "n").write.partitionBy("state", "n").text(path)
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).select("path")
+    files = files.select(F.regexp_extract("path", r"/state=(\w+)/", 1).alias("state"), F.regexp_extract("path", r"/n=(\d+)/", 1).cast("int").alias("n"), F.col("path").alias("url"))
+    files, done = materialise(files, "files"), None
+    for run in (1, 2):
+        listed = _listing(files, run)
+        taken = nightly.ingest(spark, listed, done, out, AS_OF).taken
+        done = materialise(taken.select("dataset_id", "id", "checksum"), "done")
+    rows = manifest.only_current(spark.read.parquet(out), listed)
+    return rows.select("uid", F.col("montant").alias("amount"))
+
+
 @query(FLAT_SQL)
 def json_lines(spark, sf):
     path = work_path(spark, "lines")

@@ -29,7 +29,7 @@ from adjudica.sources.layouts import CONTRACT_COLUMNS, LAYOUTS
 RESOURCE_PAGE = "https://www.data.gouv.fr/datasets/{}/#/resources/{}"
 CARELESS_WITH_BACKSLASHES = ["68caf6b135f19236a4f37a32"]
 CARELESS_ADDRESS = "/aws/"
-PER_RESOURCE = ["checksum", "sourceFile"]
+PER_RESOURCE = ["checksum", "resource", "sourceFile"]
 # Why a resource wasn't taken.
 MISSING, TOO_LARGE, UNREADABLE, WITHOUT_RECORDS = "missing", "too large", "unreadable", "no records"
 LARGEST_TEXT = 2**31 - 1 - 2**20  # bytes that one text can hold
@@ -52,6 +52,7 @@ def _with_origin(files_or_records: DataFrame, resources: DataFrame) -> DataFrame
         F.col("dataset_id").alias("_dataset_id"),
         F.col("dataset_code").alias("_dataset"),
         resource_link().alias("_link"),
+        manifest.resource_key().alias("resource"),
         "checksum",
     )
     return files_or_records.withColumn("_path", _plain_path(F.col("path"))).drop("path").join(origins, "_path")
@@ -153,16 +154,17 @@ class Ingested:
 def ingest(spark: SparkSession, resources: DataFrame, done: DataFrame | None, out: str, as_of: date) -> Ingested:
     """Clean the resources that are new, and tell what was taken and what was not.
 
-    Every checksum has its own folder, which a repeated run replaces, so that a run that fails half-way leaves
-    no second copy. Rebalancing gives a large resource several tasks and small ones a common one.
+    Every content of a resource has its own folder, which a repeated run replaces, so that a run that fails half-way
+    leaves no second copy. A file that was replaced gets another folder; ``publish`` reads those that are valid by its list.
+    Rebalancing gives a large resource several tasks and small ones a common one.
     """
-    fresh = manifest.large_enough(resources)
+    fresh = manifest.current(resources)
     if done is not None:
-        fresh = manifest.not_yet_ingested(fresh, done)
+        fresh = manifest.not_yet_ingested(fresh, done, [*manifest.RESOURCE, "checksum"])
     flat, outcomes = read_resources(spark, fresh)
     if flat:
-        cleaned = clean_resources(flat, as_of).hint("rebalance", "checksum")
-        writer = cleaned.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("checksum")
+        cleaned = clean_resources(flat, as_of).hint("rebalance", "checksum", "resource")
+        writer = cleaned.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("checksum", "resource")
         writer.parquet(out, compression="zstd")
     # A file of a format that isn't read, or that vanished while it was, has no outcome at all.
     kept = materialise(outcomes.groupBy("_path").agg(F.max("reason").alias("reason"), F.lit(True).alias("_seen")), "outcomes")
@@ -191,9 +193,17 @@ def publish(
     registry: DataFrame,
     as_of: date,
     replies: DataFrame | None = None,
+    listed: DataFrame | None = None,
 ) -> Published:
-    """From cleaned rows of all sources to the published tables."""
-    rows = stack_diagonal(list(cleaned)).drop("checksum")
+    """From cleaned rows of all sources to the published tables.
+
+    ``listed`` is the list of resources as it is now. Rows of ``ingest`` count only while their resource is listed with the
+    checksum they were read under, so a correction replaces what it corrects and a withdrawn file is gone. Tables
+    without these columns, and all rows where there is no list, are taken as they are.
+    """
+    if listed is not None:
+        cleaned = [manifest.only_current(t, listed) if {"resource", "checksum"} <= set(t.columns) else t for t in cleaned]
+    rows = stack_diagonal(list(cleaned)).drop("checksum", "resource")
     overlap = materialise(overlap_pairs(rows), "overlap")
     # Written, since enrichment reads it for the buyers, the holders and the rows themselves.
     numbered = materialise(number_versions(keep_first(rows, list(ROW_KEY))), "numbered")

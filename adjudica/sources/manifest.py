@@ -4,8 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
+from adjudica.operators.dedup import keep_first
+
+RESOURCE = ("dataset_id", "id")
 # Formats taken, sizes and fallbacks of the published selection.
 FORMATS = ("json", "xml")
 SMALLEST_BYTES = 180
@@ -59,6 +62,33 @@ def large_enough(manifest: DataFrame, smallest: int = SMALLEST_BYTES) -> DataFra
     return manifest.where(F.col("filesize") > smallest)
 
 
-def not_yet_ingested(manifest: DataFrame, done: DataFrame, key: str = "checksum") -> DataFrame:
+def not_yet_ingested(manifest: DataFrame, done: DataFrame, key: str | Sequence[str] = "checksum") -> DataFrame:
     """Resources whose content has not been taken in before."""
-    return manifest.join(done.select(key).distinct(), key, "left_anti")
+    keys = [key] if isinstance(key, str) else list(key)
+    return manifest.join(done.select(*keys).distinct(), keys, "left_anti")
+
+
+def current(listed: DataFrame) -> DataFrame:
+    """The valid content of every resource that is listed now: one checksum each.
+
+    Where a list has several states of a resource, the one modified last is valid, of equal ones the one created last.
+    Files that are too small don't count, as they aren't taken in.
+    """
+    known = large_enough(listed)
+    latest = [F.col(c).desc_nulls_last() for c in ("last_modified", "created_at") if c in listed.columns]
+    return keep_first(known, list(RESOURCE), latest)
+
+
+def only_current(cleaned: DataFrame, listed: DataFrame) -> DataFrame:
+    """Rows of content that is valid now; what was replaced or withdrawn is neither kept nor read.
+
+    ``cleaned`` has the columns ``resource`` and ``checksum``, which are folders where it was written by ``ingest``. The
+    list is small beside it, so folders of other content are pruned while the query runs.
+    """
+    valid = current(listed).select(resource_key().alias("resource"), "checksum").where("checksum is not null")
+    return cleaned.join(valid, ["resource", "checksum"], "left_semi")
+
+
+def resource_key() -> Column:
+    """What tells resources apart: a file may be listed in several data sets."""
+    return F.concat_ws(":", *RESOURCE)

@@ -7,6 +7,7 @@ from test_registers import CACHE, COMPANIES, SITES
 from test_sources import NEW, OLD, STRANGER, TOWN, WORKSHOP, XML
 
 from adjudica.plans import nightly
+from adjudica.sources import manifest
 from adjudica.sources.layouts import CONTRACT_COLUMNS
 from adjudica.streaming.intake import take_in_lines
 
@@ -147,3 +148,36 @@ def test_one_bad_resource_neither_stops_nor_silences_a_run(spark, frame, tmp_pat
     ]
     later = nightly.ingest(spark, frame(MANIFEST, *listed), result.taken, str(tmp_path / "out"), AS_OF)
     assert later.taken.count() == 0 and later.refused.count() == 4
+
+
+def test_replaced_and_withdrawn_resources_are_gone(spark, frame, registers, tmp_path):
+    def document(name, **amounts):
+        record = NEW["marches"]["marche"][0]
+        kept = [{**record, "id": i, "montant": amount, "modifications": []} for i, amount in amounts.items()]
+        (tmp_path / f"{name}.json").write_text(json.dumps({"marches": {"marche": kept}}))
+        return str(tmp_path / f"{name}.json")
+
+    r1, r2, r3 = document("r1", c1=100, c2=5), document("r2", c9=7), document("r3", c1=100, c2=5)
+    out, states = str(tmp_path / "clean"), MANIFEST + ", last_modified string"
+    first = frame(states, ("d", "code", "r1", r1, "json", "s1", 900, "2026-01-01"), ("d", "code", "r2", r2, "json", "t1", 900, "2026-01-01"))
+    done = nightly.ingest(spark, first, None, out, AS_OF).taken
+    assert done.count() == 2
+    r1 = document("r1", c1=900)
+    second = frame(
+        states,
+        ("d", "code", "r1", r1, "json", "s2", 900, "2026-02-01"), ("d", "code", "r1", r1, "json", "s1", 900, "2026-01-01"),
+        ("e", "other", "r1", r3, "json", "s1", 900, "2026-01-01"),  # content that was taken in before, under another resource
+    )
+    taken = nightly.ingest(spark, second, done, out, AS_OF).taken
+    assert sorted(rows(taken, "dataset_id", "checksum")) == [("d", "s2"), ("e", "s1")]
+
+    def amounts(listed, dataset):
+        result = nightly.publish([spark.read.parquet(out)], *registers, AS_OF, listed=listed)
+        return rows(result.contracts.where(f"sourceDataset = '{dataset}'").select("id", "montant").distinct())
+
+    assert amounts(first, "code") == [("c1", 100.0), ("c2", 5.0), ("c9", 7.0)]
+    assert amounts(second.where("dataset_id = 'd'"), "code") == [("c1", 900.0)]
+    assert amounts(second.where("dataset_id = 'e'"), "other") == [("c1", 100.0), ("c2", 5.0)]
+    assert nightly.publish([spark.read.parquet(out)], *registers, AS_OF, listed=second.limit(0)).contracts.count() == 0
+    plan = manifest.only_current(spark.read.parquet(out), second)._jdf.queryExecution().executedPlan().toString()
+    assert "dynamicpruning" in plan
