@@ -11,7 +11,7 @@ from adjudica.catalogue.registry import AS_OF, query, table
 from adjudica.functions import nested, text
 from adjudica.plans import nightly
 from adjudica.session import materialise, work_path
-from adjudica.sources import documents, manifest, pages, repair
+from adjudica.sources import documents, elements, manifest, pages, repair
 
 KEYS_PER_DOCUMENT = 20_000
 
@@ -240,7 +240,33 @@ def xml_layout(spark, sf):
     )
     members = _orders_with_lines(spark, sf).select("o_orderkey", element.alias("member"))
     path = _write_documents(spark, members, "xml", '<?xml version="1.0" encoding="ISO-8859-15"?><marches>', "</marches>", "")
-    return _flat_view(documents.flatten_xml(documents.read_xml_records(spark, path)), "2022")
+    return _flat_view(documents.flatten_xml(elements.read_xml_records(spark, path)), "2022")
+
+
+@query("""
+SELECT CAST(doc_id AS VARCHAR) AS id, CASE doc_id % 7 WHEN 3 THEN 'rejected' WHEN 5 THEN 'cut' ELSE 'read' END AS verdict, CASE WHEN doc_id % 7 NOT IN (3, 5) THEN length(trim(regexp_replace("text", '[^A-Za-zÀ-ÿ ]', '', 'g'), ' ')) END AS n FROM documents
+""")
+def xml_recovery(spark, sf):
+    """Broken elements, and elements without an end, between sound ones: all others are read, those are rejects."""
+    kind = F.col("doc_id") % 7
+    body = F.regexp_replace("text", "[^A-Za-zÀ-ÿ ]", "")
+    element = F.concat(
+        F.lit("<marche><id>"), F.col("doc_id").cast("string"), F.lit("</id><objet>"), body,
+        F.when(kind == 3, "</nature></marche>").when(kind == 5, "</objet>").otherwise("</objet></marche>"),
+    )
+    docs = table(spark, sf, "documents").select(F.floor(F.col("doc_id") / 500).alias("document"), element.alias("member"), "doc_id")
+    # A document holds a fixed range of ids, and ends with an element that has no end in it only where a file is cut.
+    whole = docs.groupBy("document").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("doc_id", "member"))), lambda m: m["member"]), "\n").alias("members"))
+    path = work_path(spark, "broken")
+    opened = F.concat(F.lit('<?xml version="1.0" encoding="UTF-8"?><marches>'), "members", F.lit("</marches>"))
+    whole.select(opened.alias("value"), "document").repartition("document").write.partitionBy("document").text(path)
+    found = elements.judged(elements.read_elements(spark, path)[0])
+    bad = F.col(elements.REJECTED)
+    number = F.coalesce("id", F.regexp_extract(bad, r"<id>(\d+)</id>", 1))
+    return found.select(
+        number.alias("id"), F.when(bad.isNull(), "read").when(bad.endswith("</marche>"), "rejected").otherwise("cut").alias("verdict"),
+        F.when(bad.isNull(), F.char_length(F.coalesce("objet", F.lit("")))).cast("long").alias("n"),
+    )
 
 
 @query("""

@@ -22,7 +22,7 @@ from adjudica.plans.stats import MERGED_SOURCE, contract_stats, current_records,
 from adjudica.session import materialise
 from adjudica.sinks import files
 from adjudica.sinks.contract import base_contract, contract_document
-from adjudica.sources import documents, manifest, repair, tables
+from adjudica.sources import documents, elements, manifest, repair, tables
 from adjudica.sources.layouts import CONTRACT_COLUMNS, LAYOUTS
 
 # Address of a resource's page, and the data set that doubles its backslashes.
@@ -87,55 +87,66 @@ def _read_json(
     return flat, stored.select("_path", reason.alias("reason"))
 
 
-def _read_xml(spark: SparkSession, resources: DataFrame, paths: list[str]) -> list[DataFrame]:
-    """XML by declared encoding; files with control characters are decoded and cleaned as text first."""
-    found_kinds = documents.xml_files(documents.read_bytes(spark, *paths)).withColumn("path", _plain_path(F.col("path")))
-    listed = resources.select(_plain_path(F.col("url")).alias("path"), "url").distinct()
-    by_kind = found_kinds.join(listed, "path").groupBy("encoding", "damaged").agg(F.collect_list("url").alias("paths"))
-    kinds = by_kind.collect()  # no longer than the list of resources
-    found_tables = []
-    for kind in kinds:
-        if kind.damaged:
-            text = documents.decoded(F.col("content"), F.lit(kind.encoding))
-            tidy = documents.read_bytes(spark, *kind.paths).select("path", repair.xml_text(text).alias("payload"))
-            found = documents.records_from_xml_text(tidy)
-        else:
-            found = documents.read_xml_records(spark, *kind.paths, encoding=kind.encoding)
-        found_tables.append(_placed(_with_origin(documents.flatten_xml(found), resources)))
-    return found_tables
-
-
-def read_resources(
-    spark: SparkSession, resources: DataFrame, replacements: dict[str, str] | None = None
-) -> tuple[dict[str, DataFrame], DataFrame]:
-    """Flat records per layout from all listed files, written once, and what came of each file.
+def _read_xml(spark: SparkSession, resources: DataFrame, paths: list[str]) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Flat records of XML files, what came of each file, and the elements that can't be read."""
+    found, files = elements.read_elements(spark, *paths)
+    stored = materialise(elements.judged(found), "elements")
+    bad = F.col(elements.REJECTED).isNotNull()
+    good = stored.where(~bad).drop(elements.REJECTED)
+    counts = stored.groupBy("path").agg(F.count_if(~bad).alias("n_good"), F.count_if(bad).alias("n_bad"))
+    reason = (
+        F.when(~F.col("whole") | ((F.col("n_good") == 0) & (F.col("n_bad") > 0)), UNREADABLE)
+        .when(F.coalesce("n_good", F.lit(0)) == 0, WITHOUT_RECORDS)
+    )
+    outcomes = files.join(counts, "path", "left").select(
+        _plain_path(F.col("path")).alias("_path"), reason.alias("reason"), F.coalesce("n_bad", F.lit(0)).alias("n_rejects")
+    )
+    rejects = stored.where(bad).select("path", F.col(elements.REJECTED).alias("record"))
+    rejects = _with_origin(rejects, resources).select(F.col("_dataset_id").alias("dataset_id"), "resource", "checksum", "record")
+    return _placed(_with_origin(documents.flatten_xml(good), resources)), outcomes, rejects
+
+
+@dataclass(frozen=True)
+class Read:
+    """Flat records per layout; what came of each file; records that can't be read, of files whose others are taken."""
+
+    flat: dict[str, DataFrame]
+    outcomes: DataFrame
+    rejects: DataFrame
 
-    The second table has the columns ``_path`` and ``reason``; the reason is null where the file was taken. A file that is
-    missing, too large for one text, unreadable or without records is reported there and stops no other.
+
+def read_resources(spark: SparkSession, resources: DataFrame, replacements: dict[str, str] | None = None) -> Read:
+    """Flat records from all listed files, written once.
+
+    Outcomes have the columns ``_path``, ``reason`` and ``n_rejects``; the reason is null where the file was taken. A file that is
+    missing, too large for one text (JSON), unreadable or without records is reported there and stops no other. Where only
+    some records of an XML file can't be read, they are rejects and the others are taken.
     """
     flat: dict[str, list[DataFrame]] = {name: [] for name in LAYOUTS}
     listed = {kind: _paths(resources, kind) for kind in ("json", "xml")}
     # One look at each listed file, as Spark takes before any read of many files.
     sizes = tables.file_sizes(spark, [p for paths in listed.values() for p in paths])
     refused = [(p, MISSING) for p, n in sizes.items() if n is None]
-    refused += [(p, TOO_LARGE) for p, n in sizes.items() if n is not None and n > LARGEST_TEXT]
+    refused += [(p, TOO_LARGE) for p in listed["json"] if (sizes[p] or 0) > LARGEST_TEXT]
+    # A file without a byte has no chunk that could be seen.
+    refused += [(p, WITHOUT_RECORDS) for p in listed["xml"] if sizes[p] == 0]
     gone = {p for p, _ in refused}
     json_files, xml = ([p for p in listed[kind] if p not in gone] for kind in ("json", "xml"))
-    outcomes = spark.createDataFrame(refused, "_path string, reason string").withColumn("_path", _plain_path(F.col("_path")))
+    outcomes = spark.createDataFrame(refused, "_path string, reason string").select(
+        _plain_path(F.col("_path")).alias("_path"), "reason", F.lit(0).cast("long").alias("n_rejects")
+    )
+    rejects = spark.createDataFrame([], "dataset_id string, resource string, checksum string, record string")
     if json_files:
         found, seen = _read_json(spark, resources, json_files, replacements)
-        outcomes = outcomes.unionByName(seen)
+        outcomes = outcomes.unionByName(seen.withColumn("n_rejects", F.lit(0).cast("long")))
         for name, df in found.items():
             flat[name].append(df)
     if xml:
-        flat["2022"] += _read_xml(spark, resources, xml)
+        found, seen, rejects = _read_xml(spark, resources, xml)
+        outcomes = outcomes.unionByName(seen)
+        flat["2022"].append(found)
     written = {n: materialise(stack_diagonal(t), f"flat-{n}") for n, t in flat.items() if t}
-    if xml and "2022" in written:
-        with_rows = written["2022"].select("_path").distinct().withColumn("_found", F.lit(True))
-        names = spark.createDataFrame([(p,) for p in xml], "_path string").select(_plain_path(F.col("_path")).alias("_path"))
-        reason = F.when(F.col("_found").isNull(), WITHOUT_RECORDS)
-        outcomes = outcomes.unionByName(names.join(with_rows, "_path", "left").select("_path", reason.alias("reason")))
-    return {n: df.drop("_path") for n, df in written.items()}, outcomes
+    return Read({n: df.drop("_path") for n, df in written.items()}, outcomes, rejects)
 
 
 def clean_resources(flat: dict[str, DataFrame], as_of: date) -> DataFrame:
@@ -145,10 +156,14 @@ def clean_resources(flat: dict[str, DataFrame], as_of: date) -> DataFrame:
 
 @dataclass(frozen=True)
 class Ingested:
-    """Resources of one run: those taken, to be added to ``done``, and those refused, with the reason, to be tried again."""
+    """Resources of one run: those taken, to be added to ``done``, and those refused, with the reason, to be tried again.
+
+    ``taken`` tells in ``n_rejects`` how many records of a file could not be read; ``rejects`` has these, with their resource.
+    """
 
     taken: DataFrame
     refused: DataFrame
+    rejects: DataFrame
 
 
 def ingest(spark: SparkSession, resources: DataFrame, done: DataFrame | None, out: str, as_of: date) -> Ingested:
@@ -161,16 +176,16 @@ def ingest(spark: SparkSession, resources: DataFrame, done: DataFrame | None, ou
     fresh = manifest.current(resources)
     if done is not None:
         fresh = manifest.not_yet_ingested(fresh, done, [*manifest.RESOURCE, "checksum"])
-    flat, outcomes = read_resources(spark, fresh)
-    if flat:
-        cleaned = clean_resources(flat, as_of).hint("rebalance", "checksum", "resource")
+    read = read_resources(spark, fresh)
+    if read.flat:
+        cleaned = clean_resources(read.flat, as_of).hint("rebalance", "checksum", "resource")
         writer = cleaned.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("checksum", "resource")
         writer.parquet(out, compression="zstd")
     # A file of a format that isn't read, or that vanished while it was, has no outcome at all.
-    kept = materialise(outcomes.groupBy("_path").agg(F.max("reason").alias("reason"), F.lit(True).alias("_seen")), "outcomes")
+    kept = materialise(read.outcomes.groupBy("_path").agg(F.max("reason").alias("reason"), F.max("n_rejects").alias("n_rejects"), F.lit(True).alias("_seen")), "outcomes")
     judged = fresh.withColumn("_path", _plain_path(F.col("url"))).join(kept, "_path", "left").drop("_path")
     judged = judged.withColumn("reason", F.when(F.col("_seen").isNull(), UNREADABLE).otherwise(F.col("reason"))).drop("_seen")
-    return Ingested(judged.where("reason is null").drop("reason"), judged.where("reason is not null"))
+    return Ingested(judged.where("reason is null").drop("reason"), judged.where("reason is not null").drop("n_rejects"), read.rejects)
 
 
 @dataclass(frozen=True)

@@ -3,10 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
-from pyspark.sql.types import ArrayType, StructField, StructType
+from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
 from adjudica.functions import nested
-from adjudica.functions.text import CONTROL_CHARACTERS
 from adjudica.sources.layouts import BLOCKS, LAYOUTS, LIST_FIELDS, PLAIN_FIELDS, RECORD
 
 PAYLOAD = "payload"
@@ -22,12 +21,21 @@ def read_payloads(spark: SparkSession, *paths: str) -> DataFrame:
 def layout_of(payload: Column) -> Column:
     """The layout whose record path is present in a document; null where neither is.
 
-    Only the field at the top counts, by the kind of its value: a list of records, or an object with the list in it.
+    Only the field at the top counts, by the kind of its value: a list of records, or an object with the list, or one
+    record, in it.
     """
     body = F.ltrim(F.from_json(payload, "marches string")["marches"])
-    listed = body.startswith("[")
-    wrapped = body.startswith("{") & F.from_json(body, "marche string")["marche"].isNotNull()
-    return F.when(listed, F.lit("2019")).when(wrapped, F.lit("2022"))
+    inner = F.ltrim(F.from_json(body, "marche string")["marche"])
+    wrapped = body.startswith("{") & (inner.startswith("[") | inner.startswith("{"))
+    return F.when(body.startswith("["), F.lit("2019")).when(wrapped, F.lit("2022"))
+
+
+def _listed(payload: Column, layout: str) -> Column:
+    """A document of the newer layout with one record in place of a list gets a list of one."""
+    if layout != "2022":
+        return payload
+    one = F.ltrim(F.from_json(payload, "marches struct<marche:string>")["marches"]["marche"])
+    return F.when(one.startswith("{"), F.concat(F.lit('{"marches":{"marche":['), one, F.lit("]}}"))).otherwise(payload)
 
 
 def _nest(path: tuple[str, ...]) -> StructType:
@@ -45,7 +53,7 @@ def records(payloads: DataFrame, layout: str) -> DataFrame:
     path, origin = LAYOUTS[layout].path, [c for c in payloads.columns if c not in (PAYLOAD, "layout")]
     found = F.col("layout") if "layout" in payloads.columns else layout_of(F.col(PAYLOAD))
     document = payloads.where(found == layout).select(
-        *origin, F.from_json(PAYLOAD, _nest(path)).alias("document")
+        *origin, F.from_json(_listed(F.col(PAYLOAD), layout), _nest(path)).alias("document")
     )
     listed = document.select(*origin, F.explode(F.col("document." + ".".join(path))).alias("record"))
     return listed.where("record is not null").select(*origin, "record.*")
@@ -56,10 +64,30 @@ def rejected(payloads: DataFrame) -> DataFrame:
     return payloads.where(layout_of(F.col(PAYLOAD)).isNull())
 
 
+REJECTED = "_rejected"
+
+
+def judged_lines(lines: DataFrame) -> DataFrame:
+    """Records of lines of JSON, and in ``_rejected`` a line that is none; the other columns are kept, blank lines go."""
+    origin = [c for c in lines.columns if c != "value"]
+    kept = lines.where(F.trim(F.regexp_replace("value", "\\s", " ")) != "")
+    parsed = kept.select(*origin, "value", F.from_json("value", StructType([*RECORD.fields, StructField("_corrupt_record", StringType())])).alias("r"))
+    bad = F.col("r").isNull() | F.col("r._corrupt_record").isNotNull() | ~F.ltrim("value").startswith("{")
+    return parsed.select(*origin, F.when(bad, F.col("value")).alias(REJECTED), *[F.when(~bad, F.col(f"r.`{c}`")).alias(c) for c in RECORD.names])
+
+
 def read_record_lines(spark: SparkSession, *paths: str) -> DataFrame:
-    """JSON lines with one record each: splittable, unknown fields dropped, missing ones null."""
-    lines = spark.read.schema(RECORD).json(list(paths))
-    return lines.select(F.col("_metadata.file_path").alias("path"), *[F.col(f"`{c}`") for c in RECORD.names])
+    """JSON lines with one record each: splittable, unknown fields dropped, missing ones null; see ``rejected_lines``."""
+    return judged_lines(_lines(spark, paths)).where(F.col(REJECTED).isNull()).drop(REJECTED)
+
+
+def rejected_lines(spark: SparkSession, *paths: str) -> DataFrame:
+    """Lines that are no record, with their file."""
+    return judged_lines(_lines(spark, paths)).where(F.col(REJECTED).isNotNull()).select("path", F.col(REJECTED).alias("line"))
+
+
+def _lines(spark: SparkSession, paths: tuple[str, ...]) -> DataFrame:
+    return spark.read.text(list(paths)).select(F.col("_metadata.file_path").alias("path"), "value")
 
 
 def flatten(df: DataFrame, layout: str) -> DataFrame:
@@ -120,12 +148,6 @@ WINDOWS = (
 )
 
 
-def read_bytes(spark: SparkSession, *paths: str) -> DataFrame:
-    """Whole documents as bytes, one row per file."""
-    found = spark.read.format("binaryFile").option("ignoreCorruptFiles", True).option("ignoreMissingFiles", True).load(list(paths))
-    return found.select(F.col("path"), F.col("content"))
-
-
 def decoded(content: Column, encoding: Column) -> Column:
     """Bytes as text by the name of their encoding; one that isn't known is taken as UTF-8."""
     latin = F.decode(content, "ISO-8859-1")
@@ -137,34 +159,6 @@ def decoded(content: Column, encoding: Column) -> Column:
     )
 
 
-def xml_files(contents: DataFrame) -> DataFrame:
-    """Declared encoding of XML documents, found in their first bytes, and whether control characters keep them
-    from being read."""
-    head = F.decode(F.substring("content", 1, 200), "ISO-8859-1")
-    declared = F.regexp_extract(head, r"""<\?xml[^>]*\bencoding\s*=\s*["']([^"']+)""", 1)
-    return contents.select(
-        "path",
-        F.coalesce(F.nullif(F.upper(declared), F.lit("")), F.lit("UTF-8")).alias("encoding"),
-        # The control characters are single bytes in every encoding at hand.
-        F.decode("content", "ISO-8859-1").rlike(CONTROL_CHARACTERS).alias("damaged"),
-    )
-
-
-def read_xml_records(spark: SparkSession, *paths: str, encoding: str = "ISO-8859-15") -> DataFrame:
-    """Records of XML documents: one row per ``marche`` element."""
-    reader = spark.read.format("xml").option("rowTag", "marche").option("encoding", encoding)
-    rows = reader.option("ignoreSurroundingSpaces", True).schema(XML_RECORD).load(list(paths))
-    return rows.select(F.col("_metadata.file_path").alias("path"), *rows.columns)
-
-
-def records_from_xml_text(payloads: DataFrame) -> DataFrame:
-    """Records of XML documents held as text, such as those with control characters taken out."""
-    origin = [c for c in payloads.columns if c != PAYLOAD]
-    pieces = F.explode(F.regexp_extract_all(PAYLOAD, F.lit(r"(?s)<marche(?:\s[^>]*)?>.*?</marche>"), F.lit(0)))
-    found = payloads.select(*origin, pieces.alias("element"))
-    return found.select(*origin, F.from_xml("element", XML_RECORD).alias("record")).select(*origin, "record.*")
-
-
 def _as_wrapped(holders: Column) -> Column:
     return F.transform(holders["titulaire"], lambda h: F.struct(h.alias("titulaire")))
 

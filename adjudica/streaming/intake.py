@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from adjudica.plans.cleaning import clean
 from adjudica.sources import documents
-from adjudica.sources.layouts import RECORD
 
 
 def take_in_lines(
@@ -18,12 +17,15 @@ def take_in_lines(
 
     ``progress`` keeps the list of files read. A batch overwrites its own folder, so one that is repeated
     after a failure leaves no second copy. Amendments stay within their file, so a batch needs no state.
+    Lines that are no record are written, with their file, to the folder ``<out>-rejects`` in the same way.
     """
-    lines = spark.readStream.schema(RECORD).json(folder)
-    records = lines.select(F.col("_metadata.file_path").alias("path"), *[F.col(f"`{c}`") for c in RECORD.names])
+    lines = spark.readStream.text(folder).select(F.col("_metadata.file_path").alias("path"), "value")
+    records = documents.judged_lines(lines)
 
     def write_batch(batch: DataFrame, number: int) -> None:
-        flat = documents.flatten(batch, layout)
+        bad = batch.where(F.col(documents.REJECTED).isNotNull()).select("path", F.col(documents.REJECTED).alias("line"))
+        bad.write.mode("overwrite").parquet(f"{out}-rejects/batch={number}")
+        flat = documents.flatten(batch.where(F.col(documents.REJECTED).isNull()).drop(documents.REJECTED), layout)
         placed = documents.with_source(flat, dataset, F.col("path")).drop("path")
         clean(placed, layout, as_of, ["sourceFile"]).write.mode("overwrite").parquet(f"{out}/batch={number}")
 

@@ -108,9 +108,9 @@ def test_xml_of_any_encoding_and_with_control_characters(spark, frame, tmp_path)
     for name, data in texts.items():
         (tmp_path / f"{name}.xml").write_bytes(data)
         listed.append(("d", "code", name, str(tmp_path / f"{name}.xml"), "xml", f"sum-{name}", 900))
-    flat, outcomes = nightly.read_resources(spark, frame(MANIFEST, *listed))
-    assert set(flat) == {"2022"} and values(outcomes, "reason") == [None] * len(texts)
-    assert rows(flat["2022"].select("checksum", "nature").distinct()) == sorted((f"sum-{n}", "Marché") for n in texts)
+    read = nightly.read_resources(spark, frame(MANIFEST, *listed))
+    assert set(read.flat) == {"2022"} and values(read.outcomes, "reason") == [None] * len(texts) and read.rejects.count() == 0
+    assert rows(read.flat["2022"].select("checksum", "nature").distinct()) == sorted((f"sum-{n}", "Marché") for n in texts)
 
 
 def test_new_files_of_a_folder_are_taken_once(spark, tmp_path):
@@ -127,6 +127,9 @@ def test_new_files_of_a_folder_are_taken_once(spark, tmp_path):
     (folder / "b.json").write_text(json.dumps({**record, "id": "K-2"}))
     take_in_lines(spark, *where)
     assert set(values(spark.read.parquet(where[1]), "id")) == {"K-1", "K-2"}
+    (folder / "c.json").write_text('{"id":\n')
+    take_in_lines(spark, *where)
+    assert values(spark.read.parquet(where[1] + "-rejects"), "line") == ['{"id":']
 
 
 def test_one_bad_resource_neither_stops_nor_silences_a_run(spark, frame, tmp_path):
@@ -136,18 +139,24 @@ def test_one_bad_resource_neither_stops_nor_silences_a_run(spark, frame, tmp_pat
         "empty.json": json.dumps({"marches": []}),
         "broken.json": json.dumps(NEW)[:-5],
         "odd.json": json.dumps({"contracts": []}),
+        "partly.xml": "<marches><marche><id>1</id><acheteur><id>2</id></acheteur></marche><marche><id>2</a></marche></marches>",
+        "ruined.xml": "<marches><marche><id>2</a></marche></marches>",
+        "bare.xml": "<marches></marches>",
+        "nothing.xml": "",
     }
     for name, text in files.items():
         (tmp_path / name).write_text(text)
     names = [*files, "absent.json", "absent.xml"]
     listed = [("d", "code", n, str(tmp_path / n), n.split(".")[1], f"sum-{n}", 900) for n in names]
     result = nightly.ingest(spark, frame(MANIFEST, *listed), None, str(tmp_path / "out"), AS_OF)
-    assert sorted(values(result.taken, "id")) == ["empty.json", "good.json", "late.json"]
+    assert rows(result.taken, "id", "n_rejects") == [("empty.json", 0), ("good.json", 0), ("late.json", 0), ("partly.xml", 1)]
     assert rows(result.refused, "id", "reason") == [
-        ("absent.json", "missing"), ("absent.xml", "missing"), ("broken.json", "unreadable"), ("odd.json", "no records"),
+        ("absent.json", "missing"), ("absent.xml", "missing"), ("bare.xml", "no records"), ("broken.json", "unreadable"),
+        ("nothing.xml", "no records"), ("odd.json", "no records"), ("ruined.xml", "unreadable"),
     ]
+    assert rows(result.rejects, "checksum", "record") == [(f"sum-{n}.xml", "<marche><id>2</a></marche>") for n in ("partly", "ruined")]
     later = nightly.ingest(spark, frame(MANIFEST, *listed), result.taken, str(tmp_path / "out"), AS_OF)
-    assert later.taken.count() == 0 and later.refused.count() == 4
+    assert later.taken.count() == 0 and later.refused.count() == 7
 
 
 def test_replaced_and_withdrawn_resources_are_gone(spark, frame, registers, tmp_path):

@@ -6,7 +6,7 @@ from conftest import rows, values
 from pyspark.sql import functions as F
 
 from adjudica.functions import nested
-from adjudica.sources import documents, manifest, pages, repair, tables
+from adjudica.sources import documents, elements, manifest, pages, repair, tables
 
 def party(number, kind="SIRET", **more):
     return {"typeIdentifiant": kind, "id": number, **more}
@@ -125,7 +125,7 @@ XML = """<?xml version="1.0" encoding="ISO-8859-15"?>
 
 def test_xml_records(spark, tmp_path):
     (tmp_path / "small.xml").write_bytes(XML.encode("ISO-8859-15"))
-    flat = documents.flatten_xml(documents.read_xml_records(spark, str(tmp_path / "small.xml")))
+    flat = documents.flatten_xml(elements.read_xml_records(spark, str(tmp_path / "small.xml")))
     assert rows(flat, "id", "acheteur_id", "nature", "montant", "modification_dateNotificationModification") == [
         ("x/1", TOWN, "Marché", "75.10", "2024-07-01"),
         ("x/1", TOWN, "Marché", "75.10", None),
@@ -135,11 +135,62 @@ def test_xml_records(spark, tmp_path):
     assert ids(flat.select(nested.tidy_holders(F.col("titulaires"), "2022").alias("h")).first().h) == [("EU-55", "TVA")]
 
 
-def test_xml_with_control_characters(spark, frame):
-    payloads = frame("path string, payload string", ("p", XML.replace("Marché", "Mar\x01ché")))
-    tidy = payloads.withColumn("payload", repair.xml_text(F.col("payload")))
-    flat = documents.flatten_xml(documents.records_from_xml_text(tidy))
-    assert set(values(flat, "nature")) == {"Marché"} and flat.count() == 2
+def test_broken_elements_are_rejects_and_the_others_are_read(spark, tmp_path):
+    def record(i, more=""):
+        return f"<marche><id>{i}</id>{more}</marche>"
+
+    head, tail = '<?xml version="1.0" encoding="{}"?>\n<marches>', "</marches>\n"
+    texts = {
+        "broken": head.format("UTF-8") + record(1) + record(2, "<objet>&nbsp;</nature>") + record(3) + tail,
+        "unended": head.format("UTF-8") + record(1) + "<marche><id>2</id> <marche a='1'><id>3</id></marche >\n" + record(4) + tail,
+        "stopped": head.format("UTF-8") + record(1) + "<marche><id>2</id>",
+        "ended": head.format("UTF-8") + record(1),
+        "none": head.format("UTF-8") + tail,
+    }
+    for name, text in texts.items():
+        (tmp_path / f"{name}.xml").write_text(text)
+    latin = head.format("windows-1252") + record(1, "<nature>œuvre\x01 € é</nature>") + tail
+    (tmp_path / "latin.xml").write_bytes(latin.encode("windows-1252"))
+    (tmp_path / "marked.xml").write_bytes(b"\xef\xbb\xbf" + (head.format("utf-8") + record(1)).encode())
+    (tmp_path / "none_at_all.xml").write_bytes(b"<marches/>")
+    found, files = elements.read_elements(spark, str(tmp_path))
+    got = elements.judged(found).select(F.element_at(F.split("path", "/"), -1).alias("f"), "id", elements.REJECTED, "nature")
+    read = {(r.f, r.id) for r in got.where(f"{elements.REJECTED} is null").collect()}
+    assert read == {
+        ("broken.xml", "1"), ("broken.xml", "3"), ("unended.xml", "1"), ("unended.xml", "3"), ("unended.xml", "4"), ("stopped.xml", "1"),
+        ("ended.xml", "1"), ("latin.xml", "1"), ("marked.xml", "1"),
+    }
+    bad = {r.f: r[elements.REJECTED] for r in got.where(f"{elements.REJECTED} is not null").collect()}
+    assert bad.keys() == {"broken.xml", "unended.xml", "stopped.xml"} and all("<id>2</id>" in b for b in bad.values())
+    assert values(got.where("f = 'latin.xml'"), "nature") == ["œuvre € é"]
+    assert set(values(files, "whole")) == {True} and files.count() == 8
+
+
+def test_elements_are_the_same_however_a_file_is_split(spark, tmp_path):
+    text = '<?xml version="1.0" encoding="ISO-8859-1"?><marches>' + "".join(f"<marche><id>{i}</id><objet>{'é' * (i % 90)}</objet></marche>\n" for i in range(3000)) + "</marches>"
+    (tmp_path / "large.xml").write_bytes(text.encode("ISO-8859-1"))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "3001")
+    try:
+        found = elements.read_xml_records(spark, str(tmp_path / "large.xml"))
+        assert {(int(r.id), r.objet or "") for r in found.collect()} == {(i, "é" * (i % 90)) for i in range(3000)}
+        scan = spark.read.option("lineSep", "</marche>").text(str(tmp_path / "large.xml"))
+        assert scan.rdd.getNumPartitions() > 20
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_lines_that_are_no_record_are_reported(spark, tmp_path):
+    (tmp_path / "lines.json").write_text('{"id":"1"}\n{"id":"2",\n\n  \n[1]\n"x"\n{"id":"3"}\n')
+    assert values(documents.read_record_lines(spark, str(tmp_path)), "id") == ["1", "3"]
+    assert sorted(values(documents.rejected_lines(spark, str(tmp_path)), "line")) == ['"x"', "[1]", '{"id":"2",']
+
+
+def test_one_record_in_place_of_a_list(frame):
+    texts = ['{"marches":{"marche":{"id":"7"}}}', '{"marches":{"marche":"no"}}', '{"marches":{"marche": [ {"id":"8"} ]}}']
+    payloads = frame("path string, payload string", *[(str(i), t) for i, t in enumerate(texts)])
+    assert rows(documents.records(payloads, "2022"), "path", "id") == [("0", "7"), ("2", "8")]
+    assert values(documents.rejected(payloads), "path") == ["1"]
 
 
 def test_payload_repairs(frame):
