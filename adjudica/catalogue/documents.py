@@ -11,7 +11,7 @@ from adjudica.catalogue.registry import AS_OF, query, table
 from adjudica.functions import nested, text
 from adjudica.plans import nightly
 from adjudica.session import materialise, work_path
-from adjudica.sources import documents, elements, manifest, pages, repair
+from adjudica.sources import documents, elements, large_json, manifest, pages, repair
 
 KEYS_PER_DOCUMENT = 20_000
 
@@ -125,6 +125,16 @@ def json_layout_2022(spark, sf):
     return _read_documents(spark, sf, "2022")
 
 
+@query(FLAT_SQL)
+def json_in_blocks(spark, sf):
+    """Documents read the way of those that are too large for one text: in pieces that many tasks share."""
+    members = _orders_with_lines(spark, sf).select("o_orderkey", _record("2022").alias("member"))
+    path = _write_documents(spark, members, "documents-blocks", '\ufeff{"meta": {"marche": [{"id": "}"}]}, "marches": {"version": {}, "marche": [', "]}}")
+    small, files = large_json.read_large_documents(spark, path)
+    good = small.where("readable").drop("readable").join(files.select("path", "layout"), "path")
+    return _flat_view(documents.flatten(documents.records(good, "2022"), "2022"), "2022")
+
+
 DOCUMENTS_PER_RESOURCE = 20
 
 

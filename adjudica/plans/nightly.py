@@ -22,7 +22,7 @@ from adjudica.plans.stats import MERGED_SOURCE, contract_stats, current_records,
 from adjudica.session import materialise
 from adjudica.sinks import files
 from adjudica.sinks.contract import base_contract, contract_document
-from adjudica.sources import documents, elements, manifest, repair, tables
+from adjudica.sources import documents, elements, large_json, manifest, repair, tables
 from adjudica.sources.layouts import CONTRACT_COLUMNS, LAYOUTS
 
 # Address of a resource's page, and the data set that doubles its backslashes.
@@ -31,7 +31,7 @@ CARELESS_WITH_BACKSLASHES = ["68caf6b135f19236a4f37a32"]
 CARELESS_ADDRESS = "/aws/"
 PER_RESOURCE = ["checksum", "resource", "sourceFile"]
 # Why a resource wasn't taken.
-MISSING, TOO_LARGE, UNREADABLE, WITHOUT_RECORDS = "missing", "too large", "unreadable", "no records"
+MISSING, UNREADABLE, WITHOUT_RECORDS = "missing", "unreadable", "no records"
 LARGEST_TEXT = 2**31 - 1 - 2**20  # bytes that one text can hold
 
 
@@ -87,6 +87,22 @@ def _read_json(
     return flat, stored.select("_path", reason.alias("reason"))
 
 
+def _read_large_json(spark: SparkSession, resources: DataFrame, paths: list[str]) -> tuple[dict[str, DataFrame], DataFrame, DataFrame]:
+    """Flat records of JSON files that are too large for one text, what came of each, and records that can't be read."""
+    small, files = large_json.read_large_documents(spark, *paths)
+    stored = materialise(small.join(files.select("path", "layout"), "path"), "large-payloads", ["layout"])
+    payloads = _with_origin(stored, resources)
+    flat = {n: _placed(documents.flatten(documents.records(payloads.where("readable").drop("readable"), n), n)) for n in LAYOUTS}
+    bad = stored.where("not readable")
+    reason = F.when(~F.col("whole"), UNREADABLE).when(F.col("layout").isNull(), WITHOUT_RECORDS)
+    counts = bad.groupBy("path").agg(F.count(F.lit(1)).alias("n"))
+    outcomes = files.join(counts, "path", "left").select(
+        _plain_path(F.col("path")).alias("_path"), reason.alias("reason"), F.coalesce("n", F.lit(0)).alias("n_rejects")
+    )
+    rejects = _with_origin(bad.select("path", F.col(documents.PAYLOAD).alias("record")), resources)
+    return flat, outcomes, rejects.select(F.col("_dataset_id").alias("dataset_id"), "resource", "checksum", "record")
+
+
 def _read_xml(spark: SparkSession, resources: DataFrame, paths: list[str]) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Flat records of XML files, what came of each file, and the elements that can't be read."""
     found, files = elements.read_elements(spark, *paths)
@@ -115,23 +131,25 @@ class Read:
     rejects: DataFrame
 
 
-def read_resources(spark: SparkSession, resources: DataFrame, replacements: dict[str, str] | None = None) -> Read:
+def read_resources(
+    spark: SparkSession, resources: DataFrame, replacements: dict[str, str] | None = None, largest_text: int = LARGEST_TEXT
+) -> Read:
     """Flat records from all listed files, written once.
 
     Outcomes have the columns ``_path``, ``reason`` and ``n_rejects``; the reason is null where the file was taken. A file that is
-    missing, too large for one text (JSON), unreadable or without records is reported there and stops no other. Where only
-    some records of an XML file can't be read, they are rejects and the others are taken.
+    missing, unreadable or without records is reported there and stops no other. Where only some records of an XML file, or
+    of a JSON file of more than ``largest_text`` bytes, can't be read, they are rejects and the others are taken.
     """
     flat: dict[str, list[DataFrame]] = {name: [] for name in LAYOUTS}
     listed = {kind: _paths(resources, kind) for kind in ("json", "xml")}
     # One look at each listed file, as Spark takes before any read of many files.
     sizes = tables.file_sizes(spark, [p for paths in listed.values() for p in paths])
     refused = [(p, MISSING) for p, n in sizes.items() if n is None]
-    refused += [(p, TOO_LARGE) for p in listed["json"] if (sizes[p] or 0) > LARGEST_TEXT]
     # A file without a byte has no chunk that could be seen.
     refused += [(p, WITHOUT_RECORDS) for p in listed["xml"] if sizes[p] == 0]
     gone = {p for p, _ in refused}
-    json_files, xml = ([p for p in listed[kind] if p not in gone] for kind in ("json", "xml"))
+    every_json, xml = ([p for p in listed[kind] if p not in gone] for kind in ("json", "xml"))
+    json_files, large = ([p for p in every_json if (sizes[p] > largest_text) == is_large] for is_large in (False, True))
     outcomes = spark.createDataFrame(refused, "_path string, reason string").select(
         _plain_path(F.col("_path")).alias("_path"), "reason", F.lit(0).cast("long").alias("n_rejects")
     )
@@ -141,9 +159,14 @@ def read_resources(spark: SparkSession, resources: DataFrame, replacements: dict
         outcomes = outcomes.unionByName(seen.withColumn("n_rejects", F.lit(0).cast("long")))
         for name, df in found.items():
             flat[name].append(df)
+    if large:
+        found, seen, more = _read_large_json(spark, resources, large)
+        outcomes, rejects = outcomes.unionByName(seen), rejects.unionByName(more)
+        for name, df in found.items():
+            flat[name].append(df)
     if xml:
-        found, seen, rejects = _read_xml(spark, resources, xml)
-        outcomes = outcomes.unionByName(seen)
+        found, seen, more = _read_xml(spark, resources, xml)
+        outcomes, rejects = outcomes.unionByName(seen), rejects.unionByName(more)
         flat["2022"].append(found)
     written = {n: materialise(stack_diagonal(t), f"flat-{n}") for n, t in flat.items() if t}
     return Read({n: df.drop("_path") for n, df in written.items()}, outcomes, rejects)
@@ -166,7 +189,9 @@ class Ingested:
     rejects: DataFrame
 
 
-def ingest(spark: SparkSession, resources: DataFrame, done: DataFrame | None, out: str, as_of: date) -> Ingested:
+def ingest(
+    spark: SparkSession, resources: DataFrame, done: DataFrame | None, out: str, as_of: date, largest_text: int = LARGEST_TEXT
+) -> Ingested:
     """Clean the resources that are new, and tell what was taken and what was not.
 
     Every content of a resource has its own folder, which a repeated run replaces, so that a run that fails half-way
@@ -176,7 +201,7 @@ def ingest(spark: SparkSession, resources: DataFrame, done: DataFrame | None, ou
     fresh = manifest.current(resources)
     if done is not None:
         fresh = manifest.not_yet_ingested(fresh, done, [*manifest.RESOURCE, "checksum"])
-    read = read_resources(spark, fresh)
+    read = read_resources(spark, fresh, largest_text=largest_text)
     if read.flat:
         cleaned = clean_resources(read.flat, as_of).hint("rebalance", "checksum", "resource")
         writer = cleaned.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("checksum", "resource")

@@ -31,11 +31,12 @@ def _files(chunks: DataFrame, end: str) -> DataFrame:
     found = chunks.groupBy("path").agg(
         F.max(F.nullif(F.upper(declared), F.lit(""))).alias("encoding"), F.max("place").alias("last"), read.alias("read"), F.max("file_size").alias("size")
     )
-    # Without an end tag the last chunk counts for more than it has; three bytes may be a byte order mark.
+    # Without an end tag the last chunk counts for more than it has; Spark leaves out a byte order mark, of three bytes.
+    more, compressed = F.col("read") - F.col("size"), F.rlike("path", F.lit(_COMPRESSED))
     return found.select(
         "path", F.coalesce("encoding", F.lit("UTF-8")).alias("encoding"),
-        F.when(F.col("read") > F.col("size"), F.col("last")).alias("open_end"),
-        (F.rlike("path", F.lit(_COMPRESSED)) | (F.col("read") >= F.col("size") - 3)).alias("whole"),
+        F.when(more.isin(len(end), len(end) - 3) | compressed, F.col("last")).alias("open_end"),
+        (compressed | (more >= -3)).alias("whole"),
     )
 
 

@@ -3,6 +3,7 @@ from datetime import date
 
 import pytest
 from conftest import rows, values
+from pyspark.sql import functions as F
 from test_registers import CACHE, COMPANIES, SITES
 from test_sources import NEW, OLD, STRANGER, TOWN, WORKSHOP, XML
 
@@ -155,6 +156,13 @@ def test_one_bad_resource_neither_stops_nor_silences_a_run(spark, frame, tmp_pat
         ("nothing.xml", "no records"), ("odd.json", "no records"), ("ruined.xml", "unreadable"),
     ]
     assert rows(result.rejects, "checksum", "record") == [(f"sum-{n}.xml", "<marche><id>2</a></marche>") for n in ("partly", "ruined")]
+    # The same files by the way of those that are too large for one text.
+    blocks = nightly.read_resources(spark, frame(MANIFEST, *[x for x in listed if x[4] == "json"]), largest_text=0)
+    assert rows(blocks.outcomes.select(F.element_at(F.split("_path", "/"), -1).alias("f"), "reason")) == [
+        ("absent.json", "missing"), ("broken.json", "unreadable"), ("empty.json", None), ("good.json", None), ("late.json", None), ("odd.json", "no records"),
+    ]
+    small = nightly.read_resources(spark, frame(MANIFEST, *[x for x in listed if x[4] == "json"]))
+    assert rows(blocks.flat["2022"]) == rows(small.flat["2022"]) and blocks.flat["2019"].count() == 0
     later = nightly.ingest(spark, frame(MANIFEST, *listed), result.taken, str(tmp_path / "out"), AS_OF)
     assert later.taken.count() == 0 and later.refused.count() == 7
 

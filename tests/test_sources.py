@@ -6,7 +6,7 @@ from conftest import rows, values
 from pyspark.sql import functions as F
 
 from adjudica.functions import nested
-from adjudica.sources import documents, elements, manifest, pages, repair, tables
+from adjudica.sources import documents, elements, large_json, manifest, pages, repair, tables
 
 def party(number, kind="SIRET", **more):
     return {"typeIdentifiant": kind, "id": number, **more}
@@ -146,6 +146,7 @@ def test_broken_elements_are_rejects_and_the_others_are_read(spark, tmp_path):
         "stopped": head.format("UTF-8") + record(1) + "<marche><id>2</id>",
         "ended": head.format("UTF-8") + record(1),
         "none": head.format("UTF-8") + tail,
+        "marked_stop": "\ufeff" + head.format("UTF-8") + "<marche><id>2</id>",
     }
     for name, text in texts.items():
         (tmp_path / f"{name}.xml").write_text(text)
@@ -161,9 +162,9 @@ def test_broken_elements_are_rejects_and_the_others_are_read(spark, tmp_path):
         ("ended.xml", "1"), ("latin.xml", "1"), ("marked.xml", "1"),
     }
     bad = {r.f: r[elements.REJECTED] for r in got.where(f"{elements.REJECTED} is not null").collect()}
-    assert bad.keys() == {"broken.xml", "unended.xml", "stopped.xml"} and all("<id>2</id>" in b for b in bad.values())
+    assert bad.keys() == {"broken.xml", "unended.xml", "stopped.xml", "marked_stop.xml"} and all("<id>2</id>" in b for b in bad.values())
     assert values(got.where("f = 'latin.xml'"), "nature") == ["œuvre € é"]
-    assert set(values(files, "whole")) == {True} and files.count() == 8
+    assert set(values(files, "whole")) == {True} and files.count() == 9
 
 
 def test_elements_are_the_same_however_a_file_is_split(spark, tmp_path):
@@ -297,3 +298,47 @@ def test_scan_reads_only_the_columns_it_needs(spark, frame, tmp_path):
     frame("a int, b int, c string", (1, 2, "x")).write.parquet(str(tmp_path / "t"))
     plan = tables.read_parquet(spark, str(tmp_path / "t"), columns=["a"]).where("a > 0")._jdf.queryExecution().executedPlan().toString()
     assert "ReadSchema: struct<a:int>" in plan and "GreaterThan(a,0)" in plan
+
+
+def test_large_documents_give_the_records_of_small_ones(spark, tmp_path):
+    def record(i, layout):
+        held = [{"typeIdentifiant": "SIRET", "id": f"}}{i}{{"}]
+        return {
+            "id": f"{i}", "objet": f'a "quoted" }} {{ [ ] \\\\ {i} é', "acheteur": {"id": f"b{i}"}, "modifications": [{"modification": {"montant": i}}],
+            "titulaires": held if layout == "2019" else [{"titulaire": h} for h in held],
+        }
+
+    texts = {
+        "old.json": {"meta": {"marches": [{"id": "no"}], "x": [[{"id": "no"}]]}, "marches": [record(i, "2019") for i in range(120)] + [None], "more": [{"id": "no"}, {"marches": [{"id": "no"}]}]},
+        "new.json": {"a": "}", "marches": {"version": {"marche": [{"id": "no"}]}, "marche": [record(i, "2022") for i in range(120)], "other": [{"id": "no"}]}, "z": {"marche": [{"id": "no"}]}},
+        "empty.json": {"marches": []},
+        "stranger.json": {"contracts": [{"id": "no"}]},
+    }
+    for name, document in texts.items():
+        text = json.dumps(document, ensure_ascii=False, indent=1 if name == "new.json" else None)
+        (tmp_path / name).write_text(("\ufeff" if name != "empty.json" else "") + text + ("\n" if name != "old.json" else ""))
+    (tmp_path / "spoilt.json").write_text('{"marches": [{"id": "1"}, {"id": nix}, {"id": "3", "x": {"y": NaN,"z": 1}}]}')
+    (tmp_path / "stopped.json").write_text('{"marches": [{"id": "1"}, {"id": "2"')
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "997")
+    try:
+        small, files = large_json.read_large_documents(spark, str(tmp_path))
+        name = F.element_at(F.split("path", "/"), -1)
+        found = {(r.f, r.layout, r.whole) for r in files.select(name.alias("f"), "layout", "whole").collect()}
+        assert found == {
+            ("old.json", "2019", True), ("new.json", "2022", True), ("empty.json", "2019", True), ("stranger.json", None, True),
+            ("spoilt.json", "2019", True), ("stopped.json", "2019", False),
+        }
+        small = small.join(files.select("path", "layout"), "path")
+        bad = small.where("not readable").select(name.alias("f"), "payload").collect()
+        assert [(r.f, "nix" in r.payload) for r in bad] == [("spoilt.json", True)]
+        for file, layout in (("old.json", "2019"), ("new.json", "2022"), ("spoilt.json", "2019")):
+            got = documents.flatten(documents.records(small.where(name == file).drop("readable"), layout), layout).drop("path")
+            whole = documents.read_payloads(spark, str(tmp_path / file)).withColumn("payload", repair.json_text(F.col("payload")))
+            if file == "spoilt.json":
+                assert sorted(values(got, "id")) == ["1", "3"]
+            else:
+                want = documents.flatten(documents.records(whole.withColumn("layout", F.lit(layout)), layout), layout).drop("path")
+                assert want.count() == 240 and rows(got) == rows(want)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
