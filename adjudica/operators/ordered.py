@@ -50,61 +50,61 @@ def _same(left: str, right: str, keys: Sequence[str]) -> Column:
     return found
 
 
-def _edge(rows: DataFrame, keys: Sequence[str], last: bool) -> DataFrame:
-    """The key at one end of every partition: one row each."""
-    pick = F.max_by if last else F.min_by
+def _edges(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The keys at the two ends of every partition: one row each."""
     key = F.struct(*[F.col(f"`{k}`") for k in keys])
-    return rows.groupBy(PART).agg(pick(key, F.col(PLACE)).alias("_key")).select(PART, "_key.*")
+    return rows.groupBy(PART).agg(F.min_by(key, F.col(PLACE)).alias("first"), F.max_by(key, F.col(PLACE)).alias("last"))
 
 
-def running(
-    rows: DataFrame, keys: Sequence[str], out: dict[str, tuple[Fold, Column]], ahead: bool = False
-) -> DataFrame:
-    """Add running values per key to rows from ``placed``, each row included; with ``ahead`` from the end of the key.
-
-    ``rows`` must be in an order that begins with the keys. Only the first key of a partition can go on from the one
-    before, so one row per partition is carried, and broadcast.
-    """
-    columns = rows.columns
-    frame = Window.partitionBy(PART, *[F.col(f"`{k}`") for k in keys]).orderBy(PLACE)
-    frame = frame.rowsBetween(0, Window.unboundedFollowing) if ahead else frame.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    values = {f"_v{i}": value for i, (_, value) in enumerate(out.values())}
-    folds = [fold for fold, _ in out.values()]
-    valued = rows.select(*[F.col(f"`{c}`") for c in columns], *[v.alias(n) for n, v in values.items()])
-
-    def over(fold: Fold, c: str) -> Column:
-        # From the end, the last value in order of reading is the first one that is not null.
-        return F.first(c, ignorenulls=True) if ahead and fold is LAST else fold.over(F.col(c))
-
-    # What each partition hands on: its values for the key that reaches its end (its start, from the end).
-    leaving = _edge(rows, keys, last=not ahead)
-    order = F.col(PLACE)
+def _carried(valued: DataFrame, edges: DataFrame, keys: Sequence[str], folds: dict[str, Fold], ahead: bool) -> DataFrame:
+    """What enters each partition for the key at its near end: the values of all partitions that come before it."""
+    leaving, entering = ("first", "last") if ahead else ("last", "first")
+    names = [F.col(f"`{k}`") for k in keys]
+    # Each partition hands on its values for the key that reaches its far end.
     handed = (
         valued.alias("r")
-        .join(F.broadcast(leaving).alias("e"), _same("r", "e", keys))
+        .join(F.broadcast(edges.select(PART, f"{leaving}.*")).alias("e"), _same("r", "e", keys))
         .select("r.*")
-        .groupBy(PART, *[F.col(f"`{k}`") for k in keys])
+        .groupBy(PART, *names)
         .agg(*[
-            (F.min_by(n, F.when(F.col(n).isNotNull(), order)) if ahead else F.max_by(n, F.when(F.col(n).isNotNull(), order))).alias(n)
-            if fold is LAST else fold.over(F.col(n)).alias(n)
-            for n, fold in zip(values, folds)
+            (F.min_by if ahead else F.max_by)(n, F.when(F.col(n).isNotNull(), F.col(PLACE))).alias(n) if fold is LAST else fold.over(F.col(n)).alias(n)
+            for n, fold in folds.items()
         ])
     )
-    # Bounded by the number of partitions: in one small table the values of all partitions before are put together.
-    entering = _edge(rows, keys, last=ahead).withColumn("_asks", F.lit(1))
-    asked = handed.withColumn("_asks", F.lit(0)).unionByName(entering, allowMissingColumns=True)
+    # Bounded by the number of partitions, so one small table holds what they hand on.
+    asked = handed.withColumn("_asks", F.lit(0)).unionByName(edges.select(PART, f"{entering}.*").withColumn("_asks", F.lit(1)), allowMissingColumns=True)
     step = F.col(PART).desc() if ahead else F.col(PART).asc()
-    earlier = Window.partitionBy(*[F.col(f"`{k}`") for k in keys]).orderBy(step).rangeBetween(Window.unboundedPreceding, -1)
-    carried = asked.select(
-        PART, *[F.col(f"`{k}`") for k in keys], "_asks",
-        *[(F.last(n, ignorenulls=True) if fold is LAST else fold.over(F.col(n))).over(earlier).alias(f"{n}c") for n, fold in zip(values, folds)],
-    ).where("_asks = 1").drop("_asks")
-
-    local = valued.select(*[F.col(f"`{c}`") for c in columns], *[over(fold, n).over(frame).alias(n) for n, fold in zip(values, folds)])
-    joined = local.alias("l").join(F.broadcast(carried).alias("c"), _same("l", "c", keys), "left")
-    results = [
-        fold.both(F.col(f"c.{n}c"), F.col(f"l.{n}")).alias(name) for name, n, fold in zip(out, values, folds)
-    ]
+    earlier = Window.partitionBy(*names).orderBy(step).rangeBetween(Window.unboundedPreceding, -1)
+    values = [(F.last(n, ignorenulls=True) if fold is LAST else fold.over(F.col(n))).over(earlier).alias(f"{n}c") for n, fold in folds.items()]
+    return asked.select(PART, *names, "_asks", *values).where("_asks = 1").drop("_asks")
+
+
+def running(
+    rows: DataFrame, keys: Sequence[str], out: dict[str, tuple[Fold, Column]], ahead: dict[str, tuple[Fold, Column]] | None = None
+) -> DataFrame:
+    """Add running values per key to rows from ``placed``, each row included: from the start of the key, and from its end.
+
+    ``rows`` must be in an order that begins with the keys. Only the key at an end of a partition can go on in the next,
+    so one row per partition is carried, and broadcast.
+    """
+    columns, ahead = rows.columns, ahead or {}
+    sides = [(False, out, "_f"), (True, ahead, "_b")]
+    named = {side: {f"{prefix}{i}": v for i, v in enumerate(spec.values())} for side, spec, prefix in sides}
+    every = {n: value for found in named.values() for n, (_, value) in found.items()}
+    valued = rows.select(*[F.col(f"`{c}`") for c in columns], *[v.alias(n) for n, v in every.items()])
+    edges = _edges(rows, keys)
+    here = Window.partitionBy(PART, *[F.col(f"`{k}`") for k in keys]).orderBy(PLACE)
+    forward, backward = here.rowsBetween(Window.unboundedPreceding, Window.currentRow), here.rowsBetween(Window.currentRow, Window.unboundedFollowing)
+    local = [fold.over(F.col(n)).over(forward).alias(n) for n, (fold, _) in named[False].items()]
+    # Towards the end, the last value in order of reading is the first one that is not null.
+    local += [(F.first(n, ignorenulls=True) if fold is LAST else fold.over(F.col(n))).over(backward).alias(n) for n, (fold, _) in named[True].items()]
+    joined = valued.select(*[F.col(f"`{c}`") for c in columns], *local).alias("l")
+    results = []
+    for side, spec, prefix in sides:
+        if spec:
+            carried = _carried(valued, edges, keys, {n: fold for n, (fold, _) in named[side].items()}, side).alias(prefix)
+            joined = joined.join(F.broadcast(carried), _same("l", prefix, keys), "left")
+            results += [fold.both(F.col(f"{prefix}.{n}c"), F.col(f"l.{n}")).alias(name) for name, (n, (fold, _)) in zip(spec, named[side].items())]
     return joined.select(*[F.col(f"l.`{c}`") for c in columns], *results)
 
 

@@ -7,58 +7,24 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from adjudica.operators.columns import any_filled, starting_with
-from adjudica.operators.dedup import keep_first, row_order
-from adjudica.operators.hotkeys import HOT_ROWS, by_key_size
+from adjudica.operators.dedup import keep_first
 from adjudica.operators.joins import null_safe_left
+from adjudica.operators.ordered import LAST, placed, running
 
 
 def _ascending(names: Sequence[str]) -> list[Column]:
     return [F.col(n).asc_nulls_first() for n in names]
 
 
-def _fill_in_one_window(df: DataFrame, keys: list[str], order: list[str], carry: list[str]) -> DataFrame:
-    window = Window.partitionBy(*keys).orderBy(*_ascending(order + carry)).rowsBetween(Window.unboundedPreceding, 0)
-    return df.withColumns({c: F.last(c, ignorenulls=True).over(window) for c in carry})
-
-
-def _fill_step_by_step(df: DataFrame, keys: list[str], order: list[str], carry: list[str]) -> DataFrame:
-    """The same values with windows no larger than one key and step, a step being one value of ``order[0]``."""
-    step, ties = order[0], order[1:] + carry
-    # Copies of a row get the same values, so one of each is enough to work them out.
-    seen = df.select(*keys, *order, *carry).distinct()
-    within = Window.partitionBy(*keys, step).orderBy(*_ascending(ties)).rowsBetween(Window.unboundedPreceding, 0)
-    inside = seen.withColumns({f"_in_{c}": F.last(c, ignorenulls=True).over(within) for c in carry})
-    # Last value of every step, then the last one before it: one row per key and step.
-    ends = seen.groupBy(*keys, step).agg(
-        *[F.max_by(c, F.when(F.col(c).isNotNull(), F.struct(*ties))).alias(f"_end_{c}") for c in carry]
-    )
-    earlier = Window.partitionBy(*keys).orderBy(*_ascending([step])).rowsBetween(Window.unboundedPreceding, -1)
-    before = ends.select(
-        *keys, step, *[F.last(f"_end_{c}", ignorenulls=True).over(earlier).alias(f"_before_{c}") for c in carry]
-    )
-    known = null_safe_left(inside, before, [*keys, step]).select(
-        *keys, *order, *carry, *[F.coalesce(f"_in_{c}", f"_before_{c}").alias(f"_fill_{c}") for c in carry]
-    )
-    filled = null_safe_left(df, known, [*keys, *order, *carry])
-    return filled.select(*[F.col(f"_fill_{c}").alias(c) if c in carry else F.col(c) for c in df.columns])
-
-
-def forward_fill(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], carry: Sequence[str], hot_rows: int = HOT_ROWS
-) -> DataFrame:
+def forward_fill(df: DataFrame, keys: Sequence[str], order: Sequence[str], carry: Sequence[str]) -> DataFrame:
     """Fill a null with the last value before it within the key.
 
-    Rows are taken in ``order``, ties in order of the carried columns, so equal rows get equal values.
-    A key with more than ``hot_rows`` rows is filled step by step of the first order column.
+    Rows are taken in ``order``, ties in order of the carried columns, so equal rows get equal values. Rows are dealt by
+    ranges of that order, so one plan serves keys of all sizes, also a key all of whose rows have one date.
     """
-    how = (list(keys), list(order), list(carry))
-    return by_key_size(
-        df,
-        keys,
-        lambda part: _fill_in_one_window(part, *how),
-        lambda part: _fill_step_by_step(part, *how),
-        hot_rows,
-    )
+    rows = placed(df, _ascending([*keys, *order, *carry]), "to-fill")
+    filled = running(rows, list(keys), {f"_fill_{c}": (LAST, F.col(f"`{c}`")) for c in carry})
+    return filled.select(*[F.col(f"_fill_{c}").alias(c) if c in carry else F.col(f"`{c}`") for c in df.columns])
 
 
 def apply_versions(
@@ -68,7 +34,6 @@ def apply_versions(
     carry: Sequence[str] = ("montant", "dureeMois", "titulaires"),
     prefix: str = "modification_",
     suffix: str = "Modification",
-    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """One complete row per version of a record.
 
@@ -77,8 +42,8 @@ def apply_versions(
     the date; what is in ``carry`` keeps its last value where an amendment leaves it out. All other
     columns come from the base row of the key.
 
-    Ordinary keys take one shuffle: base row, versions and carried values are all worked out where the rows
-    of a key meet. Hot keys go through joins that spread them.
+    The base row is chosen with one row per key left in every map task. It and the amendments are then dealt by ranges of
+    key and date, along which the carried values go forward and the columns of the base row both ways.
     """
     source_of = {
         c.removeprefix(prefix).removesuffix(suffix): c for c in starting_with(df, prefix) if c != f"{prefix}id"
@@ -101,24 +66,16 @@ def apply_versions(
     )
     has_amendment = any_filled(source_of.values())
 
-    def where_rows_meet(part: DataFrame) -> DataFrame:
-        by_content = Window.partitionBy(*keys).orderBy(*row_order(part.select(*plain), leave_out=keys))
-        marked = part.withColumns(
-            {"_row": F.row_number().over(by_content), "_fixed": F.first(F.struct(F.lit(0).alias("_"), *fixed)).over(by_content)}
-        )
-        both = F.array_compact(F.array(F.when(F.col("_row") == 1, original), F.when(has_amendment, amendment)))
-        rows = marked.select(*keys, "_fixed", F.inline(both))
-        filled = _fill_in_one_window(rows, keys, order, carry)
-        return filled.select(*keys, *versioned, *[F.col("_fixed")[c].alias(c) for c in fixed])
-
-    def by_joins(part: DataFrame) -> DataFrame:
-        base = keep_first(part.select(*plain), keys)
-        first = base.select(*keys, F.inline(F.array(original)))
-        later = part.where(has_amendment).select(*keys, F.inline(F.array(amendment)))
-        filled = _fill_step_by_step(first.unionByName(later), keys, order, carry)
-        return null_safe_left(filled.drop("_amended"), base.select(*keys, *fixed), keys)
-
-    return by_key_size(df, keys, where_rows_meet, by_joins, hot_rows)
+    base = keep_first(df.select(*plain), keys)
+    first = base.select(*keys, F.struct(F.lit(0).alias("_"), *fixed).alias("_fixed"), F.inline(F.array(original)))
+    later = df.where(has_amendment).select(*keys, F.inline(F.array(amendment)))
+    rows = placed(first.unionByName(later, allowMissingColumns=True), _ascending([*keys, *order, *carry]), "versions")
+    values = {f"_fill_{c}": (LAST, F.col(c)) for c in carry}
+    filled = running(rows, keys, {**values, "_before": (LAST, F.col("_fixed"))}, {"_after": (LAST, F.col("_fixed"))})
+    own = F.coalesce("_before", "_after")
+    return filled.select(
+        *keys, *[F.col(f"_fill_{c}").alias(c) if c in carry else F.col(c) for c in versioned], *[own[c].alias(c) for c in fixed]
+    )
 
 
 def number_versions(

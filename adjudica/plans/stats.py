@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from adjudica.operators.counts import distinct_per_group, exact_median, members
 from adjudica.operators.dedup import keep_first
 from adjudica.operators.joins import null_safe_left
+from adjudica.operators.ordered import LAST, placed, running
 from adjudica.session import materialise
 
 # First reported year and the address of a data set's page.
@@ -112,21 +113,18 @@ def contract_stats(df: DataFrame, as_of: date, first_year: int = FIRST_YEAR) ->
 
 
 def fill_from_entry_before(df: DataFrame, entries: DataFrame, key: str, columns: Sequence[str]) -> DataFrame:
-    """Fill nulls from the entry of a small reference table with the greatest key not above the row's own.
+    """Fill nulls from the entry of a reference table with the greatest key not above the row's own.
 
-    A forward fill in key order in which only the reference table, never the data, is held together.
+    Entries and rows are put in one order, dealt by ranges of the key, along which the entries' values go forward; so
+    neither table is ever in one place, and no row searches the other. A row without a key takes nothing.
     """
-    for column in columns:
-        filled = entries.where(F.col(column).isNotNull())
-        pairs = F.struct(F.col(key).alias("at"), F.col(column).alias("what"))
-        ordered = filled.agg(F.sort_array(F.collect_list(pairs))).scalar()
-        earlier = F.filter("_entries", lambda e: e["at"] <= F.col(key))
-        df = (
-            df.withColumn("_entries", ordered)
-            .withColumn(column, F.coalesce(column, F.try_element_at(earlier, F.lit(-1))["what"]))
-            .drop("_entries")
-        )
-    return df
+    known = entries.where(F.col(key).isNotNull()).select(F.col(key), F.lit(0).alias("_row"), *[F.col(c).alias(f"_entry_{c}") for c in columns])
+    both = known.unionByName(df.withColumn("_row", F.lit(1)), allowMissingColumns=True).withColumn("_all", F.lit(0))
+    order = [F.col("_all"), F.col(key).asc_nulls_first(), "_row", *[F.col(f"`{c}`") for c in sorted(df.columns) if c != key]]
+    filled = running(placed(both, order, "entries"), ["_all"], {f"_last_{c}": (LAST, F.col(f"_entry_{c}")) for c in columns})
+    return filled.where("_row = 1").select(
+        *[F.coalesce(F.col(c), F.col(f"_last_{c}")).alias(c) if c in columns else F.col(f"`{c}`") for c in df.columns]
+    )
 
 
 def source_stats(

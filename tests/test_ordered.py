@@ -36,7 +36,8 @@ def fold(values, step):
 @pytest.mark.parametrize("ahead", [False, True])
 def test_running_values_go_on_from_partition_to_partition(many, ahead):
     kinds = {"s": (SUM, lambda a, b: a + b), "m": (MAX, max), "x": (XOR, lambda a, b: a ^ b), "l": (LAST, lambda a, b: b)}
-    found = running(many, ["k"], {n: (f, F.col("v")) for n, (f, _) in kinds.items()}, ahead)
+    values = {n: (f, F.col("v")) for n, (f, _) in kinds.items()}
+    found = running(many, ["k"], {}, values) if ahead else running(many, ["k"], values)
     assert found.columns == [*many.columns, *kinds]
     got = defaultdict(list)
     for r in found.orderBy("_place").collect():
@@ -50,6 +51,12 @@ def test_running_values_go_on_from_partition_to_partition(many, ahead):
             assert [r[name] for r in got[k]] == want, (k, name)
 
 
+def test_both_directions_at_once(many):
+    found = running(many, ["k"], {"n": (SUM, F.lit(1))}, {"left": (SUM, F.lit(1))})
+    sizes = {k: len(v) for k, v in by_key().items()}
+    assert all(r.n + r.left == sizes[r.k] + 1 for r in found.collect())
+
+
 def test_next_rows_are_found_across_partitions(many):
     found = following(many, ["k"], {"o2": F.col("o"), "v2": F.col("v")})
     got = defaultdict(list)

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from adjudica.operators import versions
 from adjudica.operators.dedup import assert_primary_key, keep_first, keep_last_added
+from adjudica.operators.ordered import placed
 
 HOLDERS = "array<struct<titulaire:struct<typeIdentifiant:string,id:string>>>"
 RECORD = (
@@ -20,8 +21,7 @@ def holders(*ids):
     return [{"titulaire": {"typeIdentifiant": "SIRET", "id": i}} for i in ids]
 
 
-@pytest.mark.parametrize("hot_rows", [1_000_000, 2, 0])
-def test_amendments_become_versions(frame, hot_rows):
+def test_amendments_become_versions(frame):
     base = ("1", 1000, 12, "12345", holders("00013"), "2023-01-01", "2023-01-02")
     df = frame(
         RECORD,
@@ -30,7 +30,7 @@ def test_amendments_become_versions(frame, hot_rows):
         (*base, "2023-03-04", "2023-03-05", None, None, None),
         ("2", 500, 6, "99999", holders("0003"), "2023-03-01", "2023-03-02", None, None, None, None, None),
     )
-    got = versions.apply_versions(df, hot_rows=hot_rows)
+    got = versions.apply_versions(df)
     shown = got.select(
         "uid", "dateNotification", "datePublicationDonnees", "montant", "dureeMois", "acheteur_id",
         F.array_join(F.transform("titulaires", lambda t: t["titulaire"]["id"]), "+"),
@@ -98,24 +98,43 @@ def skewed_rows():
     return data + [(None, None, None, None, 1), (None, "2020", 1, 2, None)]
 
 
-@pytest.mark.parametrize("hot_rows", [1_000_000, 50, 0])
-def test_forward_fill_of_hot_keys_equals_brute_force(spark, frame, hot_rows):
+@pytest.fixture
+def many_partitions(spark):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    yield lambda n: spark.conf.set("spark.sql.shuffle.partitions", n)
+    spark.conf.set("spark.sql.shuffle.partitions", before)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+
+
+@pytest.mark.parametrize("partitions", [1, 7])
+def test_forward_fill_equals_brute_force_for_keys_that_span_partitions(frame, many_partitions, partitions):
+    many_partitions(partitions)
     data = skewed_rows()
     df = frame("key string, step string, tie int, a int, b int", *data)
-    got = versions.forward_fill(df, ["key"], ["step", "tie"], ["a", "b"], hot_rows)
-    assert rows(got) == brute_force_fill(data)
+    assert rows(versions.forward_fill(df, ["key"], ["step", "tie"], ["a", "b"])) == brute_force_fill(data)
+
+
+def test_a_key_whose_rows_have_one_date_spans_tasks(frame, many_partitions):
+    many_partitions(8)
+    data = [("hot" if i % 3 else f"k{i}", "2020", i, None if i % 4 else i, None) for i in range(2000)]
+    df = frame("key string, step string, tie int, a int, b int", *data)
+    assert rows(versions.forward_fill(df, ["key"], ["step", "tie"], ["a", "b"])) == brute_force_fill(data)
+    dealt = placed(df, ["key", "step", "tie"])
+    assert dealt.where("key = 'hot'").select("_part").distinct().count() >= 5
 
 
-def test_hot_and_usual_paths_agree_on_version_folding(frame):
+def test_version_folding_is_the_same_whatever_the_partitioning(frame, many_partitions):
     data = []
     for i in range(400):
         uid = "hot" if i % 3 else f"u{i % 20}"
         data.append((uid, i % 4 or None, i % 6, "b", holders(f"{i % 5}"), "2020-01-01", None,
                      f"2020-02-{i % 9:02d}" if i % 7 else None, None, i % 5 or None, None, holders("x") if i % 11 == 0 else None))
     df = frame(RECORD, *data)
-    usual, hot = versions.apply_versions(df), versions.apply_versions(df, hot_rows=10)
-    assert usual.columns == hot.columns
-    assert rows(usual) == rows(hot)
+    many_partitions(1)
+    one = rows(versions.apply_versions(df))
+    many_partitions(9)
+    assert rows(versions.apply_versions(df)) == one
 
 
 def test_numbering_shuffles_only_keys_and_dates_beside_the_rows_themselves(spark, frame, tmp_path):
