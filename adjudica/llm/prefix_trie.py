@@ -269,14 +269,13 @@ def prefix_trie(turns: DataFrame) -> DataFrame:
     marks = entered.unionByName(turned).unionByName(left).groupBy("conv_id", "depth").agg(*[F.max(c).alias(c) for c in names])
     marked = placed(tree.join(marks, ["conv_id", "depth"], "left"), ["conv_id", "depth"], "marked")
     zero = F.lit(0).cast("long")
-    down = running(marked, ["conv_id"], {
+    both = running(marked, ["conv_id"], {
         "enter_at": (SUM, F.coalesce("in_arcs", F.lit(1).cast("long"))),
         "leaves_in": (SUM, F.col("leaf") + F.coalesce("in_leaves", zero)), "saved_in": (SUM, F.col("saving") + F.coalesce("in_saved", zero)),
-    })
-    # Sums never fall along the tour, so the chain that leaves a node is the one with the largest of those from below.
-    both = running(down, ["conv_id"], {
+    }, ahead={
+        # Sums never fall along the tour, so the chain that leaves a node is the one with the largest of those from below.
         "out_a": (MAX, F.col("out_arcs")), "out_l": (MAX, F.col("out_leaves")), "out_s": (MAX, F.col("out_saved")),
-    }, ahead=True)
+    })
     sums = both.select(
         "conv_id", "depth", "a", "b", "parent_conv_id", "n_convs", "n_children",
         (F.col("out_l") - F.col("leaves_in") + F.col("leaf")).alias("n_leaves"),
