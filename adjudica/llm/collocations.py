@@ -10,7 +10,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window, functions as F
 
-from adjudica.llm.common import ORACLE, by_bytes, documents, mix, query, ship, small_batches, text_buffer, word_hashes
+from adjudica.llm.common import ORACLE, by_bytes, documents, give_back, mix, query, ship, small_batches, text_buffer, word_hashes
 from adjudica.session import materialise
 
 LEAST = 100  # occurrences of a candidate
@@ -18,7 +18,7 @@ LONGEST = 5  # words in a candidate
 TOP = 2000  # phrases reported per language
 SUBSUMED = 100  # hundredths of a phrase's occurrences that a longer one must have to make it needless
 UNKNOWN = "und"
-BATCH_BYTES = 16 << 20  # of text that are counted together
+BATCH_BYTES = 8 << 20  # of text that are counted together
 FILTER_BITS = 1 << 26  # 8 MB, broadcast; with more frequent phrases than about 5 million it lets more through, none fewer
 PROBES = 3
 SLICES = 64  # parts of the stripe of the empty prefix, which holds every word; other stripes have fewer
@@ -42,31 +42,35 @@ class Words:
     def __init__(self, table: pa.Table):
         flat, ends = text_buffer(table["text"])
         solid = ~_BREAK[flat]
-        first = solid.copy()
-        first[1:] &= ~solid[:-1]
-        starts_of_rows = ends[:-1][ends[:-1] < len(flat)]
-        first[starts_of_rows] = solid[starts_of_rows]
-        starts = np.flatnonzero(first)
-        del first
-        # Words are put end to end, so a word ends where the next one begins.
-        upto = np.cumsum(solid, dtype=np.int64)
-        offsets = np.append(upto[starts] - 1, upto[-1] if len(upto) else 0)
-        del upto
-        data = _LOWER[flat[solid]]
+        edge = solid.copy()
+        edge[1:] &= ~solid[:-1]
+        at_row = ends[:-1][ends[:-1] < len(flat)]
+        edge[at_row] = solid[at_row]
+        starts = np.flatnonzero(edge)
+        np.copyto(edge, solid)
+        edge[:-1] &= ~solid[1:]
+        at_row = ends[1:][ends[1:] > 0] - 1
+        edge[at_row] = solid[at_row]
+        offsets = np.zeros(len(starts) + 1, np.int64)
+        np.cumsum(np.flatnonzero(edge) + 1 - starts, out=offsets[1:])
+        del edge
+        data = _LOWER[flat[solid]]  # the words end to end
+        del solid
         held = pa.Array.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(data)])
         coded = held.dictionary_encode()
-        self.codes = coded.indices.to_numpy().astype(np.int64)
+        self.codes = coded.indices.to_numpy()
         self.words = coded.dictionary.cast(pa.large_string())
-        row = np.searchsorted(ends, starts, "right") - 1
-        breaks = np.cumsum(_PIECE[flat], dtype=np.int64)[starts] if len(starts) else starts
+        del held, data
+        row = (np.searchsorted(ends, starts, "right") - 1).astype(np.int32)
+        breaks = np.searchsorted(np.flatnonzero(_PIECE[flat]), starts).astype(np.int32)
         new = np.ones(len(starts), bool)
         new[1:] = (row[1:] != row[:-1]) | (breaks[1:] != breaks[:-1])
-        self.piece = np.cumsum(new)
+        self.piece = np.cumsum(new, dtype=np.int32)
         langs = table["lang"].combine_chunks().dictionary_encode()
         if isinstance(langs, pa.ChunkedArray):
             langs = langs.combine_chunks()
         self.langs = langs.dictionary
-        self.lang = langs.indices.to_numpy(zero_copy_only=False).astype(np.int64)[row]
+        self.lang = langs.indices.to_numpy(zero_copy_only=False).astype(np.int32)[row]
 
     def hashes(self) -> np.ndarray:
         return word_hashes(*text_buffer(self.words), False)[0]
@@ -122,9 +126,9 @@ def _stripes_of(words: Words, at: np.ndarray, length: int) -> Iterator[pa.Record
         return
     size = np.int64(len(words.words))
     # Phrases get whole numbers word by word, so that equal numbers are equal phrases.
-    number = words.lang[at]
+    number = words.lang[at].astype(np.int64)
     for j in range(length):
-        distinct, number = np.unique(number * size + words.codes[at + j], return_inverse=True)
+        number = np.unique(number * size + words.codes[at + j], return_inverse=True)[1]
         if j == length - 2:
             prefix = number
     _, first, counts = np.unique(number, return_index=True, return_counts=True)
@@ -173,6 +177,8 @@ def _counter(length: int, bits) -> Callable[[Iterator[pa.RecordBatch]], Iterator
                         key = _extended(key, hashes[words.codes[at + shift + j]])
                     at = at[_passes(key, kept)]
             yield from _stripes_of(words, at, length)
+            del words, at
+            give_back()
 
     return count
 

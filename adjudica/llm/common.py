@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import zipfile
 from collections.abc import Callable, Iterable, Iterator, Sequence
+from contextlib import suppress
 from functools import wraps
 from pathlib import Path
 
@@ -69,6 +71,13 @@ def by_bytes(batches: Iterable[pa.RecordBatch], column: str, size: int) -> Itera
         yield pa.Table.from_batches(held)
 
 
+def give_back() -> None:
+    """Return memory that is free again to the machine, since a worker goes on to other tasks beside others."""
+    pa.default_memory_pool().release_unused()
+    with suppress(OSError, AttributeError):  # only glibc has it
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+
 def text_buffer(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
     """All texts of a column as one byte array and the n + 1 offsets of its rows; a null text is empty."""
     array = pa.array([], pa.large_binary())
