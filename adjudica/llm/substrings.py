@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+from functools import wraps
 from itertools import compress
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from adjudica.llm.common import ORACLE, chunk_bounds, chunk_of, documents, mix, query, shuffle_partitions, small_batches, text_buffer, word_hashes
+from adjudica.llm.common import ORACLE, chunk_bounds, chunk_of, documents, give_back, mix, query, shuffle_partitions, small_batches, text_buffer, word_hashes
 
 CHUNKS_PER_PARTITION = 4
 _STEP = 0xC6A4A7935BD1E995
@@ -66,6 +67,18 @@ def _by_range(keys: np.ndarray):
         yield int(upper[a]), a, b
 
 
+def _lean(fn):
+    """The function of one group, after which its memory goes back."""
+
+    @wraps(fn)
+    def run(*tables: pa.Table) -> pa.Table:
+        out = fn(*tables)
+        give_back()
+        return out
+
+    return run
+
+
 _ROWS = "range int, chunk int, kind int, keys binary, flags binary"
 _SCHEMA = pa.schema([("range", pa.int32()), ("chunk", pa.int32()), ("kind", pa.int32()), ("keys", pa.binary()), ("flags", pa.binary())])
 
@@ -218,11 +231,11 @@ def _cut(window: int, carried: list[str], as_is: bool):
         change[starts + window] -= 1  # one window at most begins at a word, so no index comes twice
         removed = np.cumsum(change)[:n] > 0
         keep = (~removed).tolist()
-        data, bounds, ends = words.flat.tobytes(), words.rows.tolist(), words.ends.tolist()
+        data, bounds, ends = memoryview(words.flat), words.rows.tolist(), words.ends.tolist()
         taken = np.concatenate(([0], np.cumsum(removed)))[words.rows]
         kept = []
         for i in range(len(words.ids)):
-            text = data[ends[i] : ends[i + 1]]
+            text = bytes(data[ends[i] : ends[i + 1]])
             if taken[i + 1] > taken[i]:
                 text = b" ".join(compress(text.split(), keep[bounds[i] : bounds[i + 1]]))
             elif not as_is:
@@ -268,12 +281,12 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", win
         *[F.col(f"`{c}`").alias(name) for name, c in others.items()],
     ).repartition(partitions, "chunk")
     chunks = parted.groupBy("chunk")
-    probes = chunks.applyInArrow(_probe(block, partitions), _ROWS)
-    anchors = probes.groupBy("range").applyInArrow(_anchors, _ROWS)
-    windows = chunks.cogroup(anchors.groupBy("chunk")).applyInArrow(_extend(window, block, partitions), _ROWS)
-    repeats = windows.groupBy("range").applyInArrow(_earlier, _ROWS)
+    probes = chunks.applyInArrow(_lean(_probe(block, partitions)), _ROWS)
+    anchors = probes.groupBy("range").applyInArrow(_lean(_anchors), _ROWS)
+    windows = chunks.cogroup(anchors.groupBy("chunk")).applyInArrow(_lean(_extend(window, block, partitions)), _ROWS)
+    repeats = windows.groupBy("range").applyInArrow(_lean(_earlier), _ROWS)
     schema = ", ".join(f"{n} {t}" for n, t in parted.select(*others).dtypes) + ", n_words long, n_removed long, kept string"
-    done = chunks.cogroup(repeats.groupBy("chunk")).applyInArrow(_cut(window, list(others), as_is), schema)
+    done = chunks.cogroup(repeats.groupBy("chunk")).applyInArrow(_lean(_cut(window, list(others), as_is)), schema)
     return done.select(*[F.col(name).alias(c) for name, c in others.items()], *dict(_FOUND))
 
 
