@@ -11,7 +11,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from adjudica.llm.common import ORACLE, by_bytes, documents, mix, query, small_batches, text_buffer
+from adjudica.llm.common import ORACLE, by_bytes, documents, give_back, mix, query, small_batches, text_buffer
 from adjudica.llm.graph import components
 from adjudica.llm.shingles import common, shingle_sets
 from adjudica.session import materialise
@@ -82,6 +82,7 @@ def _sketch(words: int, bands: int) -> Callable[[Iterator[pa.RecordBatch]], Iter
                 "bands": pa.ListArray.from_arrays(pa.array(offsets), pa.array(keys.ravel())),
             }
             yield from pa.table(columns).to_batches()
+            give_back()
 
     return run
 
@@ -91,6 +92,7 @@ def _sets(words: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Record
         for table in by_bytes(batches, "text", BATCH_BYTES):
             sets = [s.tobytes() for s in shingle_sets(*text_buffer(table.column("text")), words)]
             yield from pa.table({"node": table.column("node"), "members": pa.array(sets, pa.binary())}).combine_chunks().to_batches()
+            give_back()
 
     return run
 
@@ -104,6 +106,7 @@ def _confirm(similarity: Fraction) -> Callable[[Iterator[pa.RecordBatch]], Itera
                 both = common(x, y)
                 keep.append(both * similarity.denominator >= (len(x) + len(y) - both) * similarity.numerator)
             yield pa.record_batch({"a": batch.column("a"), "b": batch.column("b")}).filter(pa.array(keep, pa.bool_()))
+            give_back()
 
     return run
 
@@ -183,6 +186,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wo
         "node", F.col("pick.doc_id").alias("at"), F.col("pick.text_key").alias("text_at")
     )
     picked = texts.join(wanted, F.col("doc_id").eqNullSafe(F.col("at")) & (F.col("text_key") == F.col("text_at")))
+    picked = picked.dropDuplicates(["node"])  # a repeated row is there several times
     sets = materialise(picked.select("node", "text").mapInArrow(_sets(words), "node binary, members binary"), "sets")
 
     labels = materialise(members.select("node").distinct().select("node", F.col("node").alias("label")), "labels")
