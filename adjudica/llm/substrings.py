@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from functools import wraps
+from inspect import signature
 from itertools import compress
 
 import numpy as np
@@ -70,13 +70,17 @@ def _by_range(keys: np.ndarray):
 def _lean(fn):
     """The function of one group, after which its memory goes back."""
 
-    @wraps(fn)
-    def run(*tables: pa.Table) -> pa.Table:
-        out = fn(*tables)
+    def one(table: pa.Table) -> pa.Table:
+        out = fn(table)
         give_back()
         return out
 
-    return run
+    def two(table: pa.Table, other: pa.Table) -> pa.Table:
+        out = fn(table, other)
+        give_back()
+        return out
+
+    return one if len(signature(fn).parameters) == 1 else two
 
 
 _ROWS = "range int, chunk int, kind int, keys binary, flags binary"
