@@ -18,11 +18,11 @@ LONGEST = 5  # words in a candidate
 TOP = 2000  # phrases reported per language
 SUBSUMED = 100  # hundredths of a phrase's occurrences that a longer one must have to make it needless
 UNKNOWN = "und"
-BATCH_BYTES = 8 << 20  # of text that are counted together
+BATCH_BYTES = 12 << 20  # of text that are counted together
 FILTER_BITS = 1 << 26  # 8 MB, broadcast; with more frequent phrases than about 5 million it lets more through, none fewer
 PROBES = 3
-SLICES = 64  # parts of the stripe of the empty prefix, which holds every word; other stripes have fewer
-WORD_SLICES = 4
+SLICES = 64  # parts of the stripe of a hot prefix, such as the empty one, which holds every word
+HOT_SHARE = 0.001  # of a language's words from which on a prefix has as many slices; there are 1000 such prefixes at most
 TOP_PARTS = 64
 
 _PIECE = np.zeros(256, bool)
@@ -33,7 +33,8 @@ _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[ord("A") : ord("Z") + 1] += 32
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
-_STRIPES = "lang string, prefix string, slice int, next array<string>, n array<long>"
+# A stripe's words and counts are each one text, joined by spaces; without counts each word came once.
+_STRIPES = "lang string, prefix string, slice int, next string, n string"
 
 
 class Words:
@@ -120,8 +121,11 @@ def phrase_filter(phrases: DataFrame) -> np.ndarray:
     return bits.view(np.uint8)
 
 
-def _stripes_of(words: Words, at: np.ndarray, length: int) -> Iterator[pa.RecordBatch]:
-    """The stripes of the phrases that begin at the given words: one row per prefix and slice."""
+def _stripes_of(words: Words, at: np.ndarray, length: int, hot: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """The stripes of the phrases that begin at the given words: one row per prefix, or per slice of a hot one.
+
+    ``hot`` has the sorted keys of hot prefixes; two prefixes with one key are both hot or both not, so it may be a hash.
+    """
     if not len(at):
         return
     size = np.int64(len(words.words))
@@ -135,7 +139,10 @@ def _stripes_of(words: Words, at: np.ndarray, length: int) -> Iterator[pa.Record
     if length == 1:
         prefix = words.lang[at]
     at, prefix, nexts = at[first], prefix[first], words.codes[at[first] + length - 1]
-    slices = nexts_hash(words, nexts, SLICES if length == 1 else WORD_SLICES)
+    hashes = words.hashes()
+    slices = (hashes[nexts] >> np.uint64(40)).astype(np.int64) % SLICES
+    if length > 1:
+        slices[~np.isin(_keys(words, hashes, at, length - 1), hot)] = 0
     order = np.lexsort((slices, prefix))
     at, prefix, nexts, slices, counts = at[order], prefix[order], nexts[order], slices[order], counts[order]
     new = np.append(True, (prefix[1:] != prefix[:-1]) | (slices[1:] != slices[:-1]))
@@ -147,17 +154,36 @@ def _stripes_of(words: Words, at: np.ndarray, length: int) -> Iterator[pa.Record
         parts = [words.words.take(pa.array(words.codes[at[h] + j])) for j in range(length - 1)]
         texts = pc.binary_join_element_wise(*parts, pa.scalar(" ", pa.large_string())) if len(parts) > 1 else parts[0] if parts else pa.array([""] * len(h))
         cuts = pa.array((offsets[a : b + 1] - lo).astype(np.int32))
+        joined = [
+            pc.binary_join(pa.ListArray.from_arrays(cuts, items), " ")
+            for items in (words.words.take(pa.array(nexts[lo:hi])).cast(pa.string()), pa.array(counts[lo:hi]).cast(pa.string()))
+        ]
+        once = np.maximum.reduceat(counts[lo:hi], h - lo) == 1
         yield pa.RecordBatch.from_arrays([
             words.langs.take(pa.array(words.lang[at[h]])).cast(pa.string()), texts.cast(pa.string()), pa.array(slices[h], pa.int32()),
-            pa.ListArray.from_arrays(cuts, words.words.take(pa.array(nexts[lo:hi])).cast(pa.string())), pa.ListArray.from_arrays(cuts, pa.array(counts[lo:hi].astype(np.int64))),
+            joined[0], pc.if_else(pa.array(once), "", joined[1]),
         ], names=["lang", "prefix", "slice", "next", "n"])
 
 
-def nexts_hash(words: Words, codes: np.ndarray, slices: int) -> np.ndarray:
-    return (words.hashes()[codes] >> np.uint64(40)).astype(np.int64) % slices
+def _keys(words: Words, hashes: np.ndarray, at: np.ndarray, length: int) -> np.ndarray:
+    """64-bit keys of the phrases of so many words that begin at the given words, as the filter has them."""
+    key = _lang_hashes(words.langs)[words.lang[at]]
+    for j in range(length):
+        key = _extended(key, hashes[words.codes[at + j]])
+    return key
+
+
+def phrase_keys(phrases: list[tuple[str, str]]) -> np.ndarray:
+    """The keys of a few phrases, sorted."""
+    if not phrases:
+        return np.zeros(0, np.uint64)
+    words = Words(pa.table({"lang": pa.array([x for x, _ in phrases], pa.string()), "text": pa.array([p for _, p in phrases], pa.string())}))
+    hashes, starts = words.hashes(), np.flatnonzero(np.append(True, words.piece[1:] != words.piece[:-1]))
+    # All phrases have as many words.
+    return np.sort(_keys(words, hashes, starts, len(words.codes) // len(phrases)))
 
 
-def _counter(length: int, bits) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+def _counter(length: int, bits, hot: np.ndarray) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """Stripes of phrases of so many words whose first and last words but one pass the filter."""
 
     def count(batches):
@@ -170,27 +196,26 @@ def _counter(length: int, bits) -> Callable[[Iterator[pa.RecordBatch]], Iterator
             at = np.arange(n)
             if length > 1:
                 at = at[words.piece[:n] == words.piece[length - 1 :]]
-                hashes, langs = words.hashes(), _lang_hashes(words.langs)
+                hashes = words.hashes()
                 for shift in (0, 1):  # both phrases that are shorter by a word
-                    key = langs[words.lang[at]]
-                    for j in range(length - 1):
-                        key = _extended(key, hashes[words.codes[at + shift + j]])
-                    at = at[_passes(key, kept)]
-            yield from _stripes_of(words, at, length)
+                    at = at[_passes(_keys(words, hashes, at + shift, length - 1), kept)]
+            yield from _stripes_of(words, at, length, hot)
             del words, at
             give_back()
 
     return count
 
 
-def _merged(texts: DataFrame, length: int, bits) -> DataFrame:
+def _merged(texts: DataFrame, length: int, bits, hot: np.ndarray) -> DataFrame:
     """Stripes of all batches put together entry by entry: lang, prefix, slice, next, n.
 
-    Stripes are dealt by prefix and slice, so a common prefix has a few tasks; entries are added up by an aggregation that
+    Stripes are dealt by prefix and slice, so a hot prefix has many tasks; entries are added up by an aggregation that
     spills, so no stripe must fit in memory.
     """
-    stripes = texts.mapInArrow(_counter(length, bits), _STRIPES).repartition("lang", "prefix", "slice")
-    entries = stripes.select("lang", "prefix", "slice", F.inline(F.arrays_zip("next", "n")).alias("next", "n"))
+    stripes = texts.mapInArrow(_counter(length, bits, hot), _STRIPES).repartition("lang", "prefix", "slice")
+    listed = F.arrays_zip(F.split("next", " ").alias("next"), F.split("n", " ").alias("n"))
+    entries = stripes.select("lang", "prefix", "slice", F.inline(listed).alias("next", "n"))
+    entries = entries.withColumn("n", F.coalesce(F.nullif("n", F.lit("")), F.lit("1")).cast("long"))
     return entries.groupBy("lang", "prefix", "slice", "next").agg(F.sum("n").alias("n"))
 
 
@@ -212,11 +237,13 @@ def frequent_phrases(
     found, totals = [], None
     for length in range(1, longest + 1):
         bits = spark.sparkContext.broadcast(phrase_filter(found[-1])) if found else None
-        entries = _merged(texts, length, bits)
+        # A prefix that holds a thousandth of a language's words: few, whatever the input.
+        common = found[-1].join(totals, "lang").where(F.col("f") >= HOT_SHARE * F.col("words")).select("lang", "phrase").collect() if found else []
+        entries = _merged(texts, length, bits, phrase_keys([tuple(r) for r in common]))
         if length == 1:
             # The stripe of the empty prefix: its total is the number of all words.
             entries = materialise(entries, "words")
-            totals = entries.groupBy("lang").agg(F.sum("n").alias("words"))
+            totals = materialise(entries.groupBy("lang").agg(F.sum("n").alias("words")), "totals")  # one row per language
             now = entries.where(F.col("n") >= least).select(
                 "lang", F.col("next").alias("phrase"), F.col("n").alias("f"), F.lit("").alias("head"), F.lit("").alias("tail"), none.alias("lefts"), none.alias("rights")
             )
