@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections.abc import Callable, Iterator, Sequence
 from functools import lru_cache
@@ -13,7 +14,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
 from adjudica.llm.common import by_bytes, documents, query, small_batches
-from adjudica.llm.vocabulary import DEFAULT, Coder, loaded, shipped
+from adjudica.llm.vocabulary import DEFAULT, PIECES, UNSURE, Coder, loaded, shipped
 from adjudica.session import materialise
 
 BATCH_BYTES = 8 << 20
@@ -81,21 +82,37 @@ def plan(counts: dict[int, int], capacity: tuple[int, int, int], weights: Sequen
     return runs, bins
 
 
+LONG_BLANKS = re.compile(r"\s{4096}")  # the cut of one text keeps a state for each blank of a run
+
+
+class Encoder:
+    """Ids of whole texts as a buffer, by tiktoken on the merges of the given vocabulary.
+
+    A text in which another version of the character classes, a special token or a very long run of blanks could lead
+    to another cut goes through the pieces of ``Coder``.
+    """
+
+    def __init__(self, data: bytes) -> None:
+        import tiktoken
+
+        vocabulary = loaded(data)
+        ranks = {b: i for i, b in vocabulary.bytes_of.items()}
+        self.engine = tiktoken.Encoding("texts", pat_str=PIECES.pattern, mergeable_ranks=ranks, special_tokens={})._core_bpe
+        self.specials = re.compile("|".join(map(re.escape, vocabulary.specials)) or "(?!)")
+        self.coder = Coder(vocabulary, self._pieces, b"".join, lambda i: np.uint32(i).tobytes(), limit=100_000)
+
+    def _pieces(self, pieces: list[str]) -> list[bytes]:
+        return [np.array(self.engine.encode_single_piece(p.encode()), np.uint32).tobytes() for p in pieces]
+
+    def ids(self, texts: Sequence[str | None]) -> list[bytes]:
+        odd = [t is not None and any(p.search(t) for p in (UNSURE, self.specials, LONG_BLANKS)) for t in texts]
+        slow = iter(self.coder.code([t for t, o in zip(texts, odd) if o]))
+        return [b"".join(next(slow)) if o else bytes(memoryview(self.engine.encode_to_tiktoken_buffer(t or "", set()))) for t, o in zip(texts, odd)]
+
+
 @lru_cache(2)
-def _coder(data: bytes) -> Coder:
-    """Ids of pieces by tiktoken on the merges of the given vocabulary, which are those of the tokenizers library."""
-    import tiktoken
-
-    vocabulary = loaded(data)
-    ranks = {b: i for i, b in vocabulary.bytes_of.items()}
-    engine = tiktoken.Encoding("pieces", pat_str=r"(?s).+", mergeable_ranks=ranks, special_tokens={})._core_bpe
-    return Coder(
-        vocabulary,
-        lambda pieces: [np.array(engine.encode_single_piece(p.encode()), np.uint32).tobytes() for p in pieces],
-        b"".join,
-        lambda i: np.uint32(i).tobytes(),
-        limit=300_000,
-    )
+def _encoder(data: bytes) -> Encoder:
+    return Encoder(data)
 
 
 _PIECES = "doc_id long, piece int, start long, length int, ids_crc32 long, part int, rank long"
@@ -106,11 +123,11 @@ def _cut(data, capacity: int, keep_ids: bool) -> Callable[[Iterator[pa.RecordBat
     end = np.uint32(END_ID).tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder, part, seen = _coder(data.value), TaskContext.get().partitionId(), np.zeros(capacity + 1, np.int64).tolist()
+        encoder, part, seen = _encoder(data.value), TaskContext.get().partitionId(), np.zeros(capacity + 1, np.int64).tolist()
         for table in by_bytes(batches, "text", BATCH_BYTES):
             rows, held = [], []
-            for doc, values in zip(table.column("doc_id").to_pylist(), coder.code(table.column("text").to_pylist())):
-                ids = b"".join([*values, end])
+            for doc, ids in zip(table.column("doc_id").to_pylist(), encoder.ids(table.column("text").to_pylist())):
+                ids += end
                 n = len(ids) // 4
                 start = 0
                 for piece in range(-(-n // capacity)):
