@@ -20,6 +20,7 @@ BATCH_BYTES = 4 << 20
 ROWS_PER_BAND = 5
 LEADER_GROWTH = 6
 MOST_LEADERS = 512  # nodes of a bucket that its members are compared with in one round
+FIRST_BUCKETS = 8  # the first round is for one bucket in so many
 
 
 def permuted(x: np.ndarray, seed: int) -> np.ndarray:
@@ -122,20 +123,28 @@ def _shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _able(sets: DataFrame, members: DataFrame, similarity: Fraction) -> DataFrame:
-    """The nodes among ``members`` that may be linked with another of them, with the share of their shingles that
-    no other has.
+    """The nodes among ``members`` that may be linked with another of them: ``lone``, the share of their shingles that
+    no other has, and the two numbers by which pairs are excluded, ``need`` and ``room``.
 
-    What two sets have in common is no more than what one of them has in common with all others. So a node whose lone
-    shingles are more than the similarity leaves room for has no partner, whatever its signature says. Of the others,
-    those with few lone shingles are near the middle of their group.
+    What two sets have in common is no more than what either of them has in common with all others, ``left``. So sets of
+    n and m shingles are linked only if the smaller ``left`` is at least p (n + m) / (p + q), the similarity being p / q:
+    ``need`` = p m is at most ``room`` = (p + q) left - p n, both ways.
     """
+    p, q = similarity.numerator, similarity.denominator
     held = sets.join(members.select("node").distinct(), "node")
     counts = held.mapInArrow(_shingles, "node binary, shingle long").groupBy("shingle").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("node"))
     lone = counts.where("n = 1").groupBy("node").agg(F.count(F.lit(1)).alias("_lone"))
     sized = held.select("node", (F.octet_length("members") / 8).cast("long").alias("_size")).distinct().join(lone, "node", "left")
-    left = F.col("_size") - F.coalesce("_lone", F.lit(0))
-    fits = left * similarity.denominator >= F.col("_size") * similarity.numerator
-    return materialise(sized.where(fits).select("node", (1 - left / F.col("_size")).alias("lone")), "able")
+    left, size = F.col("_size") - F.coalesce("_lone", F.lit(0)), F.col("_size")
+    fits = left * q >= size * p
+    numbers = [(1 - left / size).alias("lone"), (size * p).alias("need"), (left * (p + q) - size * p).alias("room")]
+    return materialise(sized.where(fits).select("node", *numbers), "able")
+
+
+def _partnered(able: DataFrame) -> DataFrame:
+    """The members of buckets, but those that every member of their bucket is excluded for."""
+    best = able.groupBy("bucket").agg(F.max("room").alias("_room"), F.min("need").alias("_need"))
+    return able.join(best, "bucket").where("_room >= need and room >= _need").drop("_room", "_need")
 
 
 def _joined(labels: DataFrame, links: DataFrame) -> DataFrame:
@@ -155,9 +164,10 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wo
     Documents with equal sets are one node from the start, so copies cost one row each. The other nodes meet in
     buckets, one for each band of their signature. Links are confirmed on the full sets, never estimated. A bucket
     doesn't form all its pairs: in each round some of its nodes are compared with those of its members that are in
-    another component by then, and leave the bucket; it is done when the rest is one component. Nodes that have too many
-    shingles which none of the others has leave it too, as they can't be linked, and those with the fewest such
-    shingles are compared first. So a group of n near copies takes about n comparisons, and yet no two members of a
+    another component by then, and leave the bucket; it is done when the rest is one component. The first round is for
+    one bucket in eight. After it, shingles which none of the others has tell which nodes and pairs can't be linked:
+    such pairs aren't compared, nodes without any other pair leave, and those with the fewest such shingles are
+    compared first. So a group of n near copies takes about n comparisons, and yet no two members of a
     bucket stay unlinked without a proof or being connected. Two nodes at the threshold share no bucket with a probability below ``miss``.
 
     Returns one row per row of the input: doc_id, text_key (a hash of the text), n_shingles, component_id (the smallest id of the component) and kept
@@ -190,28 +200,34 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wo
     sets = materialise(picked.select("node", "text").mapInArrow(_sets(words), "node binary, members binary"), "sets")
 
     labels = materialise(members.select("node").distinct().select("node", F.col("node").alias("label")), "labels")
-    leaders = 1
+    leaders, first_round = 1, True
     while not members.isEmpty():
-        lone = F.lit(0.0).alias("lone") if leaders == 1 else F.col("lone")
-        able = members if leaders == 1 else members.join(_able(sets, members, exact), "node")
-        known = materialise(able.join(labels, "node").select("bucket", "node", lone, "label"), "known")
+        if first_round:  # most near copies meet in few buckets; the others then are of one component already
+            able = members.where(F.pmod(F.col("bucket"), F.lit(FIRST_BUCKETS)) == 0).withColumns(
+                {"lone": F.lit(0.0), "need": F.lit(0).cast("long"), "room": F.lit(0).cast("long")}
+            )
+        else:
+            able = _partnered(members.join(_able(sets, members, exact), "node"))
+        known = materialise(able.join(labels, "node").select("bucket", "node", "lone", "need", "room", "label"), "known")
         first = F.row_number().over(Window.partitionBy("bucket").orderBy("lone", "node"))
         heads = materialise(known.withColumn("_n", first).where(F.col("_n") <= leaders).drop("_n", "lone"), "heads")
-        other = heads.select("bucket", F.col("node").alias("head"), F.col("label").alias("head_label"))
+        other = heads.select("bucket", *[F.col(c).alias(f"head_{c}") for c in ("node", "label", "need", "room")])
         pairs = (
             known.join(other, "bucket")
-            .where("label <> head_label")
-            .select(F.least("node", "head").alias("a"), F.greatest("node", "head").alias("b"))
+            .where("label <> head_label and need <= head_room and head_need <= room")
+            .select(F.least("node", "head_node").alias("a"), F.greatest("node", "head_node").alias("b"))
             .distinct()
         )
         with_a = pairs.join(sets.select(F.col("node").alias("a"), F.col("members").alias("set_a")), "a")
         with_both = with_a.join(sets.select(F.col("node").alias("b"), F.col("members").alias("set_b")), "b")
         found = materialise(with_both.select("a", "b", "set_a", "set_b").mapInArrow(_confirm(exact), "a binary, b binary"), "links")
         labels = _joined(labels, found)
-        rest = known.select("bucket", "node").join(heads.select("bucket", "node"), ["bucket", "node"], "left_anti").join(labels, "node")
+        rest = (members if first_round else known).select("bucket", "node")
+        rest = rest.join(heads.select("bucket", "node"), ["bucket", "node"], "left_anti").join(labels, "node")
         open_buckets = rest.groupBy("bucket").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x <> y").select("bucket")
         members = materialise(rest.join(open_buckets, "bucket").select("bucket", "node"), "members")
-        leaders = min(LEADER_GROWTH * leaders, MOST_LEADERS)
+        leaders = 1 if first_round else min(LEADER_GROWTH * leaders, MOST_LEADERS)
+        first_round = False
 
     tied = labels.join(nodes.select("node", "least_id"), "node")
     least = tied.groupBy("label").agg(F.min("least_id").alias("group_id"))
