@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Callable, Iterator
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from adjudica.llm.common import by_bytes, documents, query, small_batches, text_buffer
@@ -17,7 +17,7 @@ SPAN = 128  # bytes the network reads at a time; longer texts are cut into such
 LANES = 2048  # spans read side by side
 BATCH_BYTES = 4 << 20
 UNKNOWN = "und"
-_LETTER = re.compile(r"[^\W\d_]")
+_LETTER = regex.compile(r"\p{L}")
 
 
 class Model(NamedTuple):
@@ -198,10 +198,12 @@ def train(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str =
     """
     small_batches(docs.sparkSession)
     rows = docs.where(F.col(lang).isNotNull() & F.col(key).isNotNull() & (F.octet_length(text) > 0))
-    picked = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id"))
-    narrow = rows.select(F.col(key).alias("doc_id"), F.col(lang).alias("lang")).withColumn("_n", picked)
-    ids = narrow.where(F.col("_n") <= sample).select(F.col("doc_id").alias("at")).distinct()
-    texts = rows.join(F.broadcast(ids), F.col(key) == F.col("at")).select(F.col(lang).alias("lang"), F.col(text).alias("text"))
+    rows = rows.select(F.col(key).alias("at"), F.col(lang).alias("lang"), F.xxhash64(text).alias("text_key"), F.col(text).alias("text"))
+    # Rows of one id are told apart by their texts, and a repeated row counts once.
+    row = ["lang", "at", "text_key"]
+    picked = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("at"), "at", "text_key"))
+    ids = rows.select(*row).distinct().withColumn("_n", picked).where(F.col("_n") <= sample).drop("_n")
+    texts = rows.join(F.broadcast(ids), row).dropDuplicates(row).select("lang", "text")
     found = sorted((r["lang"], bytes(r["span"])) for r in texts.mapInArrow(_spans(size, spans), "lang string, span binary").collect())
     if not found:
         return None
