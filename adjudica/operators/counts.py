@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from adjudica.operators.joins import null_safe_left
+from adjudica.operators.ordered import SUM, placed, running
 
 
 def members(*columns: str | Column) -> Column:
@@ -30,53 +31,23 @@ def shares(df: DataFrame, key: str) -> DataFrame:
     return counts.withColumn("pct", F.round(F.col("n") / total * 100, 1))
 
 
-def exact_median(
-    df: DataFrame, keys: Sequence[str], value: str, name: str, accuracy: int = 10_000
-) -> DataFrame:
+def exact_median(df: DataFrame, keys: Sequence[str], value: str, name: str) -> DataFrame:
     """Exact interpolating median per group, without holding a group's values in one place.
 
-    A quantile sketch brackets the middle of each group. Counting the rows below, inside and above the
-    bracket is exact, so it tells for certain which part holds the middle ranks; only the values of that
-    part are sorted, each distinct one once. A bad bracket costs time, never the result. Brackets and counts of few
-    groups are small, which Spark finds out by their size and then broadcasts them.
+    The input is read once and counted by value on the map side. The distinct values are dealt by ranges and their counts
+    added up along them, so a group of any size spans many tasks, and the value at a middle rank is the one whose sum
+    first reaches it. Null values are left out; null keys are a group.
     """
-    keys = list(keys)
-    rows = df.select(*keys, F.col(value).cast("double").alias("_v")).where("_v is not null")
-    margin = 4.0 / accuracy
-    cuts = rows.groupBy(*keys).agg(
-        F.percentile_approx("_v", [0.5 - margin, 0.5 + margin], accuracy).alias("_cuts")
-    )
-    parted = null_safe_left(rows, cuts, keys).select(
-        *keys,
-        "_v",
-        F.when(F.col("_v") < F.col("_cuts")[0], 0).when(F.col("_v") <= F.col("_cuts")[1], 1).otherwise(2).alias("_part"),
-    )
-    sizes = parted.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("_n"),
-        F.count(F.when(F.col("_part") == 0, 1)).alias("_n0"),
-        F.count(F.when(F.col("_part") <= 1, 1)).alias("_n1"),
-    )
-    # Ranks of the two middle rows and the number of rows before each part.
+    groups = list(keys) or ["_all"]
+    rows = df.withColumn("_all", F.lit(0)).select(*groups, F.col(value).cast("double").alias("_v")).where("_v is not null")
+    times = rows.groupBy(*groups, "_v").agg(F.count(F.lit(1)).alias("_times"))
+    ordered = placed(times, [F.col(f"`{c}`") for c in (*groups, "_v")], "values")
+    # One row per group, which Spark finds out by its size.
+    middles = ordered.groupBy(*groups).agg(F.sum("_times").alias("_n"))
+    upto = null_safe_left(running(ordered, groups, {"_upto": (SUM, F.col("_times"))}), middles, groups)
+
+    def value_at(rank: Column) -> Column:
+        return F.max(F.when((F.col("_upto") >= rank) & (F.col("_upto") - F.col("_times") < rank), F.col("_v")))
+
     low, high = F.floor((F.col("_n") + 1) / 2), F.floor(F.col("_n") / 2) + 1
-    before = F.when(F.col("_part") == 0, F.lit(0)).when(F.col("_part") == 1, F.col("_n0")).otherwise(F.col("_n1"))
-    after = F.when(F.col("_part") == 0, F.col("_n0")).when(F.col("_part") == 1, F.col("_n1")).otherwise(F.col("_n"))
-    near = (
-        null_safe_left(parted, sizes.withColumns({"_low": low, "_high": high}), keys)
-        .where((before < F.col("_high")) & (after >= F.col("_low")))
-        .groupBy(*keys, "_part", "_v")
-        .agg(
-            F.count(F.lit(1)).alias("_times"),
-            F.first(before).alias("_before"),
-            F.first("_low").alias("_low"),
-            F.first("_high").alias("_high"),
-        )
-    )
-    running = Window.partitionBy(*keys, "_part").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
-    placed = near.withColumn("_upto", F.col("_before") + F.sum("_times").over(running))
-
-    def value_at(rank: str) -> Column:
-        return F.max(
-            F.when((F.col("_upto") >= F.col(rank)) & (F.col("_upto") - F.col("_times") < F.col(rank)), F.col("_v"))
-        )
-
-    return placed.groupBy(*keys).agg(((value_at("_low") + value_at("_high")) / 2).alias(name))
+    return upto.groupBy(*groups).agg(((value_at(low) + value_at(high)) / 2).alias(name)).select(*keys, name)

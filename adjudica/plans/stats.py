@@ -33,23 +33,26 @@ def yearly_stats(df: DataFrame, current: DataFrame, as_of: date, first_year: int
     """Publications, awards, amounts, buyers and holders per year, with a row for every year up to ``as_of``."""
     spark = df.sparkSession
     years = spark.range(first_year, as_of.year + 1).select(F.col("id").cast("int").alias("annee"))
-    published = current.groupBy(F.year("datePublicationDonnees").alias("annee")).agg(
-        F.count(F.lit(1)).alias("nb_publications_marches")
-    )
-    awarded = current.withColumn("annee", F.year("dateNotification"))
-    totals = awarded.groupBy("annee").agg(
-        F.count(F.lit(1)).alias("nb_notifications_marches"),
-        F.sum(F.col("montant").cast("decimal(38,6)")).alias("_sum"),
-        members("acheteur_id").alias("nb_acheteurs_uniques"),
+    # Each record counts in its year of publication and in its year of award; one pass over the records finds both.
+    figures = F.explode(F.array(*[
+        F.struct(F.year(day).alias("annee"), F.lit(award).alias("award"))
+        for day, award in (("datePublicationDonnees", False), ("dateNotification", True))
+    ])).alias("figure")
+    counted = current.select(figures, "montant", "acheteur_id").select("figure.*", "montant", "acheteur_id").groupBy("annee").agg(
+        F.count(F.when(~F.col("award"), 1)).alias("nb_publications_marches"),
+        F.count(F.when(F.col("award"), 1)).alias("nb_notifications_marches"),
+        F.sum(F.when(F.col("award"), F.col("montant").cast("decimal(38,6)"))).alias("_sum"),
+        F.countDistinct(F.when(F.col("award"), F.struct("acheteur_id"))).alias("nb_acheteurs_uniques"),
     )
+    awarded = current.select(F.year("dateNotification").alias("annee"), "montant")
     medians = exact_median(awarded, ["annee"], "montant", "_median")
     holders = df.groupBy(F.year("dateNotification").alias("annee")).agg(
         members("titulaire_id").alias("nb_titulaires_uniques")
     )
     joined = years
-    for part in (published, totals, medians, holders):
+    for part in (counted, medians, holders):
         joined = joined.join(part, "annee", "left")
-    happened = F.col("nb_notifications_marches").isNotNull()
+    happened = F.col("nb_notifications_marches") > 0
     return joined.select(
         "annee",
         F.coalesce("nb_publications_marches", F.lit(0)).alias("nb_publications_marches"),

@@ -46,8 +46,8 @@ def test_ranks_are_dense_and_end_at_ten(frame):
     assert scores.ranked_shares(got.select(F.lit(1).alias("g"), "cpv"), "g", "cpv", 1).count() == 14  # all tie
 
 
-@pytest.mark.parametrize("accuracy", [10_000, 20])
-def test_median_is_exact(frame, accuracy):
+@pytest.mark.parametrize("ranges", [1, 4])
+def test_median_is_exact(spark, frame, ranges):
     groups = {
         "even": [4.0, 1.0, 3.0, 2.0],
         "odd": [5.0, 1.0, 1.0],
@@ -57,8 +57,17 @@ def test_median_is_exact(frame, accuracy):
         "spread": [float(i * 37 % 1009) for i in range(1008)],
     }
     data = [(g, v) for g, vs in groups.items() for v in vs] + [("void", None), (None, 1.0), (None, 2.0)]
-    got = dict(rows(counts.exact_median(frame("g string, v double", *data), ["g"], "v", "m", accuracy)))
+    name, df = "spark.sql.adaptive.coalescePartitions.enabled", frame("g string, v double", *data)
+    before = spark.conf.get(name)
+    spark.conf.set(name, ranges == 1)  # if not, one group spans several ranges
+    try:
+        got = dict(rows(counts.exact_median(df, ["g"], "v", "m")))
+        overall = rows(counts.exact_median(df, [], "v", "m"))
+    finally:
+        spark.conf.set(name, before)
     assert got == {**{g: median(v) for g, v in groups.items()}, None: 1.5}
+    assert overall == [(median([v for _, v in data if v is not None]),)]
+    assert rows(counts.exact_median(df.limit(0), ["g"], "v", "m")) == []
 
 
 def test_shares(frame):
