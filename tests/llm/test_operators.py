@@ -491,3 +491,14 @@ def test_the_automaton_is_minimal_and_has_the_further_rules():
     assert len(scanner.forward.table) < scanner.forward.subsets
     text = "-----BEGIN RSA PRIVATE KEY----- ghp_" + "a1B2" * 9
     assert [k for k, _, _ in secrets.spans_of(text, secrets.BASE + secrets.MORE)] == ["key", "forge"]
+
+
+def test_edited_fingerprints_are_those_of_the_edited_texts(frame):
+    random = np.random.default_rng(6)
+    letters = list("abAB  \t.Σσİéß漢😀")
+    texts = ["".join(random.choice(letters, n)) for n in [*range(0, 90, 3), *range(90, 900, 37)]]
+    texts += ["ab cd " * 40, "a" * 300, "ΟΔΟΣ" * 12, "", "x" * 29 + "Σ" + "y" * 15, *("".join(random.choice(list("abcd "), n)) for n in range(20, 120))]
+    found = winnowing.fingerprints(frame("doc_id long, text string", *enumerate(texts)))
+    again = winnowing.winnow(found.select("doc_id", "edited", "edited_fingerprint"), "edited", "afresh").collect()
+    assert len(again) == len(texts)
+    assert [r.doc_id for r in again if r.afresh != r.edited_fingerprint] == []
