@@ -11,7 +11,8 @@ from adjudica.functions import geo
 from adjudica.operators import joins
 from adjudica.operators.versions import number_versions
 from adjudica.plans import enrich as enriching
-from adjudica.plans import geocache, registers
+from adjudica.plans import geocache, monthly, registers
+from adjudica.session import work_path
 
 
 def companies(spark, sf):
@@ -363,3 +364,54 @@ def derived_columns(spark, sf):
         F.col("dureeRestanteMois").alias("months_left"),
         "type",
     )
+
+
+@query("""
+WITH geo AS (SELECT lpad(CAST(n_nationkey AS VARCHAR), 5, '0') AS code, n_name,
+    CASE WHEN n_nationkey < 20 THEN 'Dept ' || r_name ELSE 'Terr ' || n_name END AS dep, CASE WHEN n_nationkey < 20 THEN r_name ELSE 'Terr ' || n_name END AS reg
+  FROM nation JOIN region ON n_regionkey = r_regionkey)
+SELECT lpad(CAST(s_suppkey AS VARCHAR), 14, '0') AS siret, lpad(CAST(s_nationkey AS VARCHAR), 5, '0') AS commune_code, s_name AS etablissement_nom,
+  n_name AS commune_nom, dep AS departement_nom, reg AS region_nom, CASE WHEN s_acctbal > 0 THEN CAST(s_acctbal AS DOUBLE) END AS latitude,
+  c_name AS company
+FROM supplier LEFT JOIN geo ON code = lpad(CAST(s_nationkey AS VARCHAR), 5, '0') LEFT JOIN customer ON c_custkey = s_suppkey
+""")
+def monthly_registers(spark, sf):
+    """Registers of one month as one job, read again: suppliers as sites, customers as companies."""
+    nation, region = table(spark, sf, "nation"), table(spark, sf, "region")
+    overseas, territory = F.col("n_nationkey") >= 20, F.concat(F.lit("T"), F.col("n_nationkey").cast("string"))
+    supplier, customer = table(spark, sf, "supplier"), table(spark, sf, "customer")
+    code, dept = F.col("n_regionkey").cast("string"), F.concat(F.lit("D"), F.col("r_regionkey").cast("string"))
+    commune = F.lpad(F.col("n_nationkey").cast("string"), 5, "0")
+    raw = monthly.RawRegisters(
+        companies=customer.select(
+            F.col("c_custkey").cast("string").alias("siren"),
+            F.col("c_name").alias("denominationUniteLegale"),
+            *[F.lit(None).cast("string").alias(c) for c in ("prenomUsuelUniteLegale", "nomUniteLegale", "nomUsageUniteLegale")],
+            F.lit("O").alias("statutDiffusionUniteLegale"),
+            F.col("c_mktsegment").alias("categorieEntreprise"),
+            F.lit("7210").alias("categorieJuridiqueUniteLegale"),
+        ),
+        sites=supplier.select(
+            F.col("s_suppkey").cast("string").alias("siret"),
+            F.col("s_nationkey").cast("string").alias("codeCommuneEtablissement"),
+            F.lit(None).cast("string").alias("enseigne1Etablissement"),
+            F.col("s_name").alias("denominationUsuelleEtablissement"),
+            F.lit("01.1A").alias("activitePrincipaleEtablissement"),
+            F.lit("NAFRev2").alias("nomenclatureActivitePrincipaleEtablissement"),
+        ),
+        communes=nation.where(~overseas).select(
+            commune.alias("COM"), F.col("n_name").alias("LIBELLE"), code.alias("REG"), F.concat(F.lit("D"), code).alias("DEP")
+        ),
+        overseas_communes=nation.where(overseas).select(commune.alias("COM_COMER"), F.col("n_name").alias("LIBELLE"), territory.alias("COMER")),
+        departments=region.select(dept.alias("DEP"), F.concat(F.lit("Dept "), "r_name").alias("LIBELLE")),
+        overseas_departments=nation.where(overseas).select(territory.alias("COMER"), F.concat(F.lit("Terr "), "n_name").alias("LIBELLE")),
+        regions=region.select(F.col("r_regionkey").cast("string").alias("REG"), F.col("r_name").alias("LIBELLE")),
+        coordinates=supplier.where("s_acctbal > 0").select(as_id("s_suppkey").alias("siret"), F.col("s_acctbal").cast("double").alias("latitude")),
+    )
+    folder = work_path(spark, "registers")
+    monthly.refresh(spark, raw, folder, "2026-05")
+    made = monthly.read_registers(spark, folder, "2026-05")
+    named = made["companies"].select(F.lpad("siren", 14, "0").alias("siret"), F.col("denominationUniteLegale").alias("company"))
+    return made["sites"].join(named, "siret", "left").select(
+        "siret", "commune_code", "etablissement_nom", "commune_nom", "departement_nom", "region_nom", "latitude", "company"
+    )

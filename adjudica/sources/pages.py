@@ -10,15 +10,37 @@ JSON_PATH = "/json/"
 INTERFACE_SOURCE = "scrap_aife_dume"
 
 
-# The entities that occur in addresses.
-ENTITIES = {"&quot;": '"', "&#34;": '"', "&#39;": "'", "&apos;": "'", "&lt;": "<", "&gt;": ">", "&#38;": "&", "&amp;": "&"}
+# Named entities that occur in addresses, and the ampersand in all its spellings.
+ENTITIES = {"&quot;": '"', "&apos;": "'", "&lt;": "<", "&gt;": ">"}
+NUMBERED = r"&#(?:[0-9]{1,7}|[xX][0-9a-fA-F]{1,6});"
+AMPERSAND = r"&(?:amp|#0{0,5}38|#[xX]0{0,4}26);"
+# Not part of a page's elements: comments, also those never closed, and what scripts and styles hold.
+UNSEEN = r"(?is)<!--.*?(?:-->|$)|<(script|style)\b[^>]*>.*?(?:</\1\s*>|$)"
+
+
+def _character(entity: Column) -> Column:
+    """The character of a numbered entity; the entity itself where the number is none of a character."""
+    digits = F.regexp_extract(entity, "([0-9a-fA-F]+);", 1)
+    code = F.when(F.lower(entity).startswith("&#x"), F.conv(digits, 16, 10)).otherwise(digits).cast("int")
+    is_one = code.between(1, 0xD7FF) | code.between(0xE000, 0x10FFFF)
+    # Decoded only where there is such a character: four bytes, the highest first.
+    safe = F.when(is_one, code).otherwise(F.lit(0))
+    return F.when(is_one, F.decode(F.unhex(F.lpad(F.hex(safe.cast("long")), 8, "0")), "UTF-32")).otherwise(entity)
 
 
 def unescaped(c: Column) -> Column:
-    """Text with its entities decoded, the ampersand last."""
+    """Text with its entities decoded once, the ampersand last, so ``&amp;lt;`` becomes ``&lt;``."""
     for entity, character in ENTITIES.items():
         c = F.replace(c, F.lit(entity), F.lit(character))
-    return c
+    found = F.array_distinct(F.regexp_extract_all(c, F.lit(NUMBERED), F.lit(0)))
+    others = F.filter(found, lambda e: ~F.rlike(e, F.lit(f"^{AMPERSAND}$")))
+    c = F.aggregate(others, c, lambda text, e: F.replace(text, e, _character(e)))
+    return F.regexp_replace(c, AMPERSAND, "&")
+
+
+def elements_only(html: Column) -> Column:
+    """A page without comments, scripts and styles, whose links are no links of the page."""
+    return F.regexp_replace(html, UNSEEN, " ")
 
 
 def _attribute(name: str) -> str:
@@ -33,14 +55,14 @@ def _value(tag: Column, name: str) -> Column:
 
 def all_links(df: DataFrame, html: str = "html") -> DataFrame:
     """One row per link of a page, entities decoded."""
-    found = F.regexp_extract_all(html, F.lit(_attribute("href")), F.lit(0))
+    found = F.regexp_extract_all(elements_only(F.col(html)), F.lit(_attribute("href")), F.lit(0))
     links = F.filter(F.transform(found, lambda a: _value(a, "href")), lambda x: x.isNotNull())
     return df.withColumn("link", F.explode(links)).drop(html)
 
 
 def titled_links(df: DataFrame, html: str = "html", title: str = JSON_LINK_TITLE, site: str = "") -> DataFrame:
     """Links of the anchors with a given title, whatever the order of their attributes."""
-    anchors = F.regexp_extract_all(html, F.lit(r"(?s)<a\b[^>]*>"), F.lit(0))
+    anchors = F.regexp_extract_all(elements_only(F.col(html)), F.lit(r"(?is)<a\b[^>]*>"), F.lit(0))
     wanted = F.filter(anchors, lambda a: _value(a, "title") == title)
     links = F.transform(wanted, lambda a: F.concat(F.lit(site), _value(a, "href")))
     return df.withColumn("link", F.explode(F.filter(links, lambda x: x.isNotNull()))).drop(html)

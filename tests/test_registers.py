@@ -4,7 +4,7 @@ import pytest
 from conftest import rows, values
 
 from adjudica.plans import enrich as enriching
-from adjudica.plans import geocache, registers
+from adjudica.plans import geocache, monthly, registers
 
 COMPANIES = "siren string, denominationUniteLegale string, categorieEntreprise string, categorieJuridiqueUniteLegale string"
 RAW_COMPANIES = (
@@ -221,3 +221,43 @@ def test_seeded_cache(frame):
         ("12345678901234", 48.85, "decp", None, None, "success"),
         ("98765432109876", 1.0, "decp", None, None, "success"),  # as a buyer before as a holder
     ]
+
+
+def _raw(frame, name="Adour", **more):
+    company = "siren string, denominationUniteLegale string, prenomUsuelUniteLegale string, nomUniteLegale string, nomUsageUniteLegale string, statutDiffusionUniteLegale string, categorieEntreprise string, categorieJuridiqueUniteLegale string"
+    site = "siret string, codeCommuneEtablissement string, enseigne1Etablissement string, denominationUsuelleEtablissement string, activitePrincipaleEtablissement string, nomenclatureActivitePrincipaleEtablissement string"
+    tables = dict(
+        companies=frame(company, ("111", name, None, None, None, "O", "PME", "5710"), (None, "x", None, None, None, "O", "PME", "5710")),
+        sites=frame(site, ("11100000000017", "1004", None, "Quay", "01.1A", "NAFRev2"), (None, "1004", None, "lost", None, None), ("222", "99999", "Shop", None, None, None)),
+        communes=frame("COM string, LIBELLE string, REG string, DEP string", ("01004", "Bayonne", "75", "64")),
+        overseas_communes=frame("COM_COMER string, LIBELLE string, COMER string", ("97501", "Miquelon", "975")),
+        departments=frame("DEP string, LIBELLE string", ("64", "Pyrenees")),
+        overseas_departments=frame("COMER string, LIBELLE string", ("975", "Saint-Pierre")),
+        regions=frame("REG string, LIBELLE string", ("75", "Aquitaine")),
+        coordinates=frame("siret string, latitude double, longitude double", ("11100000000017", 43.5, -1.5)),
+    )
+    return monthly.RawRegisters(**{**tables, **more})
+
+
+def test_monthly_registers_are_one_job_that_goes_on_where_it_stopped(spark, frame, tmp_path):
+    folder = str(tmp_path)
+    made = monthly.refresh(spark, _raw(frame), folder, "2026-05")
+    found = rows(made["sites"], "siret", "commune_nom", "departement_nom", "region_nom", "etablissement_nom", "latitude")
+    assert found == [("00000000000222", None, None, None, "Shop", None), ("11100000000017", "Bayonne", "Pyrenees", "Aquitaine", "Quay", 43.5)]
+    assert rows(made["geo"], "commune_code", "departement_nom") == [("01004", "Pyrenees"), ("97501", "Saint-Pierre")]
+    monthly.refresh(spark, _raw(frame, "Nive"), folder, "2026-05")
+    assert values(monthly.read_registers(spark, folder, "2026-05")["companies"], "denominationUniteLegale") == ["Adour"]
+    (tmp_path / "companies" / "month=2026-05" / "_SUCCESS").unlink()  # as if the run had been cut off while it wrote
+    monthly.refresh(spark, _raw(frame, "Nive"), folder, "2026-05")
+    assert values(monthly.read_registers(spark, folder, "2026-05")["companies"], "denominationUniteLegale") == ["Nive"]
+    assert values(monthly.refresh(spark, _raw(frame, "Gave"), folder, "2026-05", again=True)["companies"], "denominationUniteLegale") == ["Gave"]
+    monthly.refresh(spark, _raw(frame, "Luy", coordinates=None), folder, "2026-06")
+    assert "latitude" not in monthly.read_registers(spark, folder, "2026-06")["sites"].columns
+    assert values(monthly.read_registers(spark, folder, "2026-05")["companies"], "denominationUniteLegale") == ["Gave"]
+
+
+def test_no_site_is_written_without_places(spark, frame, tmp_path):
+    none = _raw(frame, communes=frame("COM string, LIBELLE string, REG string, DEP string"), overseas_communes=frame("COM_COMER string, LIBELLE string, COMER string"))
+    with pytest.raises(ValueError):
+        monthly.refresh(spark, none, str(tmp_path), "2026-05")
+    assert not (tmp_path / "sites").exists()

@@ -342,3 +342,23 @@ def test_large_documents_give_the_records_of_small_ones(spark, tmp_path):
                 assert want.count() == 240 and rows(got) == rows(want)
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_links_in_comments_scripts_and_styles_are_none(frame):
+    page = (
+        '<!-- <a href="/old">x</a> --><script type="t">var a = \'<a href="/made">\';</script><STYLE>a[href="/s"]{}</STYLE >'
+        '<a href="/one">1</a><scripted href="/two"/><A HREF=\'/three\'>3</A><!-- never closed <a href="/four">'
+    )
+    assert sorted(values(pages.all_links(frame("html string", (page,), (None,), ("",))), "link")) == ["/one", "/three", "/two"]
+
+
+def test_entities_are_decoded_once(frame):
+    texts = {
+        "/caf&#233;&#xE9;&#X1F600;": "/caf\u00e9\u00e9\U0001f600",
+        "/a?b=1&amp;c=2&#38;d&#x26;e": "/a?b=1&c=2&d&e",
+        "/&amp;lt;&amp;#233;&#38;amp;": "/&lt;&#233;&amp;",
+        "/&#0;&#xD800;&#9999999;&nbsp;": "/&#0;&#xD800;&#9999999;&nbsp;",
+        "/&lt;&quot;&apos;&#39;": "/<\"''",
+    }
+    df = frame("k string", *[(k,) for k in texts])
+    assert dict(rows(df.select("k", pages.unescaped(pages.F.col("k")).alias("v")))) == texts
