@@ -151,10 +151,15 @@ WINDOWS = (
 def decoded(content: Column, encoding: Column) -> Column:
     """Bytes as text by the name of their encoding; one that isn't known is taken as UTF-8."""
     latin = F.decode(content, "ISO-8859-1")
+
+    def differing(table: tuple[str, str]) -> Column:
+        # Most texts have none of these characters, and a search is much faster than a look at each of them.
+        return F.when(F.rlike(latin, F.lit(f"[{table[0]}]")), F.translate(latin, *table)).otherwise(latin)
+
     return (
         F.when(encoding == "ISO-8859-1", latin)
-        .when(encoding == "ISO-8859-15", F.translate(latin, *LATIN_9))
-        .when(encoding == "WINDOWS-1252", F.translate(latin, *WINDOWS))
+        .when(encoding == "ISO-8859-15", differing(LATIN_9))
+        .when(encoding == "WINDOWS-1252", differing(WINDOWS))
         .otherwise(content.cast("string"))
     )
 

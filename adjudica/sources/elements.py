@@ -56,7 +56,7 @@ def read_elements(spark: SparkSession, *paths: str, tag: str = "marche") -> tupl
     each = pieces.select("path", "place", "open_end", F.size("pieces").alias("n"), F.posexplode("pieces").alias("i", "piece"))
     opened = each.where(F.col("piece").rlike(rf"^<{tag}[\s>]"))
     # The end tag was taken away with the cut; one that is written with a blank is still there.
-    spaced = F.regexp_extract("piece", rf"(?s)^.*?</{tag}\s+>", 0)
+    spaced = F.when(F.contains("piece", F.lit(f"</{tag}")), F.regexp_extract("piece", rf"(?s)^.*?</{tag}\s+>", 0)).otherwise("")
     unended = (F.col("i") < F.col("n") - 1) | F.coalesce(F.col("place") == F.col("open_end"), F.lit(False))
     element = F.when(spaced != "", spaced).when(unended, F.col("piece")).otherwise(F.concat("piece", F.lit(end)))
     return opened.select("path", element.alias("element"), ((spaced == "") & unended).alias("cut")), files.select("path", "encoding", "whole")
@@ -67,7 +67,8 @@ def judged(elements: DataFrame) -> DataFrame:
     options = {"columnNameOfCorruptRecord": "_corrupt", "ignoreSurroundingSpaces": "true", "mode": "PERMISSIVE"}
     origin = [c for c in elements.columns if c not in ("element", "cut")]
     record = F.from_xml("element", XML_RECORD + ", _corrupt string", options)
-    parsed = elements.select(*origin, "element", "cut", F.when(~F.col("cut"), record).alias("record"))
+    # A row of its own, so that filters and columns take the record that was read and Spark never reads it again for each.
+    parsed = elements.select(*origin, "element", F.explode(F.array(F.when(~F.col("cut"), record))).alias("record"))
     bad = F.col("record").isNull() | F.col("record._corrupt").isNotNull()
     return parsed.select(*origin, F.when(bad, F.col("element")).alias(REJECTED), *[F.when(~bad, F.col(f"record.{n}")).alias(n) for n in XML_NAMES])
 

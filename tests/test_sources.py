@@ -181,6 +181,13 @@ def test_elements_are_the_same_however_a_file_is_split(spark, tmp_path):
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
 
 
+def test_each_element_is_parsed_once(frame):
+    found = elements.judged(frame("path string, element string, cut boolean", ("p", "<marche><id>1</id></marche>", False), ("p", "<marche><id>2</marche>", False), ("p", None, True)))
+    good = documents.flatten_xml(found.where(f"{elements.REJECTED} is null and id is not null").drop(elements.REJECTED))
+    assert good._jdf.queryExecution().executedPlan().toString().count("from_xml(") == 1
+    assert values(good, "id") == ["1"] and sorted(values(found, elements.REJECTED), key=str) == ["<marche><id>2</marche>", None, None]
+
+
 def test_lines_that_are_no_record_are_reported(spark, tmp_path):
     (tmp_path / "lines.json").write_text('{"id":"1"}\n{"id":"2",\n\n  \n[1]\n"x"\n{"id":"3"}\n')
     assert values(documents.read_record_lines(spark, str(tmp_path)), "id") == ["1", "3"]
