@@ -10,6 +10,7 @@ from adjudica.operators.columns import any_filled, starting_with
 from adjudica.operators.dedup import keep_first
 from adjudica.operators.joins import null_safe_left
 from adjudica.operators.ordered import LAST, placed, running
+from adjudica.session import materialise
 
 
 def _ascending(names: Sequence[str]) -> list[Column]:
@@ -42,8 +43,9 @@ def apply_versions(
     the date; what is in ``carry`` keeps its last value where an amendment leaves it out. All other
     columns come from the base row of the key.
 
-    The base row is chosen with one row per key left in every map task. It and the amendments are then dealt by ranges of
-    key and date, along which the carried values go forward and the columns of the base row both ways.
+    The base row is chosen with one row per key left in every map task. Where a key has no amendment, that row is the
+    result. Else it and the amendments are dealt by ranges of key and date, along which the carried values go forward and
+    the columns of the base row both ways.
     """
     source_of = {
         c.removeprefix(prefix).removesuffix(suffix): c for c in starting_with(df, prefix) if c != f"{prefix}id"
@@ -52,11 +54,22 @@ def apply_versions(
     keys = list(keys)
     plain = [c for c in df.columns if not c.startswith(prefix)]
     fixed = [c for c in plain if c not in versioned and c not in keys]
-    types = {f.name: f.dataType for f in df.schema}
-    kind = {c: types[c] if c in types else types[source_of[c]] for c in versioned}
     order = [changing[0], "_amended", *[c for c in versioned[1:] if c not in carry]]
     carry = list(carry)
 
+    has_amendment = any_filled(source_of.values())
+    # A key with a null matches none here and goes with the amended ones, where nulls are equal.
+    hits = df.where(has_amendment).select(*keys).distinct().withColumn("_hit", F.lit(True))
+    amended = F.col("_hit").isNotNull()
+    for k in keys:
+        amended = amended | F.col(f"`{k}`").isNull()
+    # Written once, since both kinds of records come from it.
+    base = keep_first(df.select(*plain), keys).join(hits, keys, "left").withColumn("_is_amended", amended).drop("_hit")
+    base = materialise(base, "base", ["_is_amended"])
+
+    # What was written may hold nulls on every level, so its types are those to cast to.
+    types = {f.name: f.dataType for f in [*df.schema, *base.schema]}
+    kind = {c: types[c] if c in types else types[source_of[c]] for c in versioned}
     original = F.struct(
         *[(F.col(c) if c in plain else F.lit(None)).cast(kind[c]).alias(c) for c in versioned], F.lit(0).alias("_amended")
     )
@@ -64,18 +77,18 @@ def apply_versions(
         *[(F.col(source_of[c]) if c in source_of else F.lit(None)).cast(kind[c]).alias(c) for c in versioned],
         F.lit(1).alias("_amended"),
     )
-    has_amendment = any_filled(source_of.values())
-
-    base = keep_first(df.select(*plain), keys)
-    first = base.select(*keys, F.struct(F.lit(0).alias("_"), *fixed).alias("_fixed"), F.inline(F.array(original)))
     later = df.where(has_amendment).select(*keys, F.inline(F.array(amendment)))
+    # A record without amendments is its own only version.
+    alone = base.where("not _is_amended").select(*keys, *[F.col(c).cast(kind[c]).alias(c) if c in plain else F.lit(None).cast(kind[c]).alias(c) for c in versioned], *fixed)
+    first = base.where("_is_amended").select(*keys, F.struct(F.lit(0).alias("_"), *fixed).alias("_fixed"), F.inline(F.array(original)))
     rows = placed(first.unionByName(later, allowMissingColumns=True), _ascending([*keys, *order, *carry]), "versions")
     values = {f"_fill_{c}": (LAST, F.col(c)) for c in carry}
     filled = running(rows, keys, {**values, "_before": (LAST, F.col("_fixed"))}, {"_after": (LAST, F.col("_fixed"))})
     own = F.coalesce("_before", "_after")
-    return filled.select(
+    versions = filled.select(
         *keys, *[F.col(f"_fill_{c}").alias(c) if c in carry else F.col(c) for c in versioned], *[own[c].alias(c) for c in fixed]
     )
+    return versions.unionByName(alone)
 
 
 def number_versions(

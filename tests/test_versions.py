@@ -172,3 +172,22 @@ def test_primary_key_is_asserted(frame):
     assert_primary_key(df, ["a", "b"])
     with pytest.raises(ValueError):
         assert_primary_key(df, ["a"])
+
+
+def test_records_without_amendments_are_dealt_once(spark, frame):
+    """Rows of keys without amendments skip the ranges; keys with one, and null keys, give what they gave."""
+    df = frame(
+        "uid string, dateNotification string, datePublicationDonnees string, montant string, dureeMois string, titulaires string, objet string, "
+        "modification_dateNotificationModification string, modification_montant string",
+        ("a", "2020", "p", "1", "2", "t", "o", None, None), ("a", "2020", "p", "1", "2", "t", "o", None, None),
+        ("b", "2020", "p", "1", "2", "t", "o", None, None), ("b", "2020", "p", "1", "2", "t", "o", "2021", "7"),
+        (None, "2020", "p", "1", None, "t", "o", None, None), (None, "2020", "p", "1", None, "t", "o", "2022", None),
+    )
+    got = versions.apply_versions(df)
+    assert rows(got, "uid", "dateNotification", "montant", "dureeMois", "objet") == sorted([
+        ("a", "2020", "1", "2", "o"), ("b", "2020", "1", "2", "o"), ("b", "2021", "7", "2", "o"), (None, "2020", "1", None, "o"), (None, "2022", "1", None, "o"),
+    ], key=repr)
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "Union" in plan
+    none = versions.apply_versions(df.where("uid = 'a'"))
+    assert rows(none, "uid", "montant") == [("a", "1")]
