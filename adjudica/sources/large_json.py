@@ -86,7 +86,8 @@ def read_large_documents(spark: SparkSession, *paths: str) -> tuple[DataFrame, D
     ended = ~F.coalesce(F.struct("block", "row") == F.col("open_end"), F.lit(False))
     text = F.concat(json_text(F.col("text")), F.when(ended, "}").otherwise(""))
     order = ["path", "block", "row"]
-    rows = placed(pieces.join(open_end, "path").select(*order, text.alias("text")), order, "scanned")
+    # One row per file, so the pieces needn't be shuffled for it.
+    rows = placed(pieces.join(F.broadcast(open_end), "path").select(*order, text.alias("text")), order, "scanned")
 
     quotes = F.char_length(F.regexp_replace(F.regexp_replace("text", r"(?s)\\.", ""), '[^"]', ""))
     narrow = rows.select("path", PART, PLACE, (quotes % 2).alias("turns"), _levels(F.col("text"), False).alias("outside"), _levels(F.col("text"), True).alias("inside"))
@@ -114,7 +115,8 @@ def read_large_documents(spark: SparkSession, *paths: str) -> tuple[DataFrame, D
     record = (F.col("cuts") - cut.cast("long")).alias("record")
     numbered = numbered.select("path", PART, PLACE, "before", "depth", record)
     parts = rows.drop("block", "row").join(numbered, ["path", PART, PLACE])
-    joined = parts.groupBy("path", "record").agg(
+    # Dealt as they are: lists that are gathered before a shuffle take twice the room, as there are few pieces to a record.
+    joined = parts.repartition("path", "record").groupBy("path", "record").agg(
         F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(PLACE, "text"))), lambda p: p["text"]), "").alias("text"),
         F.min_by("before", PLACE).alias("before"), F.max_by("depth", PLACE).alias("after"),
     )

@@ -351,6 +351,15 @@ def test_large_documents_give_the_records_of_small_ones(spark, tmp_path):
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
 
 
+def test_pieces_of_large_documents_stay_where_they_are_for_the_ends_of_files(spark, tmp_path, monkeypatch):
+    (tmp_path / "one.json").write_text('{"marches": [{"id": "1"}, {"id": "}2"}]}\n')
+    plans, placed = [], large_json.placed
+    monkeypatch.setattr(large_json, "placed", lambda df, *a: plans.append(df._jdf.queryExecution().optimizedPlan().toString()) or placed(df, *a))
+    small, files = large_json.read_large_documents(spark, str(tmp_path))
+    found = documents.records(small.where("readable").drop("readable").join(files.select("path", "layout"), "path"), "2019")
+    assert "strategy=broadcast" in plans[0] and sorted(values(found, "id")) == ["1", "}2"]
+
+
 def test_links_in_comments_scripts_and_styles_are_none(frame):
     page = (
         '<!-- <a href="/old">x</a> --><script type="t">var a = \'<a href="/made">\';</script><STYLE>a[href="/s"]{}</STYLE >'
