@@ -1,5 +1,7 @@
 import json
+import time
 from datetime import date
+from types import SimpleNamespace
 
 import pytest
 from conftest import rows, values
@@ -360,6 +362,27 @@ def test_pieces_of_large_documents_stay_where_they_are_for_the_ends_of_files(spa
     assert "strategy=broadcast" in plans[0] and sorted(values(found, "id")) == ["1", "}2"]
 
 
+def test_files_are_looked_at_side_by_side():
+    class System:
+        def exists(self, place):
+            time.sleep(0.05)
+            return not place.name.startswith("no")
+
+        def getContentSummary(self, place):  # noqa: N802
+            return SimpleNamespace(getLength=lambda: len(place.name))
+
+    def place(name):
+        return SimpleNamespace(name=name, getFileSystem=lambda conf: System())
+
+    jvm = SimpleNamespace(org=SimpleNamespace(apache=SimpleNamespace(hadoop=SimpleNamespace(fs=SimpleNamespace(Path=place)))))
+    fake = SimpleNamespace(_jsc=SimpleNamespace(hadoopConfiguration=lambda: None), _jvm=jvm)
+    paths = [f"{'no' if i % 3 == 0 else 'a'}{i}" for i in range(64)]
+    began = time.monotonic()
+    sizes = tables.file_sizes(fake, paths)
+    assert time.monotonic() - began < 64 * 0.05 / 2
+    assert list(sizes) == paths and all(sizes[p] == (None if p.startswith("no") else len(p)) for p in paths)
+
+
 def test_links_in_comments_scripts_and_styles_are_none(frame):
     page = (
         '<!-- <a href="/old">x</a> --><script type="t">var a = \'<a href="/made">\';</script><STYLE>a[href="/s"]{}</STYLE >'
