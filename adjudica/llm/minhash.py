@@ -9,7 +9,7 @@ from fractions import Fraction
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from adjudica.llm.common import ORACLE, by_bytes, documents, give_back, mix, query, small_batches, text_buffer
 from adjudica.llm.graph import components
@@ -18,9 +18,10 @@ from adjudica.session import materialise
 
 BATCH_BYTES = 4 << 20
 ROWS_PER_BAND = 5
-LEADER_GROWTH = 6
+LEADER_GROWTH = 32
 MOST_LEADERS = 512  # nodes of a bucket that its members are compared with in one round
 FIRST_BUCKETS = 8  # the first round is for one bucket in so many
+PARITY_BITS = 1024  # of a node's set; sets of up to some thousand shingles are told apart by them
 
 
 def permuted(x: np.ndarray, seed: int) -> np.ndarray:
@@ -88,11 +89,28 @@ def _sketch(words: int, bands: int) -> Callable[[Iterator[pa.RecordBatch]], Iter
     return run
 
 
+def parities(shingles: np.ndarray) -> np.ndarray:
+    """For each of ``PARITY_BITS`` classes of shingles, whether a set has an odd number of them; in 64-bit words.
+
+    A class in which two sets differ has a shingle that one of them alone has. So the bits in which they differ are no more
+    than the shingles that are in one of them only.
+    """
+    odd = np.bincount((shingles % np.uint64(PARITY_BITS)).astype(np.int64), minlength=PARITY_BITS) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
 def _sets(words: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in by_bytes(batches, "text", BATCH_BYTES):
-            sets = [s.tobytes() for s in shingle_sets(*text_buffer(table.column("text")), words)]
-            yield from pa.table({"node": table.column("node"), "members": pa.array(sets, pa.binary())}).combine_chunks().to_batches()
+            sets = list(shingle_sets(*text_buffer(table.column("text")), words))
+            bits = np.concatenate([parities(s) for s in sets])
+            columns = {
+                "node": table.column("node").combine_chunks(),
+                "members": pa.array([s.tobytes() for s in sets], pa.binary()),
+                "n": pa.array([len(s) for s in sets], pa.int64()),
+                "bits": pa.ListArray.from_arrays(pa.array(np.arange(len(sets) + 1, dtype=np.int32) * (PARITY_BITS // 64)), pa.array(bits)),
+            }
+            yield from pa.table(columns).to_batches()
             give_back()
 
     return run
@@ -123,8 +141,8 @@ def _shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _able(sets: DataFrame, members: DataFrame, similarity: Fraction) -> DataFrame:
-    """The nodes among ``members`` that may be linked with another of them: ``lone``, the share of their shingles that
-    no other has, and the two numbers by which pairs are excluded, ``need`` and ``room``.
+    """The nodes among ``members`` that may be linked with another of them: their ``n`` and ``bits``, ``lone``, the share of
+    their shingles that no other has, and the two numbers by which pairs are excluded, ``need`` and ``room``.
 
     What two sets have in common is no more than what either of them has in common with all others, ``left``. So sets of
     n and m shingles are linked only if the smaller ``left`` is at least p (n + m) / (p + q), the similarity being p / q:
@@ -134,11 +152,22 @@ def _able(sets: DataFrame, members: DataFrame, similarity: Fraction) -> DataFram
     held = sets.join(members.select("node").distinct(), "node")
     counts = held.mapInArrow(_shingles, "node binary, shingle long").groupBy("shingle").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("node"))
     lone = counts.where("n = 1").groupBy("node").agg(F.count(F.lit(1)).alias("_lone"))
-    sized = held.select("node", (F.octet_length("members") / 8).cast("long").alias("_size")).distinct().join(lone, "node", "left")
-    left, size = F.col("_size") - F.coalesce("_lone", F.lit(0)), F.col("_size")
+    sized = held.select("node", "n", "bits").join(lone, "node", "left")
+    left, size = F.col("n") - F.coalesce("_lone", F.lit(0)), F.col("n")
     fits = left * q >= size * p
     numbers = [(1 - left / size).alias("lone"), (size * p).alias("need"), (left * (p + q) - size * p).alias("room")]
-    return materialise(sized.where(fits).select("node", *numbers), "able")
+    return materialise(sized.where(fits).select("node", "n", "bits", *numbers), "able")
+
+
+def _near(similarity: Fraction) -> Column:
+    """Whether a pair may be linked by the parities of its sets.
+
+    Sets of n and m shingles are linked if those that one of them alone has are at most (q - p) / (q + p) of n + m, the
+    similarity being p / q, and the bits in which their parities differ are no more than these.
+    """
+    p, q = similarity.numerator, similarity.denominator
+    differ = sum((F.bit_count(F.col("bits")[i].bitwiseXOR(F.col("head_bits")[i])) for i in range(PARITY_BITS // 64)), F.lit(0))
+    return differ.cast("long") * (p + q) <= (F.col("n") + F.col("head_n")) * (q - p)
 
 
 def _partnered(able: DataFrame) -> DataFrame:
@@ -167,7 +196,9 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wo
     another component by then, and leave the bucket; it is done when the rest is one component. The first round is for
     one bucket in eight. After it, shingles which none of the others has tell which nodes and pairs can't be linked:
     such pairs aren't compared, nodes without any other pair leave, and those with the fewest such shingles are
-    compared first. So a group of n near copies takes about n comparisons, and yet no two members of a
+    compared first. Of the rest, pairs whose parities differ in too many bits are excluded inside the join of a bucket, so
+    they aren't rows either; in a bucket that isn't connected their number is the square of its size, at 16 words of 64 bits each.
+    So a group of n near copies takes about n comparisons, and yet no two members of a
     bucket stay unlinked without a proof or being connected. Two nodes at the threshold share no bucket with a probability below ``miss``.
 
     Returns one row per row of the input: doc_id, text_key (a hash of the text), n_shingles, component_id (the smallest id of the component) and kept
@@ -197,7 +228,8 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wo
     )
     picked = texts.join(wanted, F.col("doc_id").eqNullSafe(F.col("at")) & (F.col("text_key") == F.col("text_at")))
     picked = picked.dropDuplicates(["node"])  # a repeated row is there several times
-    sets = materialise(picked.select("node", "text").mapInArrow(_sets(words), "node binary, members binary"), "sets")
+    sets = picked.select("node", "text").mapInArrow(_sets(words), "node binary, members binary, n long, bits array<long>")
+    sets = materialise(sets, "sets")
 
     labels = materialise(members.select("node").distinct().select("node", F.col("node").alias("label")), "labels")
     leaders, first_round = 1, True
@@ -205,23 +237,24 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wo
         if first_round:  # most near copies meet in few buckets; the others then are of one component already
             able = members.where(F.pmod(F.col("bucket"), F.lit(FIRST_BUCKETS)) == 0).withColumns(
                 {"lone": F.lit(0.0), "need": F.lit(0).cast("long"), "room": F.lit(0).cast("long")}
-            )
+            ).join(sets.select("node", "n", "bits"), "node")
         else:
             able = _partnered(members.join(_able(sets, members, exact), "node"))
-        known = materialise(able.join(labels, "node").select("bucket", "node", "lone", "need", "room", "label"), "known")
+        known = materialise(able.join(labels, "node").select("bucket", "node", "lone", "need", "room", "n", "bits", "label"), "known")
         first = F.row_number().over(Window.partitionBy("bucket").orderBy("lone", "node"))
         heads = materialise(known.withColumn("_n", first).where(F.col("_n") <= leaders).drop("_n", "lone"), "heads")
-        other = heads.select("bucket", *[F.col(c).alias(f"head_{c}") for c in ("node", "label", "need", "room")])
+        other = heads.select("bucket", *[F.col(c).alias(f"head_{c}") for c in ("node", "label", "need", "room", "n", "bits")])
         pairs = (
             known.join(other, "bucket")
-            .where("label <> head_label and need <= head_room and head_need <= room")
+            .where(F.expr("label <> head_label and need <= head_room and head_need <= room") & _near(exact))
             .select(F.least("node", "head_node").alias("a"), F.greatest("node", "head_node").alias("b"))
             .distinct()
         )
         with_a = pairs.join(sets.select(F.col("node").alias("a"), F.col("members").alias("set_a")), "a")
         with_both = with_a.join(sets.select(F.col("node").alias("b"), F.col("members").alias("set_b")), "b")
         found = materialise(with_both.select("a", "b", "set_a", "set_b").mapInArrow(_confirm(exact), "a binary, b binary"), "links")
-        labels = _joined(labels, found)
+        if not found.isEmpty():
+            labels = _joined(labels, found)
         rest = (members if first_round else known).select("bucket", "node")
         rest = rest.join(heads.select("bucket", "node"), ["bucket", "node"], "left_anti").join(labels, "node")
         open_buckets = rest.groupBy("bucket").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x <> y").select("bucket")

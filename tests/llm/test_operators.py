@@ -186,6 +186,40 @@ def test_groups_just_below_the_threshold_and_repeated_rows(frame):
         same_groups(found, rows, n, hundredths)
 
 
+def test_members_of_a_bucket_below_the_threshold_make_few_pairs(spark, frame, monkeypatch):
+    rng = random.Random(11)
+    rows = []
+    for i in range(120):  # about 0.6 alike; what one has in place of a word, others have too
+        out = set(rng.sample(range(300), 12))
+        rows.append((i, " ".join(f"{'x' if j in out else 'w'}{j}" for j in range(300))))
+    compared, confirm = spark.sparkContext.accumulator(0), minhash._confirm
+
+    def counted(similarity):
+        def run(batches, inner=confirm(similarity)):
+            def each():
+                for batch in batches:
+                    compared.add(batch.num_rows)
+                    yield batch
+
+            return inner(each())
+
+        return run
+
+    monkeypatch.setattr(minhash, "_confirm", counted)
+    found = minhash.near_duplicates(frame("doc_id long, text string", *rows, (120, rows[7][1] + " more")), words=3, similarity=0.85).collect()
+    assert {r.doc_id: r.component_id for r in found} == {i: i for i in range(120)} | {120: 7}
+    assert 0 < compared.value < 120
+
+
+def test_parities_differ_in_no_more_bits_than_sets_do():
+    rng = np.random.default_rng(2)
+    for n, m in ((0, 1), (3, 3), (200, 20), (900, 30), (5000, 4000)):
+        both, one, other = (rng.integers(0, 1 << 64, k, np.uint64) for k in (n, m, m // 2))
+        x, y = minhash.parities(np.concatenate([both, one])), minhash.parities(np.concatenate([other, both]))
+        differ = sum(int(v).bit_count() for v in (x ^ y).view(np.uint64))
+        assert differ <= m + m // 2 and (m > 30 or differ > 0.8 * (m + m // 2))
+
+
 def test_bands_miss_few_pairs_at_the_threshold():
     for similarity in (0.8, 0.85, 0.95):
         bands = minhash.bands_for(similarity, 1e-6)
