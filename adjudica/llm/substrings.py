@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, functions as F
 from adjudica.llm.common import ORACLE, chunk_bounds, chunk_of, documents, give_back, mix, query, shuffle_partitions, small_batches, text_buffer, word_hashes
 
 CHUNKS_PER_PARTITION = 4
+LEAST_CHUNK_BYTES = 1 << 19  # of text; with less, a partition is one chunk
 _STEP = 0xC6A4A7935BD1E995
 
 
@@ -253,6 +254,15 @@ def _cut(window: int, carried: list[str], as_is: bool):
     return run
 
 
+def chunk_count(docs: DataFrame, text: str, partitions: int) -> int:
+    """As many chunks as there are partitions, and up to four times as many where chunks are large enough.
+
+    Every chunk may exchange a row with every range of hashes, so rows with hardly a hash in them would be the most of it.
+    """
+    size = docs.agg(F.sum(F.octet_length(F.col(text).cast("string")).cast("long"))).first()[0] or 0
+    return min(CHUNKS_PER_PARTITION * partitions, max(partitions, size // LEAST_CHUNK_BYTES))
+
+
 def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", window: int = 20, as_is: bool = False) -> DataFrame:
     """Take words out of documents that are covered by a repeat of ``window`` or more words, all but its first place.
 
@@ -276,7 +286,7 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", win
     small_batches(spark)
     partitions = shuffle_partitions(spark)
     block = window // 2
-    bounds = chunk_bounds(docs, key, CHUNKS_PER_PARTITION * partitions)
+    bounds = chunk_bounds(docs, key, chunk_count(docs, text, partitions))
     others = {f"c{i}": c for i, c in enumerate(docs.columns) if c != text and c not in dict(_FOUND)}
     parted = docs.select(
         F.col(key).cast("long").alias("doc_id"),

@@ -262,6 +262,16 @@ def test_repeats_of_odd_texts_and_shifted_passages(frame, odd):
     assert untouched[0].kept == ODD and untouched[0].label == "x"
 
 
+def test_small_texts_make_no_more_chunks_than_partitions(frame, monkeypatch):
+    asked, bounds = [], substrings.chunk_bounds
+    monkeypatch.setattr(substrings, "chunk_bounds", lambda docs, key, chunks: asked.append(chunks) or bounds(docs, key, chunks))
+    rows = [(i, " ".join(f"w{j}" for j in range(i, i + 40))) for i in range(60)]
+    large = [(i, text * 6 * (substrings.LEAST_CHUNK_BYTES // len(text))) for i, text in rows[:4]]
+    for docs in ([], [(1, None)], rows, large):
+        substrings.remove_repeats(frame("doc_id long, text string", *docs))
+    assert asked == [4, 4, 4, 16]
+
+
 # 6 fingerprints
 
 
