@@ -24,6 +24,7 @@ PROBES = 3
 SLICES = 64  # parts of the stripe of a hot prefix, such as the empty one, which holds every word
 HOT_SHARE = 0.001  # of a language's words from which on a prefix has as many slices; there are 1000 such prefixes at most
 TOP_PARTS = 64
+PARTS = 8192  # that stripes are dealt to, so a batch makes no more rows for each length however many prefixes it has
 
 _PIECE = np.zeros(256, bool)
 _PIECE[[*b".,;:!?", *range(0x0A, 0x0E)]] = True
@@ -33,8 +34,9 @@ _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[ord("A") : ord("Z") + 1] += 32
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
-# A stripe's words and counts are each one text, joined by spaces; without counts each word came once.
-_STRIPES = "lang string, prefix string, slice int, next string, n string"
+# A row has the stripes of one part: the language and prefix of each, then all their next words, joined by spaces, the
+# occurrences of each, and which of the stripes it is in.
+_STRIPES = "part int, langs array<string>, prefixes array<string>, next string, n array<int>, stripe array<int>"
 
 
 class Words:
@@ -122,9 +124,10 @@ def phrase_filter(phrases: DataFrame) -> np.ndarray:
 
 
 def _stripes_of(words: Words, at: np.ndarray, length: int, hot: np.ndarray) -> Iterator[pa.RecordBatch]:
-    """The stripes of the phrases that begin at the given words: one row per prefix, or per slice of a hot one.
+    """The stripes of the phrases that begin at the given words: one per prefix, or per slice of a hot one, by their part.
 
     ``hot`` has the sorted keys of hot prefixes; two prefixes with one key are both hot or both not, so it may be a hash.
+    A part may have several prefixes, but all of a prefix, or of its slice, is in one part.
     """
     if not len(at):
         return
@@ -141,28 +144,31 @@ def _stripes_of(words: Words, at: np.ndarray, length: int, hot: np.ndarray) -> I
     at, prefix, nexts = at[first], prefix[first], words.codes[at[first] + length - 1]
     hashes = words.hashes()
     slices = (hashes[nexts] >> np.uint64(40)).astype(np.int64) % SLICES
+    keys = _keys(words, hashes, at, length - 1)
     if length > 1:
-        slices[~np.isin(_keys(words, hashes, at, length - 1), hot)] = 0
-    order = np.lexsort((slices, prefix))
-    at, prefix, nexts, slices, counts = at[order], prefix[order], nexts[order], slices[order], counts[order]
-    new = np.append(True, (prefix[1:] != prefix[:-1]) | (slices[1:] != slices[:-1]))
-    heads = np.flatnonzero(new)
-    offsets = np.append(heads, len(at))
-    for a in range(0, len(heads), 20_000):  # rows of one batch
-        b = min(a + 20_000, len(heads))
-        h, lo, hi = heads[a:b], offsets[a], offsets[b]
+        slices[~np.isin(keys, hot)] = 0
+    part = (_extended(keys, slices.astype(np.uint64)) % np.uint64(PARTS)).astype(np.int32)
+    order = np.lexsort((slices, prefix, part))
+    at, prefix, nexts, slices, counts, part = at[order], prefix[order], nexts[order], slices[order], counts[order], part[order]
+    new_row = np.append(True, part[1:] != part[:-1])
+    new = new_row | np.append(True, (prefix[1:] != prefix[:-1]) | (slices[1:] != slices[:-1]))
+    heads, rows = np.flatnonzero(new), np.flatnonzero(new_row)
+    first = np.append(np.flatnonzero(new_row[heads]), len(heads))  # stripe of each row
+    within = np.cumsum(new) - 1
+    within -= np.repeat(first[:-1], np.diff(np.append(rows, len(at))))
+    ends = np.append(rows, len(at))
+    for a in range(0, len(rows), 1000):  # rows of one batch
+        b = min(a + 1000, len(rows))
+        h, lo, hi = heads[first[a] : first[b]], ends[a], ends[b]
         parts = [words.words.take(pa.array(words.codes[at[h] + j])) for j in range(length - 1)]
         texts = pc.binary_join_element_wise(*parts, pa.scalar(" ", pa.large_string())) if len(parts) > 1 else parts[0] if parts else pa.array([""] * len(h))
-        cuts = pa.array((offsets[a : b + 1] - lo).astype(np.int32))
-        joined = [
-            pc.binary_join(pa.ListArray.from_arrays(cuts, items), " ")
-            for items in (words.words.take(pa.array(nexts[lo:hi])).cast(pa.string()), pa.array(counts[lo:hi]).cast(pa.string()))
-        ]
-        once = np.maximum.reduceat(counts[lo:hi], h - lo) == 1
+        stripes, cuts = pa.array((first[a : b + 1] - first[a]).astype(np.int32)), pa.array((ends[a : b + 1] - lo).astype(np.int32))
+        langs = words.langs.take(pa.array(words.lang[at[h]])).cast(pa.string())
         yield pa.RecordBatch.from_arrays([
-            words.langs.take(pa.array(words.lang[at[h]])).cast(pa.string()), texts.cast(pa.string()), pa.array(slices[h], pa.int32()),
-            joined[0], pc.if_else(pa.array(once), "", joined[1]),
-        ], names=["lang", "prefix", "slice", "next", "n"])
+            pa.array(part[rows[a:b]], pa.int32()), pa.ListArray.from_arrays(stripes, langs), pa.ListArray.from_arrays(stripes, texts.cast(pa.string())),
+            pc.binary_join(pa.ListArray.from_arrays(cuts, words.words.take(pa.array(nexts[lo:hi])).cast(pa.string())), " "),
+            *[pa.ListArray.from_arrays(cuts, pa.array(x[lo:hi].astype(np.int32))) for x in (counts, within)],
+        ], names=["part", "langs", "prefixes", "next", "n", "stripe"])
 
 
 def _keys(words: Words, hashes: np.ndarray, at: np.ndarray, length: int) -> np.ndarray:
@@ -207,16 +213,16 @@ def _counter(length: int, bits, hot: np.ndarray) -> Callable[[Iterator[pa.Record
 
 
 def _merged(texts: DataFrame, length: int, bits, hot: np.ndarray) -> DataFrame:
-    """Stripes of all batches put together entry by entry: lang, prefix, slice, next, n.
+    """Stripes of all batches put together entry by entry: part, lang, prefix, next, n.
 
-    Stripes are dealt by prefix and slice, so a hot prefix has many tasks; entries are added up by an aggregation that
-    spills, so no stripe must fit in memory.
+    Stripes are dealt by part, which comes from prefix and slice, so a hot prefix has many tasks; entries are added up by an
+    aggregation that spills, so no stripe must fit in memory.
     """
-    stripes = texts.mapInArrow(_counter(length, bits, hot), _STRIPES).repartition("lang", "prefix", "slice")
-    listed = F.arrays_zip(F.split("next", " ").alias("next"), F.split("n", " ").alias("n"))
-    entries = stripes.select("lang", "prefix", "slice", F.inline(listed).alias("next", "n"))
-    entries = entries.withColumn("n", F.coalesce(F.nullif("n", F.lit("")), F.lit("1")).cast("long"))
-    return entries.groupBy("lang", "prefix", "slice", "next").agg(F.sum("n").alias("n"))
+    stripes = texts.mapInArrow(_counter(length, bits, hot), _STRIPES).repartition("part")
+    listed = F.arrays_zip(F.split("next", " ").alias("next"), F.col("n"), F.col("stripe"))
+    entries = stripes.select("part", "langs", "prefixes", F.inline(listed).alias("next", "n", "stripe"))
+    entries = entries.select("part", F.get("langs", "stripe").alias("lang"), F.get("prefixes", "stripe").alias("prefix"), "next", F.col("n").cast("long").alias("n"))
+    return entries.groupBy("part", "lang", "prefix", "next").agg(F.sum("n").alias("n"))
 
 
 def frequent_phrases(

@@ -92,3 +92,21 @@ def test_the_filter_lets_all_its_phrases_pass(frame):
         passed = c._passes(key, bits).mean()
         assert passed == 1 if share == 1 else passed < share
     assert (c.phrase_keys(phrases) == np.sort(c._keys(words, hashes, at, 2))).all()
+
+
+def test_a_batch_has_no_more_rows_than_parts(monkeypatch):
+    monkeypatch.setattr(c, "PARTS", 500)
+    rng = random.Random(4)
+    texts = [(rng.choice(["en", "fr"]), " ".join(f"w{rng.randrange(3000)}" for _ in range(400))) for _ in range(50)]
+    words = c.Words(pa.table({"lang": [x for x, _ in texts], "text": [t for _, t in texts]}))
+    at = np.flatnonzero(words.piece[:-1] == words.piece[1:])
+    hot = c.phrase_keys([("en", "w1"), ("fr", "w2")])
+    rows = [r for batch in c._stripes_of(words, at, 2, hot) for r in batch.to_pylist()]
+    got, parts = Counter(), {}
+    for r in rows:
+        for x, n, i in zip(r["next"].split(" "), r["n"], r["stripe"], strict=True):
+            got[r["langs"][i], r["prefixes"][i], x] += n
+            parts.setdefault((r["langs"][i], r["prefixes"][i]), set()).add(r["part"])
+    want = Counter((lang, x, y) for lang, t in texts for x, y in zip(t.split(), t.split()[1:]))
+    assert got == want and len({r["part"] for r in rows}) == len(rows) <= 500 < len(parts)
+    assert {k for k, v in parts.items() if len(v) > 1} <= {("en", "w1"), ("fr", "w2")}
