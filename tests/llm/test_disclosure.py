@@ -156,3 +156,49 @@ def test_all_documents_and_no_python(spark):
         assert (r.base_sha256, r.spans) == (hashlib.sha256(written(plain).encode()).hexdigest(), written(spans))
     plan = QUERIES["op13_information_theoretic_sanitisation"](spark, SF)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
+
+
+def near_in_whole_texts(text, hits):
+    for m in re.finditer(r"[\p{L}\p{N}_]+", text):
+        if len(m[0]) >= 3 and not any(s <= m.end() and m.start() <= e for s, _, e, _ in hits):
+            for entity in {x[3] for x in hits}:
+                yield entity, m[0].lower(), *m.span()
+
+
+def brute_of_whole_texts(texts, **settings):
+    with pytest.MonkeyPatch.context() as patched:
+        patched.setitem(globals(), "near", near_in_whole_texts)
+        return brute(texts, **settings)
+
+
+def far_corpus():
+    """Names that stand far from the data they belong to, on either side, in copies and in texts with several entities."""
+    gap = " ".join(["and so the plan went on"] * 8)
+    texts = [f"{w} was kept on day {i} {gap}" for i, w in enumerate(["boat", "train", "horse"] * 30)]
+    texts += [f"Annabel came. {gap} ann@x.org {i} {gap} Vane and +49 170 123 45 67" for i in range(4)] + [f"{gap} ann@x.org {gap} Annabel"] * 3
+    return texts + [f"Robert {gap} boat {i} {gap} +49 170 123 45 67 or 4111 1111 1111 1111 train" for i in range(3)] + [f"zebra {gap} once@x.org"] + [None, "", "me@x.org"]
+
+
+def test_words_far_from_an_entity_are_weighed(spark, frame, tmp_path):
+    texts = far_corpus()
+    df = frame_of(frame, texts)
+    want = brute_of_whole_texts([t or "" for t in texts])
+    assert sorted(spans_of(disclosure.disclosures(df, window=None))) == sorted(want)
+    df.withColumn("doc_id", F.monotonically_increasing_id()).write.parquet(str(tmp_path / "documents.parquet"))
+    found = QUERIES["op13_information_theoretic_sanitisation"](spark, str(tmp_path)).collect()
+    assert sorted(r.spans for r in found) == sorted(written(spans) for _, spans in want)
+    cleaned = {r.text for r in disclosure.sanitised(df.withColumn("doc_id", F.monotonically_increasing_id()), window=None).collect()}
+    assert not any(x in (t or "") for t in cleaned for x in ("Annabel", "Vane", "Robert", "ann@x.org")) and any("zebra" in (t or "") for t in cleaned)
+
+
+def test_random_whole_texts(frame):
+    rng = random.Random(7)
+    alphabet = ["a", "Z", "0", "12", "255", ".", "@", "-", "+", " ", " ", "(", "_", "é", "4111111111111111", "MICE", "dog"]
+    texts = ["".join(rng.choice(alphabet) for _ in range(rng.randrange(120))) for _ in range(300)]
+    texts += texts[:60] + [" ".join(rng.choice(["ann@x.org", "bob@x.org", "10.0.0.1", *(f"w{i}" + "x" * (i % 3) for i in range(90))]) for _ in range(60)) for _ in range(80)]
+    for settings in ({}, {"generalise": 0.3}, {"generalise": -1.0, "least_texts": 3}):
+        found = spans_of(disclosure.disclosures(frame_of(frame, texts), window=None, **settings))
+        want = brute_of_whole_texts(texts, **settings)
+        assert sorted(found) == sorted(want) and sum(len(spans) > len(hits) for hits, spans in want) > 20
+    assert disclosure.disclosures(frame_of(frame, texts[:3]), window=None).count() == 3
+    assert disclosure.disclosures(empty(frame_of(frame, texts)), window=None).count() == 0
