@@ -8,6 +8,7 @@ from conftest import rows, values
 from pyspark.sql import functions as F
 
 from adjudica.functions import nested
+from adjudica.session import materialise
 from adjudica.sources import documents, elements, large_json, manifest, pages, repair, tables
 
 def party(number, kind="SIRET", **more):
@@ -362,6 +363,32 @@ def test_pieces_of_large_documents_stay_where_they_are_for_the_ends_of_files(spa
     assert "strategy=broadcast" in plans[0] and sorted(values(found, "id")) == ["1", "}2"]
 
 
+def test_records_of_a_chunk_are_one_document_wherever_chunks_end(spark, tmp_path, monkeypatch):
+    held = [{"titulaire": {"typeIdentifiant": "SIRET", "id": "}{"}}]
+    records = [{"id": f"{i}", "objet": f'a "b" \\ }} [ {i}', "acheteur": {"id": "b"} if i % 7 else "text", "titulaires": held} for i in range(80)]
+    odd = [None, 5, "}", [{"id": "no"}], {}]
+    lists = {
+        "plain": {"marches": records}, "mixed": {"marches": [*odd, *records[:20], *odd, *records[20:]]}, "inner": {"marches": {"version": {}, "marche": records, "x": odd}},
+        "ends": {"x": [1], "marches": {"marche": records[:3]}, "more": [{"marches": [{"id": "no"}]}]}, "nothing": {"marches": {"marche": []}},
+    }
+    for name, document in lists.items():
+        (tmp_path / f"{name}.json").write_text(json.dumps(document, indent=1 if name == "mixed" else None) + ("\n" if name == "inner" else ""))
+    # A record that can't be read stops no other, though it stands between records that are read together.
+    (tmp_path / "spoilt.json").write_text('{"marches":[' + ",".join(f'{{"id":"{i}"}}' if i != 40 else '{"id":nix}' for i in range(80)) + "]}")
+    name, found = F.regexp_extract("path", r"(\w+)\.json", 1), {}
+    for step in (1, 64, 512):
+        monkeypatch.setattr(large_json, "_STEP", step)
+        small, files = large_json.read_large_documents(spark, str(tmp_path))
+        joined = materialise(small.join(files.select("path", "layout"), "path").withColumn("path", name), "small")
+        assert joined.where("not readable").select("path").collect() == [("spoilt",)]
+        flat = [documents.flatten(documents.records(joined.where("readable").drop("readable"), n), n).select("path", "id", "objet", "acheteur_id", "titulaires") for n in ("2019", "2022")]
+        found[step] = joined.where("path = 'plain'").count(), rows(flat[0]) + rows(flat[1]), rows(files.select(name.alias("path"), "layout", "whole"))
+    assert found[1][1:] == found[64][1:] == found[512][1:] and found[64][0] < 40 < 80 <= found[1][0]
+    ids = [r[:2] for r in found[512][1]]
+    assert all(sorted(i for f, i in ids if f == x and i) == sorted(f"{k}" for k in range(80)) for x in ("plain", "mixed", "inner"))
+    assert sorted(i for f, i in ids if f == "spoilt") == sorted(f"{k}" for k in range(80) if k != 40) and sum(f == "ends" for f, _ in ids) == 3
+
+
 def test_files_are_looked_at_side_by_side():
     class System:
         def exists(self, place):
